@@ -16,10 +16,10 @@ def castable(c: Column, kind: str) -> Column:
     return c.try_cast(kind).isNotNull()
 
 
-def whole_number(c: Column) -> Column:
+def whole_number(column: str) -> Column:
     """Integer of a text like ``12`` or ``12.0``; the fraction is cut, junk is NULL."""
-    digits = F.regexp_extract(c, r"^\s*([+-]?\d+)(\.\d*)?\s*$", 1)
-    return digits.try_cast("int")
+    return F.expr(
+        f"TRY_CAST(regexp_extract(`{column}`, '^[ ]*([+-]?[0-9]+)([.][0-9]*)?[ ]*$', 1) AS INT)")
 
 
 def castable_or_null(c: Column, kind: str) -> Column:
@@ -48,13 +48,13 @@ def pair_part(c: Column, index: int, kind: str = "double") -> Column:
     return F.trim(F.get(F.split(c, r",\s*"), index)).try_cast(kind)
 
 
-def decode(c: Column, labels: Mapping[int, str]) -> Column:
+def decode(column: str, labels: Mapping[int, str]) -> Column:
     """Label of a code; a code without a label passes through as text."""
-    (first_code, first_label), *others = labels.items()
-    branches = F.when(c == first_code, F.lit(first_label))
-    for code, label in others:
-        branches = branches.when(c == code, F.lit(label))
-    return branches.otherwise(c.cast("string"))
+    def quoted(label: str) -> str:
+        return "'" + label.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    branches = " ".join(f"WHEN {code} THEN {quoted(label)}" for code, label in labels.items())
+    return F.expr(f"CASE `{column}` {branches} ELSE CAST(`{column}` AS STRING) END")
 
 
 def binary_flag(c: Column, positive: str) -> Column:

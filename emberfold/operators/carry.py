@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from emberfold.functions import fire
 
 _CODES = ["ffmc", "dmc", "dc"]
+# The fold takes its result type from its start value, so that type has to
+# allow NULL codes.
+_FOLDED = "array<struct<day: date, ffmc: double, dmc: double, dc: double>>"
 
 
 def daily_readings(df: DataFrame, station: str, ts: str) -> DataFrame:
@@ -40,7 +43,7 @@ def carried_codes(daily: DataFrame, station: str) -> DataFrame:
     rows = F.array_sort(F.collect_list(F.struct("day", "temperature", "rh", "ws", "rain")))
     start = F.array(F.struct(
         F.lit(None).cast("date").alias("day"), F.lit(fire.START_FFMC).alias("ffmc"),
-        F.lit(fire.START_DMC).alias("dmc"), F.lit(fire.START_DC).alias("dc")))
+        F.lit(fire.START_DMC).alias("dmc"), F.lit(fire.START_DC).alias("dc"))).cast(_FOLDED)
     folded = daily.groupBy(station).agg(rows.alias("_rows")).select(
         station, "_rows", F.slice(
             F.aggregate("_rows", start, _next_day), 2, F.size("_rows")).alias("_codes"))

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberfold.functions.scalars import (
-    date_key, iso_weekday, sunday_first_weekday, surrogate_key)
+    date_key, iso_weekday, row_digest, sunday_first_weekday, surrogate_key)
+from emberfold.storage import materialize
 
 # First and last day of the date dimension.
 FIRST_DAY = date(37, 1, 1)
@@ -26,7 +27,8 @@ def dim_date(spark: SparkSession, first: date = FIRST_DAY, last: date = LAST_DAY
     d = F.col("full_date")
     return (
         spark.range(0, days, 1, partitions)
-        .select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("full_date"))
+        .select(F.date_add(
+            F.to_date(F.lit(first.isoformat())), F.col("id").cast("int")).alias("full_date"))
         .select(
             date_key(F.dayofmonth(d), F.month(d), F.year(d)).alias("date_key"), d,
             F.year(d).alias("year"), F.month(d).alias("month"), F.dayofmonth(d).alias("day"),
@@ -71,6 +73,29 @@ def conformed_dimension(columns: Sequence[tuple[DataFrame, Column]], name: str,
     return build_dimension(values, F.col(name), name, key, narrow=narrow)
 
 
+# Identical rows are numbered in blocks of this many.
+NUMBERED_BLOCK = 100_000
+
+
+def with_row_id(df: DataFrame, name: str, block: int = NUMBERED_BLOCK) -> DataFrame:
+    """Add a text id that is unique per row and the same in every run.
+
+    The id is a digest of the row; identical rows are counted first, which
+    happens on the map side, and then numbered. Rows with very many copies come
+    back in blocks that are spread over all tasks.
+    """
+    counted = materialize(
+        df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")), "row-counts")
+    few = counted.where(F.col("_n") <= block).withColumn("_b", F.lit(0).cast("bigint"))
+    many = counted.where(F.col("_n") > block).withColumn(
+        "_b", F.explode(F.expr(f"sequence(0L, (_n - 1) div {block})")))
+    spread = many.repartition(F.xxhash64(*df.columns, "_b"))
+    numbered = few.unionByName(spread).withColumn("_i", F.explode(F.expr(
+        f"sequence(_b * {block} + 1, least(_n, (_b + 1) * {block}))")))
+    digest = row_digest(*[F.col(c) for c in df.columns], F.col("_i"))
+    return numbered.select(digest.alias(name), *df.columns)
+
+
 def build_fact(df: DataFrame, id_column: tuple[str, Column],
                day: Column, month: Column, year: Column,
                foreign_keys: Mapping[str, Column], measures: Mapping[str, Column],

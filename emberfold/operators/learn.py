@@ -13,6 +13,8 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emberfold.storage import materialize
+
 # Model inputs in order, and the target.
 FIRE_FEATURES = ["temperature", "rh", "ws", "rain", "ffmc", "dmc", "dc", "isi", "bui"]
 FIRE_TARGET = "fwi"
@@ -34,16 +36,19 @@ def fit_regression(train: DataFrame, features: Sequence[str] = FIRE_FEATURES,
                    label: str = FIRE_TARGET) -> PipelineModel:
     """Standardise, then ordinary least squares on the complete rows.
 
-    The normal equations need one pass over the data and a matrix of
-    features x features, whatever the number of rows.
+    The inputs are stored first, since scaling and fitting each read them. The
+    normal equations need a matrix of features x features, whatever the number
+    of rows.
     """
+    columns = [*features, label]
+    rows = materialize(train.select(*columns), "regression-rows").dropna(subset=columns)
     stages = [
         VectorAssembler(inputCols=list(features), outputCol="_raw", handleInvalid="keep"),
         StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True),
         LinearRegression(featuresCol="_scaled", labelCol=label, predictionCol="prediction",
                          regParam=0.0, solver="normal"),
     ]
-    return Pipeline(stages=stages).fit(train.dropna(subset=[*features, label]))
+    return Pipeline(stages=stages).fit(rows)
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -87,7 +92,7 @@ def fit_vector_classifier(train: DataFrame, vector: str, label: str, dim: int,
 
     Without ``hidden`` a logistic regression, else one hidden layer of that width.
     """
-    shaped = with_vector(train, vector)
+    shaped = with_vector(materialize(train.select(vector, label), "classifier-rows"), vector)
     if hidden is None:
         head = LogisticRegression(featuresCol="_vector", labelCol=label, maxIter=max_iter,
                                   probabilityCol="_probability", rawPredictionCol="_raw")

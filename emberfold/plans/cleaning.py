@@ -17,6 +17,7 @@ from emberfold.operators.repair import (
     Box, bbox_range_join, fill_from_lookup, impute_group_mode, keep_first, override_by_key)
 from emberfold.plans import fixed_values as fixed
 from emberfold.sources.files import project
+from emberfold.storage import materialize
 
 # Columns read from each feed, and their names from here on.
 EARTHQUAKE_COLUMNS = {
@@ -66,7 +67,7 @@ COUNTRY_BOXES = [Box(*row) for row in fixed.COUNTRY_BOXES]
 
 
 def _whole(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: whole_number(F.col(c)) for c in columns})
+    return df.withColumns({c: whole_number(c) for c in columns})
 
 
 def _number(df: DataFrame, *columns: str) -> DataFrame:
@@ -104,10 +105,10 @@ def clean_tsunamis(raw: DataFrame, places: Lookup | DataFrame = TSUNAMI_PLACES)
     named = kept.withColumns({c: clean_token(F.col(c)) for c in ("country", "location")})
     placed = fill_from_lookup(named, places, ["country", "location"], ["longitude", "latitude"])
     return placed.withColumns({
-        "event_validity": decode(F.col("event_validity"), fixed.TSUNAMI_VALIDITY),
-        "cause_code": decode(F.col("cause_code"), fixed.TSUNAMI_CAUSE),
-        "death_description": decode(F.col("death_description"), fixed.DEATHS_SCALE),
-        "injuries_description": decode(F.col("injuries_description"), fixed.INJURIES_SCALE),
+        "event_validity": decode("event_validity", fixed.TSUNAMI_VALIDITY),
+        "cause_code": decode("cause_code", fixed.TSUNAMI_CAUSE),
+        "death_description": decode("death_description", fixed.DEATHS_SCALE),
+        "injuries_description": decode("injuries_description", fixed.INJURIES_SCALE),
     })
 
 
@@ -116,13 +117,15 @@ def clean_landslides(raw: DataFrame, boxes: list[Box] = COUNTRY_BOXES) -> DataFr
     counts = ["fatality_count", "injury_count"]
     usable = read.where(castable(F.col("longitude"), "double"))
     for c in counts:
-        usable = usable.where(whole_number(F.col(c)).isNotNull() | F.col(c).isNull())
+        usable = usable.where(whole_number(c).isNotNull() | F.col(c).isNull())
     typed = _number(_whole(usable, "event_id", *counts), "longitude", "latitude")
     single = keep_first(typed, [c for c in LANDSLIDE_COLUMNS if c != "event_id"], ["event_id"])
     parts = timestamp_parts(F.try_to_timestamp("event_date", F.lit(LANDSLIDE_DATE_FORMAT)))
     timed = single.withColumns(parts).drop("event_date")
     labelled = bbox_range_join(timed, "longitude", "latitude", boxes, "country_name")
-    return impute_group_mode(labelled, "country_name", LANDSLIDE_IMPUTED)
+    # imputing reads its input twice; the stored rows spare a second deduplication
+    stored = materialize(labelled, "labelled-landslides")
+    return impute_group_mode(stored, "country_name", LANDSLIDE_IMPUTED)
 
 
 def clean_volcanoes(raw: DataFrame, dates: Lookup | DataFrame = ERUPTION_DATES) -> DataFrame:
@@ -134,4 +137,4 @@ def clean_volcanoes(raw: DataFrame, dates: Lookup | DataFrame = ERUPTION_DATES)
     dated = fill_from_lookup(
         single, dates, ["volcano_name", "year", "country"], ["month", "day"])
     return _located(dated, "double").withColumn(
-        "explosivity", decode(F.col("explosivity"), fixed.EXPLOSIVITY))
+        "explosivity", decode("explosivity", fixed.EXPLOSIVITY))

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberfold.functions.scalars import row_digest
 from emberfold.operators.dimensional import (
-    build_dimension, build_fact, conformed_dimension, dim_date)
+    build_dimension, build_fact, conformed_dimension, dim_date, with_row_id)
 from emberfold.operators.quality import Check, ForeignKey
 
 UNNAMED = "Unnamed"
@@ -47,39 +46,56 @@ def build_dimensions(spark: SparkSession, silver: Mapping[str, DataFrame],
     }
 
 
-def build_facts(silver: Mapping[str, DataFrame], narrow: bool = False) -> dict[str, DataFrame]:
-    day, month, year = F.col("day"), F.col("month"), F.col("year")
+def _fact(df: DataFrame, id_column: str, source_id: str, keys: Mapping[str, Column],
+          measures: Sequence[str], narrow: bool) -> DataFrame:
+    return build_fact(
+        df, (id_column, F.col(source_id)), F.col("day"), F.col("month"), F.col("year"), keys,
+        {m: F.col(m) for m in measures}, narrow)
 
-    def same(*names: str) -> dict:
-        return {n: F.col(n) for n in names}
 
-    named = silver["volcano"].where(F.col("volcano_name") != UNNAMED)
-    volcano = build_fact(
-        named, ("id_volcano", row_digest(*[F.col(c) for c in named.columns])), day, month, year,
+def fact_volcano(silver: DataFrame, narrow: bool = False) -> DataFrame:
+    """Eruptions of named volcanoes; the source has no id, so rows get one."""
+    named = with_row_id(silver.where(F.col("volcano_name") != UNNAMED), "id_volcano")
+    return _fact(
+        named, "id_volcano", "id_volcano",
         {"location_key": F.upper("country"), "volcano_key": F.col("volcano_name")},
-        same("explosivity", "deaths_description", "total_deaths", "latitude", "longitude"),
-        narrow)
-    earthquake = build_fact(
-        silver["earthquake"], ("id_earthquake", F.col("id_earthquake")), day, month, year,
-        {"location_key": F.upper("country")},
-        same("eq_primary", "deaths", "deaths_description", "damage_description", "latitude",
-             "longitude"), narrow)
-    tsunami = build_fact(
-        silver["tsunami"], ("id_tsunami", F.col("id")), day, month, year,
+        ["explosivity", "deaths_description", "total_deaths", "latitude", "longitude"], narrow)
+
+
+def fact_earthquake(silver: DataFrame, narrow: bool = False) -> DataFrame:
+    return _fact(
+        silver, "id_earthquake", "id_earthquake", {"location_key": F.upper("country")},
+        ["eq_primary", "deaths", "deaths_description", "damage_description", "latitude",
+         "longitude"], narrow)
+
+
+def fact_tsunami(silver: DataFrame, narrow: bool = False) -> DataFrame:
+    """Tsunamis with a complete date."""
+    rows = _fact(
+        silver, "id_tsunami", "id",
         {"location_key": F.upper("country"), "validity_key": F.col("event_validity"),
          "cause_key": F.col("cause_code")},
-        same("hour", "minute", "latitude", "longitude", "death_description",
-             "injuries_description", "total_deaths", "total_injuries", "houses_destroyed",
-             "houses_damaged"), narrow).where(F.col("date_key").isNotNull())
-    landslide = build_fact(
-        silver["landslide"], ("id_landslide", F.col("event_id")), day, month, year,
+        ["hour", "minute", "latitude", "longitude", "death_description", "injuries_description",
+         "total_deaths", "total_injuries", "houses_destroyed", "houses_damaged"], narrow)
+    return rows.where(F.col("date_key").isNotNull())
+
+
+def fact_landslide(silver: DataFrame, narrow: bool = False) -> DataFrame:
+    return _fact(
+        silver, "id_landslide", "event_id",
         {"location_key": F.upper("country_name"), "category_key": F.col("landslide_category"),
          "trigger_key": F.col("landslide_trigger"), "size_key": F.col("landslide_size"),
          "setting_key": F.col("landslide_setting")},
-        same("fatality_count", "injury_count", "longitude", "latitude", "hour", "minute"),
-        narrow)
-    return {"fact_volcano": volcano, "fact_earthquake": earthquake, "fact_tsunami": tsunami,
-            "fact_landslide": landslide}
+        ["fatality_count", "injury_count", "longitude", "latitude", "hour", "minute"], narrow)
+
+
+FACTS = {"fact_volcano": fact_volcano, "fact_earthquake": fact_earthquake,
+         "fact_tsunami": fact_tsunami, "fact_landslide": fact_landslide}
+
+
+def build_facts(silver: Mapping[str, DataFrame], narrow: bool = False) -> dict[str, DataFrame]:
+    return {name: build(silver[name.removeprefix("fact_")], narrow)
+            for name, build in FACTS.items()}
 
 
 # Key and natural column of the dimensions that hold just these two.

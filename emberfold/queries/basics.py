@@ -141,8 +141,8 @@ def b5_castable(spark, sf_dir):
     FROM part""")
 def d7_decode(spark, sf_dir):
     return table(spark, sf_dir, "part").select(
-        "p_partkey", s.decode(F.col("p_size"), fixed.TSUNAMI_CAUSE).alias("cause"),
-        s.decode(F.col("p_size"), fixed.EXPLOSIVITY).alias("explosivity"))
+        "p_partkey", s.decode("p_size", fixed.TSUNAMI_CAUSE).alias("cause"),
+        s.decode("p_size", fixed.EXPLOSIVITY).alias("explosivity"))
 
 
 @query("d8_binary_encode", """

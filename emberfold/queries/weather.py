@@ -165,8 +165,9 @@ _METRICS_SQL = """
 @query("s8_stream_window", _METRICS_SQL)
 def s8_stream_window(spark, sf_dir):
     out = scratch_path(spark, "windows")
-    source = f"{sf_dir}/events.parquet"
-    events = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+    schema = table(spark, sf_dir, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(
+        sf_dir)
     metrics = w.window_metrics(events, "ts", "event_type", "1 day", {
         "readings": F.count(F.lit(1)),
         "total": F.sum(F.col("value").cast("decimal(18,2)")).cast("double"),
