@@ -137,21 +137,32 @@ def s1_stream_parse(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-@query("s4_dual_sink", f"""
-    SELECT temperature, rh, ws, rain, {ROUNDED_CODES_SQL},
-           (SELECT COUNT(*) FROM events) AS raw_rows,
-           (SELECT COUNT(*) FROM events WHERE event_id % 50 = 7) AS quarantined
-    FROM {float_codes_sql(f'(SELECT * FROM {READINGS_SQL} r WHERE event_id % 50 <> 7)', '7')} x""")
-def s4_dual_sink(spark, sf_dir):
+def _run_sinks(spark, sf_dir) -> str:
     out = scratch_path(spark, "sinks")
     sinks = w.batch_sinks(f"{out}/raw", f"{out}/features", f"{out}/quarantine", F.lit(7))
     messages = w.text_stream(spark, _landed_messages(spark, sf_dir))
     w.start_sinks(messages, sinks, f"{out}/checkpoint").awaitTermination()
-    raw = spark.read.parquet(f"{out}/raw").agg(F.count(F.lit(1)).alias("raw_rows"))
-    junk = spark.read.parquet(f"{out}/quarantine").agg(F.count(F.lit(1)).alias("quarantined"))
-    counts = raw.join(junk, F.lit(True))  # one row each
-    features = spark.read.parquet(f"{out}/features").select(*w.FIELDS, *rounded_codes())
-    return features.join(F.broadcast(counts), F.lit(True))
+    return out
+
+
+@query("s4_dual_sink", f"""
+    SELECT temperature, rh, ws, rain, {ROUNDED_CODES_SQL}
+    FROM {float_codes_sql(f'(SELECT * FROM {READINGS_SQL} r WHERE event_id % 50 <> 7)', '7')} x""")
+def s4_dual_sink(spark, sf_dir):
+    out = _run_sinks(spark, sf_dir)
+    return spark.read.parquet(f"{out}/features").select(*w.FIELDS, *rounded_codes())
+
+
+@query("s4_sink_counts", """
+    SELECT 'raw' AS sink, COUNT(*) AS stored FROM events
+    UNION ALL SELECT 'features', COUNT(*) FROM events WHERE event_id % 50 <> 7
+    UNION ALL SELECT 'quarantine', COUNT(*) FROM events WHERE event_id % 50 = 7""")
+def s4_sink_counts(spark, sf_dir):
+    out = _run_sinks(spark, sf_dir)
+    counts = [spark.read.parquet(f"{out}/{sink}").agg(
+        F.lit(sink).alias("sink"), F.count(F.lit(1)).alias("stored"))
+        for sink in ("raw", "features", "quarantine")]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
 _METRICS_SQL = """
