@@ -19,7 +19,8 @@ def castable(c: Column, kind: str) -> Column:
 def whole_number(column: str) -> Column:
     """Integer of a text like ``12`` or ``12.0``; the fraction is cut, junk is NULL."""
     return F.expr(
-        f"TRY_CAST(regexp_extract(`{column}`, '^[ ]*([+-]?[0-9]+)([.][0-9]*)?[ ]*$', 1) AS INT)")
+        f"COALESCE(TRY_CAST(`{column}` AS INT), TRY_CAST("
+        f"regexp_extract(`{column}`, '^[ ]*([+-]?[0-9]+)[.][0-9]*[ ]*$', 1) AS INT))")
 
 
 def castable_or_null(c: Column, kind: str) -> Column:

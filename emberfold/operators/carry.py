@@ -33,20 +33,26 @@ def _next_day(codes: Column, r: Column) -> Column:
         fire.dc(r["temperature"], r["rain"], month, dc).alias("dc"))))
 
 
-def carried_codes(daily: DataFrame, station: str) -> DataFrame:
+def carried_codes(daily: DataFrame, station: str, before: DataFrame | None = None) -> DataFrame:
     """``day, ffmc, dmc, dc, isi, bui`` per station, each day building on the last.
 
+    ``before`` holds the last codes of stations seen earlier (``station, ffmc,
+    dmc, dc``); other stations begin with the fixed start codes.
+
     The recurrence runs in order within a station. Its input is one row per
     station and day, so a station can never hold more rows than the calendar
     has days, however many readings it sent.
     """
     rows = F.array_sort(F.collect_list(F.struct("day", "temperature", "rh", "ws", "rain")))
+    grouped = daily.groupBy(station).agg(rows.alias("_rows"))
+    if before is not None:
+        grouped = grouped.join(before.select(station, *_CODES), station, "left")
+    else:
+        grouped = grouped.withColumns({c: F.lit(None).cast("double") for c in _CODES})
     start = F.array(F.struct(
-        F.lit(None).cast("date").alias("day"), F.lit(fire.START_FFMC).alias("ffmc"),
-        F.lit(fire.START_DMC).alias("dmc"), F.lit(fire.START_DC).alias("dc"))).cast(_FOLDED)
-    folded = daily.groupBy(station).agg(rows.alias("_rows")).select(
-        station, "_rows", F.slice(
-            F.aggregate("_rows", start, _next_day), 2, F.size("_rows")).alias("_codes"))
+        F.lit(None).cast("date").alias("day"), *[F.col(c) for c in _CODES])).cast(_FOLDED)
+    folded = grouped.select(station, "_rows", F.slice(
+        F.aggregate("_rows", start, _next_day), 2, F.size("_rows")).alias("_codes"))
     per_day = folded.select(
         station, F.explode(F.arrays_zip("_rows", "_codes")).alias("_d")).select(
         station, "_d._rows.day", "_d._rows.ws",
@@ -54,3 +60,12 @@ def carried_codes(daily: DataFrame, station: str) -> DataFrame:
     return per_day.select(
         station, "day", *_CODES, fire.isi(F.col("ffmc"), F.col("ws")).alias("isi"),
         fire.bui(F.col("dmc"), F.col("dc")).alias("bui"))
+
+
+def last_codes(codes: DataFrame, station: str, before: DataFrame | None = None) -> DataFrame:
+    """The latest codes per station, from ``codes`` where it has the station."""
+    newest = codes.select(station, "day", *_CODES)
+    if before is not None:
+        newest = newest.unionByName(before)
+    return newest.groupBy(station).agg(
+        F.max_by(F.struct("day", *_CODES), "day").alias("_r")).select(station, "_r.*")

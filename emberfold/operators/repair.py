@@ -125,15 +125,16 @@ def impute_group_mode(df: DataFrame, group: str, columns: Sequence[str], default
                       max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Fill NULLs with the group's most frequent value.
 
-    Where NULL itself is the most frequent, the fill is ``default``. Rows
-    without a group stay as they are.
+    Where NULL itself is the most frequent, the fill is ``default`` (NULL if the
+    column's type cannot hold it). Rows without a group stay as they are.
     """
     modes = materialize(group_modes(df, group, columns), "group-modes")
     joined = lookup_join(df, modes, [group], max_broadcast_rows)
     known = F.col(group).isNotNull()
     filled = {
         c: F.coalesce(F.col(c), F.when(
-            known, F.coalesce(F.col("_mode_" + c), F.lit(default))).cast(df.schema[c].dataType))
+            known, F.coalesce(F.col("_mode_" + c), F.lit(default))).try_cast(
+                df.schema[c].dataType))
         for c in columns}
     return joined.withColumns(filled).select(*df.columns)
 

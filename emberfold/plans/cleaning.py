@@ -120,8 +120,9 @@ def clean_landslides(raw: DataFrame, boxes: list[Box] = COUNTRY_BOXES) -> DataFr
         usable = usable.where(whole_number(c).isNotNull() | F.col(c).isNull())
     typed = _number(_whole(usable, "event_id", *counts), "longitude", "latitude")
     single = keep_first(typed, [c for c in LANDSLIDE_COLUMNS if c != "event_id"], ["event_id"])
-    parts = timestamp_parts(F.try_to_timestamp("event_date", F.lit(LANDSLIDE_DATE_FORMAT)))
-    timed = single.withColumns(parts).drop("event_date")
+    timed = single.withColumn(
+        "event_date", F.try_to_timestamp("event_date", F.lit(LANDSLIDE_DATE_FORMAT))
+    ).withColumns(timestamp_parts(F.col("event_date"))).drop("event_date")
     labelled = bbox_range_join(timed, "longitude", "latitude", boxes, "country_name")
     # imputing reads its input twice; the stored rows spare a second deduplication
     stored = materialize(labelled, "labelled-landslides")

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from emberfold.functions.fire import fire_codes
 from emberfold.functions.scalars import any_present, row_digest
+from emberfold.operators.carry import carried_codes, last_codes
 
 # Fields of a reading and of the provider's payload.
 MESSAGE_SCHEMA = "Temperature float, RH float, Ws float, Rain float"
@@ -149,3 +150,35 @@ def newest_version(spark: SparkSession, path: str, keys: list[str]) -> DataFrame
     rest = [c for c in rows.columns if c not in (*keys, "batch_id")]
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("_r")).select(
         *keys, "_r.*")
+
+
+def daily_stream(df: DataFrame, station: str, ts: str, late: str) -> DataFrame:
+    """Daily readings of a stream; a day comes out once, when its watermark has passed."""
+    timed = df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
+    grouped = timed.groupBy(F.window(ts, "1 day").alias("w"), station).agg(
+        F.avg("temperature").alias("temperature"), F.avg("rh").alias("rh"),
+        F.avg("ws").alias("ws"), F.sum("rain").alias("rain"))
+    return grouped.select(station, F.to_date("w.start").alias("day"),
+                          "temperature", "rh", "ws", "rain")
+
+
+def carry_sink(code_path: str, state_path: str, station: str) -> Callable[[DataFrame, int], None]:
+    """Writer of carried codes for finished days.
+
+    Batch N starts from the state that batch N - 1 stored and stores its own, one
+    row per station; a replay of N therefore computes and overwrites the same.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = None
+        if batch_id > 0:
+            before = spark.read.parquet(f"{state_path}/batch_id={batch_id - 1}")
+        codes = carried_codes(batch, station, before)
+        path = f"{code_path}/batch_id={batch_id}"
+        codes.write.mode("overwrite").parquet(path)
+        stored = spark.read.schema(codes.schema).parquet(path)
+        last_codes(stored, station, before).write.mode("overwrite").parquet(
+            f"{state_path}/batch_id={batch_id}")
+
+    return write

@@ -98,3 +98,28 @@ def test_carried_codes_start_each_day_from_the_last(spark):
         dmc = min(65.9, dmc + 12.5 * 1.6 * (20.0 + d + 1.1) * 60 / 1000)
         assert abs(r["dmc"] - dmc) < 1e-9
     assert got[0]["st"] == "q" and got[0]["dmc"] is None and got[0]["ffmc"] is not None
+
+
+def test_carried_stream_equals_batch(spark, tmp_path):
+    out = scratch_path(spark, "t-carry")
+    schema = "st string, ts timestamp, temperature double, rh double, ws double, rain double"
+    days = [[(st, f"2024-07-{d:02d} {h:02d}:00:00", 15.0 + d % 7 + len(st), 35.0 + d, 8.0,
+              4.0 if d % 4 == 0 else 0.0) for st in ("a", "bb") for h in (9, 15)
+             if not (st == "bb" and d == 5)] for d in range(1, 13)]
+    for i in range(0, 12, 3):
+        rows = [r for day in days[i:i + 3] for r in day]
+        spark.createDataFrame(rows, schema.replace("timestamp", "string")).withColumn(
+            "ts", F.col("ts").cast("timestamp")).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        w.daily_stream(stream, "st", "ts", "0 seconds").writeStream.foreachBatch(
+            w.carry_sink(f"{out}/codes", f"{out}/state", "st")).outputMode("append").option(
+            "checkpointLocation", f"{out}/checkpoint").trigger(
+            availableNow=True).start().awaitTermination()
+    got = spark.read.parquet(f"{out}/codes").drop("batch_id")
+    everything = spark.read.schema(schema).parquet(str(tmp_path / "in"))
+    # the last day stays open until a later reading arrives
+    want = carried_codes(daily_readings(everything, "st", "ts"), "st").where("day < '2024-07-12'")
+    columns = want.columns
+    assert got.count() == 21
+    assert sorted(map(tuple, got.select(columns).collect())) == sorted(
+        map(tuple, want.collect()))
