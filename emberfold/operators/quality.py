@@ -86,59 +86,90 @@ def _ratio_results(df: DataFrame, check: Check) -> DataFrame:
     return sums.select(F.inline(F.array(*rows)))
 
 
-def _unique_result(df: DataFrame, check: Check, label: str, column: str) -> DataFrame:
-    metric = (
-        df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.try_divide(F.sum((F.col("n") == 1).cast("bigint")), F.sum("n")).alias("m")))
-    return metric.select(F.inline(F.array(
-        _result(check.name, label, F.col("m"), F.col("m") == 1.0))))
+def _key_counts(cells: Sequence[tuple[DataFrame, Sequence[tuple[int, Column]]]],
+                kind: str) -> DataFrame:
+    """Rows per key value, ``i, key, n``, for keys numbered ``i`` over many tables.
 
-
-def parent_shares(df: DataFrame, keys: Sequence[ForeignKey]) -> DataFrame:
-    """Rows and rows with a parent for every foreign key: ``i, total, valid``.
-
-    The fact is read once and reduced to the count of each key value before
-    anything is joined, so neither its width nor a hot key reaches the join.
+    Each table is read once and reduced on the map side, so neither its width
+    nor a hot key reaches the shuffle. Every ``i`` comes with a NULL key, which
+    keeps it present for an empty table.
     """
-    cells = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.col(k.column).cast("bigint").alias("key"))
-        for i, k in enumerate(keys)])).alias("cell")
-    counts = (
-        df.select(cells).groupBy(F.col("cell.i").alias("i"), F.col("cell.key").alias("key"))
-        .agg(F.count(F.lit(1)).alias("n")))
-    known = reduce(DataFrame.union, [
-        k.parent.select(F.lit(i).alias("i"), F.col(k.parent_key).cast("bigint").alias("key"))
-        for i, k in enumerate(keys)]).distinct().withColumn("found", F.lit(True))
-    return (
-        counts.join(known, ["i", "key"], "left").groupBy("i")
-        .agg(F.sum("n").alias("total"),
-             F.sum(F.when(F.col("found"), F.col("n")).otherwise(0)).alias("valid")))
-
-
-def _parent_results(df: DataFrame, check: Check) -> DataFrame:
-    shares = parent_shares(df, [key for _, key in check.parents])
-    metric = F.col("valid") / F.col("total")
-    label = F.get(F.array(*[F.lit(text) for text, _ in check.parents]), F.col("i"))
-    return shares.select(
-        F.lit(check.name).alias("check"), label.alias("constraint"), metric.alias("metric"),
-        F.when(metric == 1.0, F.lit(SUCCESS)).otherwise(F.lit(FAILURE)).alias("constraint_status"))
+    seeds = cells[0][0].sparkSession.range(1).select(F.explode(F.array(
+        *[F.lit(i) for _, keys in cells for i, _ in keys])).alias("i"))
+    parts = [seeds.select("i", F.lit(None).cast(kind).alias("key"), F.lit(0).alias("w"))]
+    for df, keys in cells:
+        pairs = F.array(*[
+            F.struct(F.lit(i).alias("i"), c.cast(kind).alias("key")) for i, c in keys])
+        parts.append(df.select(F.inline(pairs)).withColumn("w", F.lit(1)))
+    return reduce(DataFrame.unionByName, parts).groupBy("i", "key").agg(F.sum("w").alias("n"))
+
+
+def _named_results(metrics: DataFrame, names: Sequence[tuple[str, str]]) -> DataFrame:
+    """Results from ``i, metric``, where ``names[i]`` holds check and constraint."""
+    check, constraint = (
+        F.get(F.array(*[F.lit(name[at]) for name in names]), F.col("i")) for at in (0, 1))
+    return metrics.select(
+        check.alias("check"), constraint.alias("constraint"), "metric",
+        F.when(F.col("metric") == 1.0, F.lit(SUCCESS)).otherwise(F.lit(FAILURE)).alias(
+            "constraint_status"))
+
+
+_WHOLE_TYPES = ("tinyint", "smallint", "int", "bigint")
+
+
+def _unique_results(checks: Sequence[tuple[DataFrame, Check]]) -> list[DataFrame]:
+    """All unique keys of all tables, in one count for whole numbers and one for text."""
+    results = []
+    for kind in ("bigint", "string"):
+        names, cells = [], []
+        for df, check in checks:
+            keys = []
+            for label, c in check.uniques:
+                if (df.schema[c].dataType.simpleString() in _WHOLE_TYPES) == (kind == "bigint"):
+                    keys.append((len(names), F.col(c)))
+                    names.append((check.name, label))
+            if keys:
+                cells.append((df, keys))
+        if cells:
+            n, known = F.col("n"), F.col("key").isNotNull()
+            metrics = _key_counts(cells, kind).groupBy("i").agg(F.try_divide(
+                F.sum(F.when(known & (n == 1), 1).otherwise(0)),
+                F.sum(F.when(known, n).otherwise(0))).alias("metric"))
+            results.append(_named_results(metrics, names))
+    return results
+
+
+def _parent_results(checks: Sequence[tuple[DataFrame, Check]]) -> list[DataFrame]:
+    """All foreign keys of all facts: counts per key value meet the parents' keys."""
+    names, cells, parents = [], [], []
+    for df, check in checks:
+        keys = []
+        for label, fk in check.parents:
+            keys.append((len(names), F.col(fk.column)))
+            parents.append(fk.parent.select(
+                F.lit(len(names)).alias("i"), F.col(fk.parent_key).cast("bigint").alias("key")))
+            names.append((check.name, label))
+        if keys:
+            cells.append((df, keys))
+    if not cells:
+        return []
+    known = reduce(DataFrame.union, parents).distinct().withColumn("found", F.lit(True))
+    metrics = _key_counts(cells, "bigint").join(known, ["i", "key"], "left").groupBy("i").agg(
+        F.try_divide(F.sum(F.when(F.col("found"), F.col("n")).otherwise(0)), F.sum("n")).alias(
+            "metric"))
+    return [_named_results(metrics, names)]
 
 
 def run_checks(checks: Sequence[tuple[DataFrame, Check]]) -> DataFrame:
     """Results as ``check, constraint, metric, constraint_status``.
 
-    Per table: one aggregate for all completeness and predicate constraints,
-    one count per unique key, one count for all foreign keys. An empty table
-    has NULL metrics, which fail; its foreign keys have no rows to fail.
+    One aggregate per table for all completeness and predicate constraints, one
+    count for all unique keys, one for all foreign keys. The metrics of an empty
+    table are NULL, and fail.
     """
-    parts = []
-    for df, check in checks:
-        if check.ratios:
-            parts.append(_ratio_results(df, check))
-        parts += [_unique_result(df, check, label, c) for label, c in check.uniques]
-        if check.parents:
-            parts.append(_parent_results(df, check))
-    return reduce(DataFrame.unionByName, parts)
+    ratios = [_ratio_results(df, check) for df, check in checks if check.ratios]
+    return reduce(
+        DataFrame.unionByName, [*ratios, *_unique_results(checks), *_parent_results(checks)])
 
 
 def gate(results: DataFrame) -> None:

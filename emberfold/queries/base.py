@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,6 +43,14 @@ def sql_decode(column: str, labels: dict[int, str]) -> str:
     return f"CASE {column} {branches} ELSE CAST({column} AS VARCHAR) END"
 
 
+def amount(name: str) -> Column:
+    """A two-decimal amount in whole cents, so that sums are exact in any order."""
+    return F.floor(F.col(name) * 100 + 0.5)
+
+
+def from_cents(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({n: F.col(n) / 100.0 for n in names})
+
+
 def sql_money(expr: str) -> str:
-    """Exact sum of two-decimal amounts."""
-    return f"CAST(SUM(CAST({expr} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(SUM(CAST(floor({expr} * 100 + 0.5) AS BIGINT)) AS DOUBLE) / 100.0"

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from emberfold.operators.quality import run_checks
 from emberfold.operators.rollups import drill_across, impact_by
 from emberfold.plans import cleaning, fixed_values as fixed, galaxy
+from emberfold.plans.flow import FEEDS
 from emberfold.queries import feeds
 from emberfold.queries.base import query, sql_decode
 from emberfold.queries.repairs import boxes_sql, lookup_sql
-from emberfold.storage import materialize
+from emberfold.sources.files import read_csv
+from emberfold.storage import materialize, scratch_path
 
 
 def _ints(*columns: str) -> str:
@@ -85,36 +87,51 @@ VOLCANO_SILVER = f"""(SELECT CAST(v.year AS INTEGER) AS year,
     ON v.volcano_name = d.volcano_name AND v.year = d.year AND v.country = d.country)"""
 
 
+# Cleaning reads landed CSV files and modelling reads stored tables, as in the
+# batch flow. Both are stored once per application and folder, when a query
+# first needs them.
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _once(spark, sf_dir, name: str, build) -> DataFrame:
+    place = (spark.sparkContext.applicationId, sf_dir, name)
+    if place not in _STORED:
+        _STORED[place] = build()
+    return _STORED[place]
+
+
+def _stored(spark, sf_dir, name: str, build) -> DataFrame:
+    return _once(spark, sf_dir, name, lambda: materialize(build(), name))
+
+
+def _feed(spark, sf_dir, name: str, shape) -> DataFrame:
+    def land():
+        path, sep = scratch_path(spark, f"feed-{name}"), FEEDS[name][1]
+        files = shape(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
+        files.write.options(header=True, sep=sep).csv(path)
+        return read_csv(spark, path, sep=sep)
+
+    return _once(spark, sf_dir, f"feed-{name}", land)
+
+
 @query("silver_earthquake", f"SELECT * FROM {EARTHQUAKE_SILVER} s")
 def silver_earthquake(spark, sf_dir):
-    return cleaning.clean_earthquakes(feeds.earthquakes(spark, sf_dir))
+    return cleaning.clean_earthquakes(_feed(spark, sf_dir, "earthquake", feeds.earthquakes))
 
 
 @query("silver_tsunami", f"SELECT * FROM {TSUNAMI_SILVER} s")
 def silver_tsunami(spark, sf_dir):
-    return cleaning.clean_tsunamis(feeds.tsunamis(spark, sf_dir))
+    return cleaning.clean_tsunamis(_feed(spark, sf_dir, "tsunami", feeds.tsunamis))
 
 
 @query("silver_landslide", f"SELECT * FROM {LANDSLIDE_SILVER} s")
 def silver_landslide(spark, sf_dir):
-    return cleaning.clean_landslides(feeds.landslides(spark, sf_dir))
+    return cleaning.clean_landslides(_feed(spark, sf_dir, "landslide", feeds.landslides))
 
 
 @query("silver_volcano", f"SELECT * FROM {VOLCANO_SILVER} s")
 def silver_volcano(spark, sf_dir):
-    return cleaning.clean_volcanoes(feeds.volcanoes(spark, sf_dir))
-
-
-# The modelling step reads stored tables. They are stored once per application
-# and folder, when a query first needs them.
-_STORED: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def _stored(spark, sf_dir, name: str, build) -> DataFrame:
-    place = (spark.sparkContext.applicationId, sf_dir, name)
-    if place not in _STORED:
-        _STORED[place] = materialize(build(), name)
-    return _STORED[place]
+    return cleaning.clean_volcanoes(_feed(spark, sf_dir, "volcano", feeds.volcanoes))
 
 
 def _silver(spark, sf_dir) -> dict[str, DataFrame]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from emberfold.functions.fire import fire_codes
 from emberfold.functions.scalars import threshold_label
 from emberfold.operators import learn
-from emberfold.queries.base import query, table
+from emberfold.queries.base import amount, query, sql_money, table
 from emberfold.queries.weather import READINGS_SQL, float_codes_sql, readings
 from emberfold.sources.files import TESTING_FOLDER, TRAINING_FOLDER, image_labels
 
@@ -89,8 +89,8 @@ def m6_binary_metrics(spark, sf_dir):
         F.round(c, 6).alias(c) for c in ("precision", "recall", "accuracy")])
 
 
-_RUNS_SQL = """(SELECT event_type AS experiment, 'run-' || user_id AS run_id,
-    CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS rmse, COUNT(*) AS accuracy
+_RUNS_SQL = f"""(SELECT event_type AS experiment, 'run-' || user_id AS run_id,
+    {sql_money('value')} AS rmse, COUNT(*) AS accuracy
   FROM events GROUP BY event_type, user_id)"""
 
 
@@ -104,7 +104,7 @@ def m7_best_run(spark, sf_dir):
     per_run = table(spark, sf_dir, "events").groupBy(
         F.col("event_type").alias("experiment"),
         F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_id")).agg(
-        F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("rmse"),
+        (F.sum(amount("value")) / 100.0).alias("rmse"),
         F.count(F.lit(1)).cast("double").alias("accuracy"))
     runs = per_run.unpivot(["experiment", "run_id"], ["rmse", "accuracy"], "metric", "value")
     best = [learn.best_run(runs, m, descending).select(

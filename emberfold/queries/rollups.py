@@ -5,11 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from emberfold.operators.rollups import count_and_sums, drill_across, impact_by
-from emberfold.queries.base import query, sql_money, table
-
-
-def _amount(name: str):
-    return F.col(name).cast("decimal(18,2)")
+from emberfold.queries.base import amount, from_cents, query, sql_money, table
 
 
 def _customer_places(spark, sf_dir):
@@ -27,10 +23,9 @@ def _customer_places(spark, sf_dir):
     GROUP BY ROLLUP (r_name, CAST(year(o_orderdate) AS INTEGER))""")
 def r1_region_rollup(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
-    return impact_by(
+    return from_cents(impact_by(
         orders, "o_custkey", _customer_places(spark, sf_dir), "c_custkey", ["region"], ["year"],
-        {"total": _amount("o_totalprice")}, rollup=True).withColumn(
-        "total", F.col("total").cast("double"))
+        {"total": amount("o_totalprice")}, rollup=True), "total")
 
 
 @query("r2_cause_rollup", f"""
@@ -39,11 +34,11 @@ def r1_region_rollup(spark, sf_dir):
     FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type, l_returnflag""")
 def r2_cause_rollup(spark, sf_dir):
     parts = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("cause"))
-    return impact_by(
+    return from_cents(impact_by(
         table(spark, sf_dir, "lineitem"), "l_partkey", parts, "p_partkey", ["cause"],
         ["l_returnflag"],
-        {"quantity": _amount("l_quantity"), "price": _amount("l_extendedprice")}).withColumns(
-        {c: F.col(c).cast("double") for c in ("quantity", "price")})
+        {"quantity": amount("l_quantity"), "price": amount("l_extendedprice")}),
+        "quantity", "price")
 
 
 @query("r3_drill_across", """

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from emberfold.functions.fire import RISK_LEVELS, fire_codes, risk_level
 from emberfold.operators.carry import carried_codes, daily_readings
-from emberfold.queries.base import query, sql_text, table
+from emberfold.queries.base import amount, query, sql_money, sql_text, table
 from emberfold.storage import scratch_path
 from emberfold.streaming import weather as w
 
@@ -165,10 +165,10 @@ def s4_sink_counts(spark, sf_dir):
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
-_METRICS_SQL = """
+_METRICS_SQL = f"""
     SELECT CAST(ts AS DATE)::TIMESTAMP AS window_start,
            CAST(ts AS DATE)::TIMESTAMP + INTERVAL 1 DAY AS window_end, event_type,
-           COUNT(*) AS readings, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total,
+           COUNT(*) AS readings, {sql_money('value')} AS total,
            MAX(value) AS highest
     FROM events GROUP BY 1, 2, event_type"""
 
@@ -181,7 +181,7 @@ def s8_stream_window(spark, sf_dir):
         sf_dir)
     metrics = w.window_metrics(events, "ts", "event_type", "1 day", {
         "readings": F.count(F.lit(1)),
-        "total": F.sum(F.col("value").cast("decimal(18,2)")).cast("double"),
+        "total": F.sum(amount("value")) / 100.0,
         "highest": F.max("value")}, late="2 days")
     metrics.writeStream.foreachBatch(w.versioned_sink(f"{out}/rows")).outputMode("update").option(
         "checkpointLocation", f"{out}/checkpoint").trigger(
