@@ -114,47 +114,55 @@ def _named_results(metrics: DataFrame, names: Sequence[tuple[str, str]]) -> Data
             "constraint_status"))
 
 
-_WHOLE_TYPES = ("tinyint", "smallint", "int", "bigint")
+def _key_kind(df: DataFrame, column: str) -> str:
+    kind = df.schema[column].dataType.simpleString()
+    return "bigint" if kind in ("tinyint", "smallint", "int", "bigint") else kind
 
 
 def _unique_results(checks: Sequence[tuple[DataFrame, Check]]) -> list[DataFrame]:
-    """All unique keys of all tables, in one count for whole numbers and one for text."""
+    """All unique keys of all tables, in one count per type of key."""
+    by_kind: dict[str, list[tuple[int, str, str]]] = {}
+    for t, (df, check) in enumerate(checks):
+        for label, c in check.uniques:
+            by_kind.setdefault(_key_kind(df, c), []).append((t, label, c))
     results = []
-    for kind in ("bigint", "string"):
-        names, cells = [], []
-        for df, check in checks:
-            keys = []
-            for label, c in check.uniques:
-                if (df.schema[c].dataType.simpleString() in _WHOLE_TYPES) == (kind == "bigint"):
-                    keys.append((len(names), F.col(c)))
-                    names.append((check.name, label))
-            if keys:
-                cells.append((df, keys))
-        if cells:
-            n, known = F.col("n"), F.col("key").isNotNull()
-            metrics = _key_counts(cells, kind).groupBy("i").agg(F.try_divide(
-                F.sum(F.when(known & (n == 1), 1).otherwise(0)),
-                F.sum(F.when(known, n).otherwise(0))).alias("metric"))
-            results.append(_named_results(metrics, names))
+    n, known = F.col("n"), F.col("key").isNotNull()
+    for kind, keys in by_kind.items():
+        cells = [
+            (checks[t][0], [(i, F.col(c)) for i, (u, _, c) in enumerate(keys) if u == t])
+            for t in dict.fromkeys(t for t, _, _ in keys)]
+        metrics = _key_counts(cells, kind).groupBy("i").agg(F.try_divide(
+            F.sum(F.when(known & (n == 1), 1).otherwise(0)),
+            F.sum(F.when(known, n).otherwise(0))).alias("metric"))
+        results.append(_named_results(
+            metrics, [(checks[t][1].name, label) for t, label, _ in keys]))
     return results
 
 
 def _parent_results(checks: Sequence[tuple[DataFrame, Check]]) -> list[DataFrame]:
-    """All foreign keys of all facts: counts per key value meet the parents' keys."""
-    names, cells, parents = [], [], []
+    """All foreign keys of all facts: counts per key value meet the parents' keys.
+
+    A parent that serves several facts is read and joined once.
+    """
+    names, cells, parent_of = [], [], []
+    parents: dict[tuple[int, str], DataFrame] = {}
     for df, check in checks:
         keys = []
         for label, fk in check.parents:
             keys.append((len(names), F.col(fk.column)))
-            parents.append(fk.parent.select(
-                F.lit(len(names)).alias("i"), F.col(fk.parent_key).cast("bigint").alias("key")))
             names.append((check.name, label))
+            place = (id(fk.parent), fk.parent_key)
+            parents.setdefault(place, fk.parent.select(
+                F.lit(len(parents)).alias("p"), F.col(fk.parent_key).cast("bigint").alias("key")))
+            parent_of.append(list(parents).index(place))
         if keys:
             cells.append((df, keys))
     if not cells:
         return []
-    known = reduce(DataFrame.union, parents).distinct().withColumn("found", F.lit(True))
-    metrics = _key_counts(cells, "bigint").join(known, ["i", "key"], "left").groupBy("i").agg(
+    known = reduce(DataFrame.union, parents.values()).distinct().withColumn("found", F.lit(True))
+    counts = _key_counts(cells, "bigint").withColumn(
+        "p", F.get(F.array(*[F.lit(p) for p in parent_of]), F.col("i")))
+    metrics = counts.join(known, ["p", "key"], "left").groupBy("i").agg(
         F.try_divide(F.sum(F.when(F.col("found"), F.col("n")).otherwise(0)), F.sum("n")).alias(
             "metric"))
     return [_named_results(metrics, names)]

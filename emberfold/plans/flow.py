@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,7 +12,8 @@ from emberfold.plans.cleaning import (
     clean_earthquakes, clean_landslides, clean_tsunamis, clean_volcanoes)
 from emberfold.plans.galaxy import build_dimensions, build_facts, gold_checks
 from emberfold.sources.files import read_csv
-from emberfold.sources.tables import publish, publish_all
+from emberfold.sources.tables import ensure_schema, publish, publish_all
+from emberfold.storage import run_together
 
 CLEANERS = {
     "earthquake": clean_earthquakes, "tsunami": clean_tsunamis,
@@ -44,9 +46,11 @@ def run_batch(spark: SparkSession, feeds: Mapping[str, DataFrame], root: str,
     repeated for the 13 gold tables. The check results are stored before the
     gate may raise.
     """
-    silver = {
-        name: publish(CLEANERS[name](raw), silver_schema, f"df_{name}", root)
-        for name, raw in feeds.items()}
+    def clean(name: str, raw: DataFrame) -> DataFrame:
+        return publish(CLEANERS[name](raw), silver_schema, f"df_{name}", root)
+
+    ensure_schema(spark, silver_schema)
+    silver = run_together({name: partial(clean, name, raw) for name, raw in feeds.items()})
     gold = publish_all(
         {**build_dimensions(spark, silver, narrow), **build_facts(silver, narrow)},
         gold_schema, root)

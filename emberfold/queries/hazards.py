@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from emberfold.queries import feeds
 from emberfold.queries.base import query, sql_decode
 from emberfold.queries.repairs import boxes_sql, lookup_sql
 from emberfold.sources.files import read_csv
-from emberfold.storage import materialize, scratch_path
+from emberfold.storage import materialize, run_together, scratch_path
 
 
 def _ints(*columns: str) -> str:
@@ -137,8 +139,9 @@ def silver_volcano(spark, sf_dir):
 def _silver(spark, sf_dir) -> dict[str, DataFrame]:
     cleaners = {"earthquake": silver_earthquake, "tsunami": silver_tsunami,
                 "landslide": silver_landslide, "volcano": silver_volcano}
-    return {name: _stored(spark, sf_dir, f"silver-{name}", lambda: clean(spark, sf_dir))
-            for name, clean in cleaners.items()}
+    return run_together({
+        name: partial(_stored, spark, sf_dir, f"silver-{name}", partial(clean, spark, sf_dir))
+        for name, clean in cleaners.items()})
 
 
 def _gold(spark, sf_dir, *names: str) -> dict[str, DataFrame]:
@@ -150,8 +153,9 @@ def _gold(spark, sf_dir, *names: str) -> dict[str, DataFrame]:
             return dims[name]
         return galaxy.FACTS[name](silver[name.removeprefix("fact_")])
 
-    return {name: _stored(spark, sf_dir, name, lambda: build(name))
-            for name in names or (*dims, *galaxy.FACTS)}
+    return run_together({
+        name: partial(_stored, spark, sf_dir, name, partial(build, name))
+        for name in names or (*dims, *galaxy.FACTS)})
 
 
 _SILVER_CTES = f"""quake AS MATERIALIZED (SELECT * FROM {EARTHQUAKE_SILVER} s1),

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from emberfold.storage import run_together
+
 
 def ensure_schema(spark: SparkSession, schema: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
@@ -52,4 +55,6 @@ def publish(df: DataFrame, schema: str, table: str, root: str,
 
 
 def publish_all(tables: Mapping[str, DataFrame], schema: str, root: str) -> dict[str, DataFrame]:
-    return {name: publish(df, schema, name, root) for name, df in tables.items()}
+    ensure_schema(next(iter(tables.values())).sparkSession, schema)
+    return run_together({
+        name: partial(publish, df, schema, name, root) for name, df in tables.items()})

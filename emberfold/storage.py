@@ -4,9 +4,24 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
+# Independent jobs submitted at a time; most of the tables they write are small.
+PARALLEL_JOBS = 4
+
+
+def run_together(jobs: Mapping[str, Callable[[], T]]) -> dict[str, T]:
+    """Run independent jobs side by side, so that small ones share the cluster."""
+    with ThreadPoolExecutor(PARALLEL_JOBS) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: job.result() for name, job in running.items()}
+
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path, never used before, below the folder all executors share.
