@@ -147,12 +147,14 @@ LANDSLIDES_SQL = """(SELECT l_orderkey * 10 + l_linenumber AS event_id,
       AS landslide_trigger,
     CASE WHEN l_suppkey % 6 <> 0 THEN 'size ' || l_linestatus END AS landslide_size,
     CASE WHEN l_linenumber % 3 <> 0 THEN 'at ' || l_linenumber END AS landslide_setting,
-    CASE WHEN l_partkey % 5 <> 0 THEN l_partkey % 40 END AS fatality_count,
+    CASE WHEN l_partkey % 31 = 0 THEN 'many' WHEN l_partkey % 5 = 0 THEN NULL
+         ELSE CAST(l_partkey % 40 AS VARCHAR) END AS fatality_count,
     CASE WHEN l_suppkey % 5 = 0 THEN l_suppkey ELSE l_partkey % 12 END AS injury_count,
     CASE WHEN l_partkey % 6 <> 0 THEN 'Nation_' || (l_suppkey % 25) END AS country_name,
-    CAST(((l_partkey * 7) % 361 - 180) || '.5' AS DOUBLE) AS longitude,
+    CASE WHEN l_partkey % 43 = 0 THEN 'west'
+         ELSE ((l_partkey * 7) % 361 - 180) || '.5' END AS longitude,
     CAST(((l_suppkey * 11 + l_partkey) % 180 - 90) || '.75' AS DOUBLE) AS latitude
-  FROM lineitem WHERE l_partkey % 31 <> 0 AND l_partkey % 43 <> 0)"""
+  FROM lineitem)"""
 
 
 def volcanoes(spark, sf_dir) -> DataFrame:

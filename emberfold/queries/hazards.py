@@ -59,7 +59,12 @@ _LABELLED = f"""(SELECT * REPLACE (COALESCE(country_name,
       {boxes_sql(cleaning.COUNTRY_BOXES, 'longitude', 'latitude')}) AS country_name),
     TRY_STRPTIME(event_date, '%m/%d/%Y %I:%M:%S %p') AS t
   FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(_SUBSET)} ORDER BY event_id) AS r
-        FROM {feeds.LANDSLIDES_SQL} s) d WHERE r = 1)"""
+        FROM (SELECT * REPLACE (TRY_CAST(longitude AS DOUBLE) AS longitude,
+                                TRY_CAST(fatality_count AS INTEGER) AS fatality_count)
+              FROM {feeds.LANDSLIDES_SQL} f
+              WHERE TRY_CAST(longitude AS DOUBLE) IS NOT NULL AND (
+                TRY_CAST(fatality_count AS INTEGER) IS NOT NULL OR fatality_count IS NULL)) s) d
+  WHERE r = 1)"""
 
 
 def _imputed(column: str) -> str:

@@ -121,13 +121,14 @@ def _landed_messages(spark, sf_dir) -> str:
     return path
 
 
-@query("s1_stream_parse", f"""
-    SELECT CASE WHEN event_id % 50 = 7 THEN NULL ELSE temperature END AS temperature,
-           CASE WHEN event_id % 50 = 7 THEN NULL ELSE rh END AS rh,
-           CASE WHEN event_id % 50 = 7 THEN NULL ELSE ws END AS ws,
-           CASE WHEN event_id % 50 = 7 THEN NULL ELSE rain END AS rain,
-           event_id % 50 <> 7 AS is_reading
-    FROM {READINGS_SQL} r""")
+# Junk lines parse to four NULLs.
+_PARSED_SQL = "(SELECT " + ", ".join(
+    f"CASE WHEN event_id % 50 = 7 THEN NULL ELSE {c} END AS {c}" for c in w.FIELDS
+) + f" FROM {READINGS_SQL} r)"
+_USABLE_SQL = "(" + " OR ".join(f"{c} IS NOT NULL" for c in w.FIELDS) + ")"
+
+
+@query("s1_stream_parse", f"SELECT *, {_USABLE_SQL} AS is_reading FROM {_PARSED_SQL} p")
 def s1_stream_parse(spark, sf_dir):
     out = scratch_path(spark, "parsed")
     parsed = w.parse_messages(w.text_stream(spark, _landed_messages(spark, sf_dir)))
@@ -147,16 +148,16 @@ def _run_sinks(spark, sf_dir) -> str:
 
 @query("s4_dual_sink", f"""
     SELECT temperature, rh, ws, rain, {ROUNDED_CODES_SQL}
-    FROM {float_codes_sql(f'(SELECT * FROM {READINGS_SQL} r WHERE event_id % 50 <> 7)', '7')} x""")
+    FROM {float_codes_sql(f'(SELECT * FROM {_PARSED_SQL} p WHERE {_USABLE_SQL})', '7')} x""")
 def s4_dual_sink(spark, sf_dir):
     out = _run_sinks(spark, sf_dir)
     return spark.read.parquet(f"{out}/features").select(*w.FIELDS, *rounded_codes())
 
 
-@query("s4_sink_counts", """
-    SELECT 'raw' AS sink, COUNT(*) AS stored FROM events
-    UNION ALL SELECT 'features', COUNT(*) FROM events WHERE event_id % 50 <> 7
-    UNION ALL SELECT 'quarantine', COUNT(*) FROM events WHERE event_id % 50 = 7""")
+@query("s4_sink_counts", f"""
+    SELECT 'raw' AS sink, COUNT(*) AS stored FROM {_PARSED_SQL} p
+    UNION ALL SELECT 'features', COUNT(*) FILTER ({_USABLE_SQL}) FROM {_PARSED_SQL} p
+    UNION ALL SELECT 'quarantine', COUNT(*) FILTER (NOT {_USABLE_SQL}) FROM {_PARSED_SQL} p""")
 def s4_sink_counts(spark, sf_dir):
     out = _run_sinks(spark, sf_dir)
     counts = [spark.read.parquet(f"{out}/{sink}").agg(

@@ -10,16 +10,6 @@ def plan(df) -> str:
     return df._jdf.queryExecution().toString()
 
 
-BATCH = sorted(n for n in entry.queries() if n not in {"m1_regression", "m5_vector_classifier"})
-
-
-@pytest.mark.parametrize("name", BATCH)
-def test_no_python_and_no_products(spark, sf_dir, name):
-    text = plan(entry.queries()[name](spark, sf_dir))
-    for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "Window ["):
-        assert bad not in text
-
-
 @pytest.mark.parametrize("name", ["d1_override", "d2_lookup_fill", "d3_composite_fill",
                                   "d5_bbox_rangejoin", "silver_earthquake", "silver_tsunami"])
 def test_lookups_move_no_rows(spark, sf_dir, name):
