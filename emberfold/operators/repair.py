@@ -151,8 +151,11 @@ def keep_first(df: DataFrame, subset: Sequence[str], order_by: Sequence[str]) ->
     if rest == list(order_by) and len(rest) == 1:
         picked = df.groupBy(*subset).agg(F.min(rest[0]).alias(rest[0]))
         return picked.select(*df.columns)
-    order = F.struct(*[part for c in order_by for part in (F.col(c).isNull(), F.col(c))])
-    picked = df.groupBy(*subset).agg(
-        F.min_by(F.struct(*[F.col(c) for c in rest]), order).alias("_row"))
+    order = [part for c in order_by for part in (F.col(c).isNull().alias("no_" + c), F.col(c))]
+    if sorted(rest) == sorted(order_by):
+        first = F.min(F.struct(*order))
+    else:
+        first = F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*order))
+    picked = df.groupBy(*subset).agg(first.alias("_row"))
     return picked.select(*[
         F.col("_row")[c].alias(c) if c in rest else F.col(c) for c in df.columns])

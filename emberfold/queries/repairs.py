@@ -193,9 +193,8 @@ def d12_weather_normalize(spark, sf_dir):
         F.when(F.col("event_id") % 3 == 0, F.concat(
             F.lit(',"rain":{"1h":'), (F.col("event_id") % 9).cast("string"), F.lit(".25}"))
         ).otherwise(""), F.lit("}"))
-    shaped = table(spark, sf_dir, "events").select("event_id", payload.alias("p")).select(
-        "event_id", *[c.alias(n) for n, c in normalize_payload(F.col("p")).items()])
-    return shaped.withColumn("ws", F.round("ws", 6))
+    events = table(spark, sf_dir, "events").select("event_id", payload.alias("p"))
+    return normalize_payload(events, "p").withColumn("ws", F.round("ws", 6)).drop("p")
 
 
 @query("e9_json_fns", """

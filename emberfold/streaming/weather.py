@@ -52,14 +52,15 @@ def is_reading() -> Column:
     return any_present(*[F.col(name) for name in FIELDS])
 
 
-def normalize_payload(payload: Column) -> dict[str, Column]:
-    """Readings from the provider's JSON: wind to km/h, missing rain to 0."""
-    data = F.from_json(payload, PAYLOAD_SCHEMA)
-    return {
-        "temperature": data["main"]["temp"], "rh": data["main"]["humidity"],
-        "ws": data["wind"]["speed"] * KMH_PER_MS,
-        "rain": F.coalesce(data["rain"]["1h"], F.lit(0.0)),
-    }
+def normalize_payload(df: DataFrame, payload: str) -> DataFrame:
+    """Add readings from the provider's JSON: wind to km/h, missing rain to 0."""
+    # a column of its own, so that each payload is parsed once and not once per field
+    parsed = df.withColumn("_data", F.from_json(payload, PAYLOAD_SCHEMA))
+    return parsed.withColumns({
+        "temperature": F.col("_data.main.temp"), "rh": F.col("_data.main.humidity"),
+        "ws": F.col("_data.wind.speed") * KMH_PER_MS,
+        "rain": F.coalesce(F.col("_data.rain.1h"), F.lit(0.0)),
+    }).drop("_data")
 
 
 def to_message() -> Column:
