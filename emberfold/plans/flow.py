@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from emberfold.operators.quality import gate, run_checks
 from emberfold.plans.cleaning import (
@@ -39,21 +40,27 @@ def read_feeds(spark: SparkSession, bronze: str) -> dict[str, DataFrame]:
 
 def run_batch(spark: SparkSession, feeds: Mapping[str, DataFrame], root: str,
               silver_schema: str = "silver", gold_schema: str = "gold",
-              narrow: bool = False, enforce: bool = True) -> dict[str, DataFrame]:
+              narrow: bool = False, enforce: bool = True,
+              by_decade: bool = False) -> dict[str, DataFrame]:
     """Run everything and return the gold tables and ``check_results``.
 
     Each stage reads the stored tables of the one before, so no cleaning is
     repeated for the 13 gold tables. The check results are stored before the
-    gate may raise.
+    gate may raise. ``by_decade`` adds that column to the facts and partitions
+    them by it, so that a query over some years reads only their files.
     """
     def clean(name: str, raw: DataFrame) -> DataFrame:
         return publish(CLEANERS[name](raw), silver_schema, f"df_{name}", root)
 
     ensure_schema(spark, silver_schema)
     silver = run_together({name: partial(clean, name, raw) for name, raw in feeds.items()})
+    facts, layout = build_facts(silver, narrow), {}
+    if by_decade:
+        year = F.col("date_key") % 10_000  # the last four digits of DDMMYYYY
+        facts = {name: df.withColumn("decade", year - year % 10) for name, df in facts.items()}
+        layout = {name: ["decade"] for name in facts}
     gold = publish_all(
-        {**build_dimensions(spark, silver, narrow), **build_facts(silver, narrow)},
-        gold_schema, root)
+        {**build_dimensions(spark, silver, narrow), **facts}, gold_schema, root, layout)
     results = publish(run_checks(gold_checks(gold)), gold_schema, "check_results", root)
     if enforce:
         gate(results)

@@ -198,7 +198,7 @@ def e2_string_fns(spark, sf_dir):
            CAST(minute(t) AS INTEGER) AS minute, CAST(quarter(t) AS INTEGER) AS quarter,
            CAST(dayofweek(t) + 1 AS INTEGER) AS weekday_sun1,
            CAST(isodow(t) AS INTEGER) AS weekday, CAST(dayofyear(t) AS INTEGER) AS day_of_year,
-           CAST(t AS DATE) AS full_date
+           CAST(CAST(t AS DATE) AS VARCHAR) AS full_date
     FROM (SELECT event_id, ts_text, TRY_STRPTIME(ts_text, '%m/%d/%Y %I:%M:%S %p') AS t
           FROM (SELECT event_id, CASE WHEN event_id % 31 = 0 THEN 'no date'
                        ELSE strftime(ts, '%m/%d/%Y %I:%M:%S %p') END AS ts_text FROM events) a) b""")
@@ -212,7 +212,7 @@ def e3_date_parts(spark, sf_dir):
         .select(k, "ts_text", *[c.alias(n) for n, c in s.timestamp_parts(t).items()],
                 F.quarter(t).alias("quarter"), s.sunday_first_weekday(t).alias("weekday_sun1"),
                 s.iso_weekday(t).alias("weekday"), F.dayofyear(t).alias("day_of_year"),
-                F.to_date(t).alias("full_date")))
+                F.to_date(t).cast("string").alias("full_date")))
 
 
 @query("e4_math_fns", """

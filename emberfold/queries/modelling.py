@@ -19,7 +19,7 @@ from emberfold.queries.base import query, table
                                                   INTERVAL 1 DAY)) AS DATE) AS full_date FROM b),
          o AS (SELECT CAST(o_orderdate AS DATE) AS od, COUNT(*) AS n FROM orders GROUP BY 1)
     SELECT CAST(day(full_date) * 1000000 + month(full_date) * 10000 + year(full_date) AS INTEGER)
-             AS date_key, full_date, CAST(year(full_date) AS INTEGER) AS year,
+             AS date_key, CAST(full_date AS VARCHAR) AS full_date, CAST(year(full_date) AS INTEGER) AS year,
            CAST(month(full_date) AS INTEGER) AS month, CAST(day(full_date) AS INTEGER) AS day,
            CAST(quarter(full_date) AS INTEGER) AS quarter,
            CAST(isodow(full_date) AS INTEGER) AS weekday,
@@ -33,8 +33,9 @@ def g1_dim_date(spark, sf_dir):
     per_day = orders.groupBy(
         s.date_key(F.dayofmonth(day), F.month(day), F.year(day)).alias("date_key")).agg(
         F.count(F.lit(1)).alias("orders"))
-    return dim_date(spark, first, last).join(per_day, "date_key", "left").withColumn(
-        "orders", F.coalesce("orders", F.lit(0).cast("bigint")))
+    return dim_date(spark, first, last).join(per_day, "date_key", "left").withColumns({
+        "full_date": F.col("full_date").cast("string"),
+        "orders": F.coalesce("orders", F.lit(0).cast("bigint"))})
 
 
 @query("g2_hash_key", """

@@ -222,11 +222,11 @@ _STEP_SQL = codes_sql(
              CAST(NULL AS DOUBLE) AS v, CAST(NULL AS DOUBLE) AS f, CAST(NULL AS DOUBLE) AS d,
              CAST(NULL AS DOUBLE) AS c FROM daily
       UNION ALL SELECT * FROM {_STEP_SQL} step)
-    SELECT station, day, round(f, 3) AS ffmc, round(d, 3) AS dmc, round(c, 3) AS dc,
+    SELECT station, CAST(day AS VARCHAR) AS day, round(f, 3) AS ffmc, round(d, 3) AS dmc, round(c, 3) AS dc,
            round({_isi}, 3) AS isi, round({_bui}, 3) AS bui
     FROM codes WHERE i > 0""")
 def s9_fwi_carry(spark, sf_dir):
     rows = readings(spark, sf_dir).withColumns(
         {c: F.col(c).cast("double") for c in w.FIELDS}).withColumnRenamed("user_id", "station")
     return carried_codes(daily_readings(rows, "station", "ts"), "station").select(
-        "station", "day", *rounded_codes())
+        "station", F.col("day").cast("string").alias("day"), *rounded_codes())

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from emberfold.storage import run_together
 
@@ -32,10 +33,14 @@ def publish(df: DataFrame, schema: str, table: str, root: str,
 
     The rows go to a new folder first and the table is then pointed at it, so
     readers never see half a table and ``df`` may read the table it replaces.
+    Partitioned tables are rebalanced by their partition columns first: few files
+    per partition, and a large partition is still written by many tasks.
     """
     spark = df.sparkSession
     name = f"{schema}.{table}"
     path = f"{root.rstrip('/')}/{schema}/{table}/v-{uuid.uuid4().hex}"
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     df.write.format(format).partitionBy(*partition_by).save(path)
     stored = spark.read.format(format).schema(df.schema).load(path)
 
@@ -54,7 +59,10 @@ def publish(df: DataFrame, schema: str, table: str, root: str,
     return spark.table(name)
 
 
-def publish_all(tables: Mapping[str, DataFrame], schema: str, root: str) -> dict[str, DataFrame]:
+def publish_all(tables: Mapping[str, DataFrame], schema: str, root: str,
+                partition_by: Mapping[str, Sequence[str]] | None = None) -> dict[str, DataFrame]:
     ensure_schema(next(iter(tables.values())).sparkSession, schema)
+    layout = partition_by or {}
     return run_together({
-        name: partial(publish, df, schema, name, root) for name, df in tables.items()})
+        name: partial(publish, df, schema, name, root, layout.get(name, ()))
+        for name, df in tables.items()})

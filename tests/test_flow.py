@@ -53,7 +53,11 @@ def test_csv_flow_equals_direct_flow(spark, sf_dir, bronze):
 
 def test_narrow_keys_are_the_plain_hash(spark, bronze):
     gold = run_batch(spark, read_feeds(spark, bronze), scratch_path(spark, "t-narrow"),
-                     narrow=True, enforce=False, **names())
+                     narrow=True, enforce=False, by_decade=True, **names())
+    nineties = gold["fact_volcano"].where("decade = 1990")
+    assert nineties.count() == gold["fact_volcano"].where(
+        "date_key % 10000 BETWEEN 1990 AND 1999").count() > 0
+    assert all("decade=1990" in f for f in nineties.inputFiles())
     wrong = gold["dim_location"].where(
         F.col("location_key") != F.abs(F.hash("location").cast("bigint")))
     assert wrong.isEmpty()
