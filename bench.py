@@ -6,6 +6,8 @@ BENCH_QUERIES  comma-separated names, or "all"
 BENCH_RUNS     timed runs per query after one warm-up run (default 3)
 
 Every run builds the plan anew and computes every row and column of the result.
+"shuffle_mb" is what one run of a query writes to shuffles, from the event log
+(jobs that a stream starts on its own thread are not in it).
 """
 
 from __future__ import annotations
@@ -13,7 +15,9 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
+from pathlib import Path
 
 from emberfold.queries import QUERIES
 from emberfold.session import build_session
@@ -35,25 +39,48 @@ def timed(query, spark, sf_dir: str) -> float:
     return time.perf_counter() - start
 
 
+def shuffle_megabytes(log_dir: str, runs: int) -> dict[str, float]:
+    """Bytes written to shuffles per job group, for one of its runs."""
+    owner, written = {}, {}
+    for log in Path(log_dir).iterdir():
+        for line in log.open():
+            event = json.loads(line)
+            if event["Event"] == "SparkListenerJobStart":
+                group = event.get("Properties", {}).get("spark.jobGroup.id")
+                owner.update({stage: group for stage in event["Stage IDs"]})
+            elif event["Event"] == "SparkListenerTaskEnd" and event.get("Task Metrics"):
+                group = owner.get(event["Stage ID"])
+                size = event["Task Metrics"]["Shuffle Write Metrics"]["Shuffle Bytes Written"]
+                written[group] = written.get(group, 0) + size
+    return {g: round(size / runs / 1e6, 3) for g, size in written.items() if g}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     wanted = os.environ.get("BENCH_QUERIES", "")
     names = list(QUERIES) if wanted == "all" else wanted.split(",") if wanted else HEADLINE
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = build_session(f"local[{cpus}]", cpus, **{"spark.driver.memory": "12g"})
+    log_dir = tempfile.mkdtemp(prefix="emberfold-bench-")
+    spark = build_session(f"local[{cpus}]", cpus, **{
+        "spark.driver.memory": "12g", "spark.eventLog.enabled": "true",
+        "spark.eventLog.dir": f"file://{log_dir}", "spark.eventLog.rolling.enabled": "false",
+        "spark.eventLog.compress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
 
     cold, warm = {}, {}
     for name in names:
+        spark.sparkContext.setJobGroup(name + ":cold", name)
         cold[name] = round(timed(QUERIES[name], spark, sf_dir), 3)
+        spark.sparkContext.setJobGroup(name, name)
         warm[name] = round(statistics.median(
             timed(QUERIES[name], spark, sf_dir) for _ in range(runs)), 3)
     spark.stop()
+    shuffled = shuffle_megabytes(log_dir, runs)
     print(json.dumps({
         "metric": "sum of median warm seconds over the headline queries",
         "value": round(sum(warm.values()), 3), "unit": "sec", "queries": warm,
-        "cold": cold, "runs": runs, "cpus": cpus, "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
+        "cold": cold, "shuffle_mb": {n: shuffled.get(n, 0.0) for n in names}, "runs": runs, "cpus": cpus, "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
     }))
 
 

@@ -70,20 +70,37 @@ class Check:
         return len(self.ratios) + len(self.uniques) + len(self.parents)
 
 
-def _result(check: str, constraint: str, metric: Column, holds: Column) -> Column:
-    return F.struct(
-        F.lit(check).alias("check"), F.lit(constraint).alias("constraint"),
-        metric.alias("metric"),
-        F.when(holds, F.lit(SUCCESS)).otherwise(F.lit(FAILURE)).alias("constraint_status"))
-
+def _ratio_results(checks: Sequence[tuple[DataFrame, Check]]) -> list[DataFrame]:
+    """Shares of all completeness and predicate constraints of all tables.
 
-def _ratio_results(df: DataFrame, check: Check) -> DataFrame:
-    sums = df.agg(*[
-        F.avg(flag.cast("double")).alias(f"m{i}") for i, (_, flag, _) in enumerate(check.ratios)])
-    rows = [
-        _result(check.name, label, F.col(f"m{i}"), holds(F.col(f"m{i}")))
-        for i, (label, _, holds) in enumerate(check.ratios)]
-    return sums.select(F.inline(F.array(*rows)))
+    Every table turns its rows into flags, and one aggregate averages the flags
+    of all tables. Each table comes with a row of NULLs, which keeps an empty
+    table present.
+    """
+    checks = [(df, check) for df, check in checks if check.ratios]
+    if not checks:
+        return []
+    names, holding, frames, seeds = [], {}, [], []
+    columns = [f"m{k}" for k in range(max(len(check.ratios) for _, check in checks))]
+    nothing = F.lit(None).cast("double")
+    for df, check in checks:
+        flags = [flag.cast("double") for _, flag, _ in check.ratios]
+        flags += [nothing] * (len(columns) - len(flags))
+        group = [F.lit(len(names)).alias("first"), F.lit(len(check.ratios)).alias("many")]
+        frames.append(df.select(*group, *[f.alias(m) for f, m in zip(flags, columns)]))
+        seeds.append(F.struct(*group))
+        for label, _, holds in check.ratios:
+            if holds is not _is_one:
+                holding[len(names)] = holds
+            names.append((check.name, label))
+    empty = checks[0][0].sparkSession.range(1).select(F.inline(F.array(*seeds))).select(
+        "*", *[nothing.alias(m) for m in columns])
+    shares = reduce(DataFrame.unionByName, frames, empty).groupBy("first", "many").agg(
+        *[F.avg(m).alias(m) for m in columns])
+    metrics = shares.select("first", "many", F.posexplode(F.array(*columns)).alias("at", "metric"))
+    return [_named_results(
+        metrics.where("at < many").select((F.col("first") + F.col("at")).alias("i"), "metric"),
+        names, holding)]
 
 
 def _key_counts(cells: Sequence[tuple[DataFrame, Sequence[tuple[int, Column]]]],
@@ -104,14 +121,21 @@ def _key_counts(cells: Sequence[tuple[DataFrame, Sequence[tuple[int, Column]]]],
     return reduce(DataFrame.unionByName, parts).groupBy("i", "key").agg(F.sum("w").alias("n"))
 
 
-def _named_results(metrics: DataFrame, names: Sequence[tuple[str, str]]) -> DataFrame:
-    """Results from ``i, metric``, where ``names[i]`` holds check and constraint."""
+def _named_results(metrics: DataFrame, names: Sequence[tuple[str, str]],
+                   holding: Mapping[int, Callable[[Column], Column]] | None = None) -> DataFrame:
+    """Results from ``i, metric``, where ``names[i]`` holds check and constraint.
+
+    A constraint holds at 1 unless ``holding`` has another condition for it.
+    """
+    i, metric = F.col("i"), F.col("metric")
+    holds = metric == 1.0
+    for at, condition in (holding or {}).items():
+        holds = F.when(i == at, condition(metric)).otherwise(holds)
     check, constraint = (
-        F.get(F.array(*[F.lit(name[at]) for name in names]), F.col("i")) for at in (0, 1))
+        F.get(F.array(*[F.lit(name[at]) for name in names]), i) for at in (0, 1))
     return metrics.select(
-        check.alias("check"), constraint.alias("constraint"), "metric",
-        F.when(F.col("metric") == 1.0, F.lit(SUCCESS)).otherwise(F.lit(FAILURE)).alias(
-            "constraint_status"))
+        check.alias("check"), constraint.alias("constraint"), metric,
+        F.when(holds, F.lit(SUCCESS)).otherwise(F.lit(FAILURE)).alias("constraint_status"))
 
 
 def _key_kind(df: DataFrame, column: str) -> str:
@@ -171,13 +195,12 @@ def _parent_results(checks: Sequence[tuple[DataFrame, Check]]) -> list[DataFrame
 def run_checks(checks: Sequence[tuple[DataFrame, Check]]) -> DataFrame:
     """Results as ``check, constraint, metric, constraint_status``.
 
-    One aggregate per table for all completeness and predicate constraints, one
-    count for all unique keys, one for all foreign keys. The metrics of an empty
-    table are NULL, and fail.
+    One aggregate over all tables for completeness and predicate constraints,
+    one count for all unique keys of a type, one for all foreign keys. The
+    metrics of an empty table are NULL, and fail.
     """
-    ratios = [_ratio_results(df, check) for df, check in checks if check.ratios]
-    return reduce(
-        DataFrame.unionByName, [*ratios, *_unique_results(checks), *_parent_results(checks)])
+    return reduce(DataFrame.unionByName, [
+        *_ratio_results(checks), *_unique_results(checks), *_parent_results(checks)])
 
 
 def gate(results: DataFrame) -> None:
