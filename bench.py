@@ -80,7 +80,8 @@ def main() -> None:
     print(json.dumps({
         "metric": "sum of median warm seconds over the headline queries",
         "value": round(sum(warm.values()), 3), "unit": "sec", "queries": warm,
-        "cold": cold, "shuffle_mb": {n: shuffled.get(n, 0.0) for n in names}, "runs": runs, "cpus": cpus, "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
+        "cold": cold, "shuffle_mb": {n: shuffled.get(n, 0.0) for n in names},
+        "runs": runs, "cpus": cpus, "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
     }))
 
 

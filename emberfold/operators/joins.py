@@ -79,18 +79,22 @@ def _all_present(columns: Sequence[str]) -> Column:
 
 def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str],
                 max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                hot_share: float = HOT_SHARE) -> DataFrame:
+                hot_share: float = HOT_SHARE, stored: bool = True) -> DataFrame:
     """Left join to a table that has one row per key; keeps every left row once.
 
-    ``right`` should be a stored table: its size is counted first. Small enough,
-    it is broadcast and ``left`` is not shuffled at all. Otherwise the join
-    shuffles, except for rows whose key is NULL or hot: those meet a broadcast
-    of the hot keys' rows, at most ``1 / hot_share`` of them.
+    The size of ``right`` is counted first. Small enough, it is broadcast and
+    ``left`` is not shuffled at all. Otherwise the join shuffles, except for rows
+    whose key is NULL or hot: those meet a broadcast of the hot keys' rows, at
+    most ``1 / hot_share`` of them. That way reads both sides more than once:
+    ``left`` should be a stored table, and if ``right`` is not, say so with
+    ``stored=False``.
     """
     on = list(on)
     if _fits_broadcast(right, max_broadcast_rows):
         return left.join(F.broadcast(right), on, "left")
 
+    if not stored:
+        right = materialize(right, "lookup-rows")
     present = left.select(*on).where(_all_present(on))
     total = present.count()
     hot_keys = materialize(

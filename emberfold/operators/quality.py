@@ -222,8 +222,8 @@ def foreign_key_flags(df: DataFrame, flags: Mapping[str, ForeignKey],
             F.col(key.parent_key).cast("bigint").alias("_fk")).where(
             F.col("_fk").isNotNull()).distinct().withColumn("_found", F.lit(1))
         keyed = df.withColumn("_fk", F.col(key.column).cast("bigint"))
-        df = lookup_join(keyed, known, ["_fk"], max_broadcast_rows).withColumn(
-            name, F.coalesce(F.col("_found"), F.lit(0))).drop("_fk", "_found")
+        joined = lookup_join(keyed, known, ["_fk"], max_broadcast_rows, stored=False)
+        df = joined.withColumn(name, F.coalesce(F.col("_found"), F.lit(0))).drop("_fk", "_found")
     return df
 
 
