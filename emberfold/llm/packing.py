@@ -35,16 +35,18 @@ GROUP_TOKENS = 8 << 20
 def pack(tokens: np.ndarray, loss: np.ndarray, limits: Limits, cut: bool) -> list[list[tuple]]:
     """Sequences of ``(example, start, length)``.
 
-    ``loss`` says which examples bear loss, on all their tokens or on none. Pieces of
-    ``limits.tokens`` that fill a sequence are split off first. With ``cut`` a piece is cut where
-    nothing fits whole, and a sequence that stays below the limit is split into
-    lengths that are powers of two; without, it stays short.
+    ``loss`` says which examples bear loss, on all their tokens or on none. What is longer
+    than a sequence can take is split first. With ``cut`` an example is also cut where nothing
+    fits whole, and a sequence that stays below the limit is split into lengths that are
+    powers of two; without, it stays short.
     """
     top = limits.tokens
     whole = min(top, limits.loss)
     bins, left, at = [], tokens.astype(np.int64).copy(), np.zeros(len(tokens), np.int64)
     for i in np.flatnonzero(left > np.where(loss, whole, top)):
         step = whole if loss[i] else top
+        if cut and step < top:
+            continue
         while left[i] > step or (cut and left[i] == step):
             bins.append([(int(i), int(at[i]), step)])
             at[i] += step
