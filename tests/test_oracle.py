@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from emberfold.queries import ORACLES, QUERIES
 from compare import connect, differences
 
 
@@ -14,7 +15,7 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, sf_dir, name):
     df = entry.queries()[name](spark, sf_dir)
     if name not in MODELS:
@@ -36,4 +37,4 @@ def test_entry(spark):
 
 
 def test_only_models_lack_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"m5_vector_classifier"}
+    assert set(QUERIES) - set(ORACLES) == {"m5_vector_classifier"}
