@@ -29,7 +29,7 @@ class Limits:
 
 # Examples packed together, and the ids they hold at most (unless one has more).
 GROUP_EXAMPLES = 4096
-GROUP_TOKENS = 8 << 20
+GROUP_TOKENS = 4 << 20
 
 
 def pack(tokens: np.ndarray, loss: np.ndarray, limits: Limits, cut: bool) -> list[list[tuple]]:
@@ -151,7 +151,7 @@ def pack_texts(df: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id
                     names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id",
                            "offset"])
 
-        for batch in pieces(batches, "text", 16 << 20):
+        for batch in pieces(batches, "text", 12 << 20):
             for name, mark, code in zip(batch.column("doc_id").to_pylist(),
                                         batch.column("bears").to_pylist(),
                                         encode_all(batch.column("text"))):

@@ -15,9 +15,11 @@ from emberfold.llm.worker import once
 
 # Words remembered per Python worker, about 150 bytes each. Others are encoded
 # again in each batch that has them; the ids are the same.
-MEMO_WORDS = 500_000
+MEMO_WORDS = 400_000
 # Words whose ids are gathered at a time.
 _GATHER = 500_000
+# Words given to the tokenizer at a time.
+_ENCODE = 8_192
 _POINTS = ",.;:!?"
 # A space after white space: a cut before it could part what the tokenizer joins.
 _JOINED = r"[\s\p{Z}\x{85}\x1c-\x1f] "
@@ -51,8 +53,9 @@ class Encoder:
         self.words: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in
-                self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        # in slices: the library's own results are many times larger than the ids
+        return [array("I", e.ids).tobytes() for k in range(0, len(texts), _ENCODE) for e in
+                self.tokenizer.encode_batch_fast(texts[k:k + _ENCODE], add_special_tokens=False)]
 
     def _spaced(self, words: list[str]) -> list[bytes]:
         """Ids of each distinct word with a space before it."""
