@@ -15,7 +15,7 @@ from emberfold.llm.worker import once
 
 # Words remembered per Python worker, about 150 bytes each. Others are encoded
 # again in each batch that has them; the ids are the same.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 500_000
 # Words whose ids are gathered at a time.
 _GATHER = 500_000
 # Words given to the tokenizer at a time.
@@ -51,12 +51,26 @@ class Encoder:
                      and not pre.get("add_prefix_space") and not spec.get("normalizer"))
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
         self.words: dict[str, bytes] = {}
+        # byte-level models know bytes as characters: printable ones as they are, the others
+        # in order from 256 on
+        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        others = [b for b in range(256) if b not in shown]
+        self.table = {b: 256 + k for k, b in enumerate(others)}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         # in slices: the library's own results are many times larger than the ids
         return [array("I", e.ids).tobytes() for k in range(0, len(texts), _ENCODE) for e in
                 self.tokenizer.encode_batch_fast(texts[k:k + _ENCODE], add_special_tokens=False)]
 
+    def _encode_spaced(self, words: list[str]) -> list[bytes]:
+        """Ids of each word with a space before it; letters alone go straight to the model."""
+        model, table = self.tokenizer.model.tokenize, self.table
+        plain = [w.isalpha() and (w.isascii() or max(w) < "\u0530") for w in words]
+        rest = iter(self._encode([" " + w for w, p in zip(words, plain) if not p]))
+        return [array("I", [t.id for t in model(
+                    (" " + w).encode().decode("latin-1").translate(table))]).tobytes()
+                if p else next(rest) for w, p in zip(words, plain)]
+
     def _spaced(self, words: list[str]) -> list[bytes]:
         """Ids of each distinct word with a space before it."""
         known = self.words
@@ -71,7 +85,7 @@ class Encoder:
             bare.append(base)
             tails.append(word[len(base):])
         need = list(set(bare).difference(known))
-        fresh = dict(zip(need, self._encode([" " + w for w in need])))
+        fresh = dict(zip(need, self._encode_spaced(need)))
         ends = list(set(tails))
         end_ids = dict(zip(ends, self._encode(ends)))
         for i, base, tail in zip(misses, bare, tails):
