@@ -55,7 +55,7 @@ class Encoder:
         # in order from 256 on
         shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
         others = [b for b in range(256) if b not in shown]
-        self.table = {b: 256 + k for k, b in enumerate(others)}
+        self.table = {b: chr(256 + k) for k, b in enumerate(others)}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         # in slices: the library's own results are many times larger than the ids
@@ -67,8 +67,9 @@ class Encoder:
         model, table = self.tokenizer.model.tokenize, self.table
         plain = [w.isalpha() and (w.isascii() or max(w) < "\u0530") for w in words]
         rest = iter(self._encode([" " + w for w, p in zip(words, plain) if not p]))
-        return [array("I", [t.id for t in model(
-                    (" " + w).encode().decode("latin-1").translate(table))]).tobytes()
+        space = table[32]
+        return [array("I", [t.id for t in model(space + (
+                    w if w.isascii() else w.encode().decode("latin-1").translate(table)))]).tobytes()
                 if p else next(rest) for w, p in zip(words, plain)]
 
     def _spaced(self, words: list[str]) -> list[bytes]:
