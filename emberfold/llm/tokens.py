@@ -30,6 +30,11 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _plain(word: str) -> bool:
+    """Letters alone, of scripts that all Unicode versions agree on."""
+    return word.isalpha() and (word.isascii() or max(word) < "\u0530")
+
+
 class Encoder:
     """Ids of whole texts, one array of unsigned 32-bit integers per text.
 
@@ -62,36 +67,43 @@ class Encoder:
         return [array("I", e.ids).tobytes() for k in range(0, len(texts), _ENCODE) for e in
                 self.tokenizer.encode_batch_fast(texts[k:k + _ENCODE], add_special_tokens=False)]
 
-    def _encode_spaced(self, words: list[str]) -> list[bytes]:
-        """Ids of each word with a space before it; letters alone go straight to the model."""
+    def _encode_words(self, words: list[str], before: str) -> list[bytes]:
+        """Ids of each word with ``before`` in front; letters alone go straight to the model."""
         model, table = self.tokenizer.model.tokenize, self.table
-        plain = [w.isalpha() and (w.isascii() or max(w) < "\u0530") for w in words]
-        rest = iter(self._encode([" " + w for w, p in zip(words, plain) if not p]))
-        space = table[32]
+        plain = [_plain(w) for w in words]
+        rest = iter(self._encode([before + w for w, p in zip(words, plain) if not p]))
+        space = before and table[32]
         return [array("I", [t.id for t in model(space + (
                     w if w.isascii() else w.encode().decode("latin-1").translate(table)))]).tobytes()
                 if p else next(rest) for w, p in zip(words, plain)]
 
     def _spaced(self, words: list[str]) -> list[bytes]:
-        """Ids of each distinct word with a space before it."""
+        """Ids of each distinct word with a space before it.
+
+        Punctuation after letters is cut off, and so is the first word of the next line.
+        """
         known = self.words
         out = list(map(known.get, words))
         misses = [i for i, ids in enumerate(out) if ids is None]
-        bare, tails = [], []
+        cuts = []
         for i in misses:
-            word = words[i]
-            base = word.rstrip(_POINTS)
+            head, line, last = words[i].partition("\n")
+            word = last.rstrip(_POINTS)
+            if not (line and head and not head[-1].isspace() and _plain(word)):
+                head, line, last, word = words[i], "", "", ""
+            base = head.rstrip(_POINTS)
             if not (base and base[-1].isalpha()):
-                base = word
-            bare.append(base)
-            tails.append(word[len(base):])
-        need = list(set(bare).difference(known))
-        fresh = dict(zip(need, self._encode_spaced(need)))
-        ends = list(set(tails))
-        end_ids = dict(zip(ends, self._encode(ends)))
-        for i, base, tail in zip(misses, bare, tails):
+                base = head
+            cuts.append((base, head[len(base):] + line, word, last[len(word):]))
+        need = list({c[0] for c in cuts}.difference(known))
+        fresh = dict(zip(need, self._encode_words(need, " ")))
+        need = list({c[2] for c in cuts})
+        begins = dict(zip(need, self._encode_words(need, "")))
+        need = list({e for c in cuts for e in (c[1], c[3])})
+        ends = dict(zip(need, self._encode(need)))
+        for i, (base, end, word, last) in zip(misses, cuts):
             ids = fresh.get(base) or known[base]
-            out[i] = ids + end_ids[tail] if tail else ids
+            out[i] = ids + ends[end] + begins[word] + ends[last] if end or word else ids
         room = MEMO_WORDS - len(known)
         if room > 0:
             known.update(islice(fresh.items(), room))
