@@ -11,6 +11,7 @@ from emberfold.llm.language import fit_tagger, held_out, with_language
 from emberfold.llm.mixing import mix, word_count
 from emberfold.llm.packing import pack_texts
 from emberfold.llm.simhash import near_duplicates
+from emberfold.llm.substring import drop_repeated_passages
 from emberfold.llm.templates import drop_recurring_lines
 from emberfold.llm.tokenfile import read_tokens, write_tokens
 from emberfold.llm.tokens import default_tokenizer
@@ -57,6 +58,13 @@ def op3(spark, sf_dir):
                         "component_id")
 
 
+@query("op4_substrings")
+def op4(spark, sf_dir):
+    kept = drop_repeated_passages(documents(spark, sf_dir), window=20)
+    return kept.select("doc_id", "n_words", "n_removed",
+                       F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query("op5_packing")
 def op5(spark, sf_dir):
     return with_ids_crc32(pack_texts(documents(spark, sf_dir), default_tokenizer(), end_id=1))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from emberfold.storage import materialize
 
 # A table is broadcast only if it was stored and its counted bytes stay below this.
-BROADCAST_BYTES = 16 * 1024 * 1024
+BROADCAST_BYTES = 24 * 1024 * 1024
 _STORE = "_emberfold_worker_store"
 
 
@@ -44,7 +44,7 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str,
             first = last
 
 
-def attach(left: DataFrame, right: DataFrame, on: str, label: str,
+def attach(left: DataFrame, right: DataFrame, on: str | list[str], label: str,
            how: str = "left", row_bytes: int = 64, list_column: str | None = None) -> DataFrame:
     """Join a large table to one that has one row per key.
 
