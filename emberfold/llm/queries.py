@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from emberfold.llm.language import fit_tagger, held_out, with_language
 from emberfold.llm.mixing import mix, word_count
+from emberfold.llm.multi_index import nearest
+from emberfold.llm.ngrams import score_documents
 from emberfold.llm.packing import pack_texts
+from emberfold.llm.pivots import highest_products
 from emberfold.llm.simhash import near_duplicates
 from emberfold.llm.substring import drop_repeated_passages
 from emberfold.llm.templates import drop_recurring_lines
@@ -137,3 +140,41 @@ def op7(spark, sf_dir):
     docs = documents(spark, sf_dir).select(
         "doc_id", domain().alias("domain"), "lang", "source", word_count(F.col("text")).alias("tokens"))
     return mix(docs, LEVELS, share=0.5, weights=MIX_WEIGHTS, max_epochs=4, seed=MIX_SEED)
+
+
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+@query("op8_multi_index")
+def op8(spark, sf_dir):
+    return nearest(embeddings(spark, sf_dir), "id % 50 = 0", k=5).withColumnRenamed("id", "vec_id")
+
+
+SQL_SCORES = """
+WITH lists AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS l FROM documents),
+w AS (SELECT doc_id, unnest(l) AS w, generate_subscripts(l, 1) AS i FROM lists),
+n AS (SELECT count(*) AS n FROM w),
+uni AS (SELECT w, count(*) AS c FROM w GROUP BY w),
+pairs AS (SELECT *, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS b FROM w),
+bi AS (SELECT b, w, count(*) AS c FROM pairs WHERE b IS NOT NULL GROUP BY b, w HAVING count(*) >= 2),
+scored AS (SELECT doc_id, i > 1 AND bi.c IS NULL AS backs, CASE WHEN i = 1 THEN ln(uni.c) - ln(n)
+    WHEN bi.c IS NULL THEN ln(0.4) + ln(uni.c) - ln(n) ELSE ln(bi.c / before.c) END AS s
+  FROM pairs JOIN uni USING (w) CROSS JOIN n LEFT JOIN bi ON bi.b = pairs.b AND bi.w = pairs.w
+  LEFT JOIN uni AS before ON before.w = pairs.b),
+sums AS (SELECT doc_id, count(*) AS k, count_if(backs) AS b, round(sum(s), 6) AS logp FROM scored GROUP BY doc_id)
+SELECT doc_id, coalesce(k, 0)::BIGINT AS n_words, coalesce(b, 0)::BIGINT AS n_backoff,
+  coalesce(logp, 0.0) AS logp, CASE WHEN k > 0 THEN round(exp(-logp / k), 3) END AS perplexity
+FROM lists LEFT JOIN sums USING (doc_id)
+"""
+
+
+@query("op9_backoff_scores", SQL_SCORES)
+def op9(spark, sf_dir):
+    return score_documents(documents(spark, sf_dir))
+
+
+@query("op10_pivot_search")
+def op10(spark, sf_dir):
+    return highest_products(embeddings(spark, sf_dir), "id % 50 = 0", k=5).withColumnRenamed(
+        "id", "vec_id")
