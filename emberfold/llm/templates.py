@@ -80,7 +80,7 @@ class Leaf:
 
 
 def line_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, line, leaf, deep, words``: distinct masked lines of each document."""
+    """``doc_id, line, leaf, deep``: the distinct masked lines of each row, as hashes."""
     rows = df.select(F.col(id_col).cast("bigint").alias("doc_id"),
                      F.col(text_col).cast("binary").alias("text"))
 
@@ -95,40 +95,69 @@ def line_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     key = line_key(words)
                     if words and key not in seen:
                         seen.add(key)
-                        out.append((doc, key, _leaf(words, DEPTH), _leaf(words, DEEP),
-                                    b" ".join(words)))
+                        out.append((doc, key, _leaf(words, DEPTH), _leaf(words, DEEP)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[k] for r in out], pa.int64()) for k in range(4)],
+                names=["doc_id", "line", "leaf", "deep"])
+
+    return rows.mapInArrow(run, "doc_id bigint, line bigint, leaf bigint, deep bigint")
+
+
+def _words_of(df: DataFrame, lines: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``_leaf, line, first_doc, words`` of ``lines``, read again from their first documents."""
+    wanted = lines.groupBy(F.col("first_doc").alias("_doc")).agg(
+        F.collect_list("line").alias("_lines"), F.collect_list("_leaf").alias("_leaves"))
+    rows = df.select(F.col(id_col).cast("bigint").alias("_doc"),
+                     F.col(text_col).cast("binary").alias("text"))
+    joined = attach(rows, wanted, "_doc", "wanted-lines", "inner", list_column="_lines", entry_bytes=16)
+
+    def run(batches):
+        for batch in pieces(batches, "text"):
+            out: list[tuple] = []
+            for doc, text, keys, leaves in zip(*(batch.column(c).to_pylist() for c in (
+                    "_doc", "text", "_lines", "_leaves"))):
+                leaf_of = dict(zip(keys, leaves))
+                for line in (text or b"").split(b"\n"):
+                    words = parse(line)
+                    leaf = leaf_of.pop(line_key(words), None)
+                    if leaf is not None:
+                        out.append((leaf, line_key(words), doc, b" ".join(words)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[k] for r in out], t) for k, t in enumerate(
-                    [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()])],
-                names=["doc_id", "line", "leaf", "deep", "words"])
+                    [pa.int64(), pa.int64(), pa.int64(), pa.binary()])],
+                names=["_leaf", "line", "first_doc", "words"])
 
-    return rows.mapInArrow(
-        run, "doc_id bigint, line bigint, leaf bigint, deep bigint, words binary")
+    return joined.select("_doc", "text", "_lines", "_leaves").mapInArrow(
+        run, "_leaf bigint, line bigint, first_doc bigint, words binary")
 
 
-def line_templates(lines: DataFrame, similarity: float, leaf_lines: int) -> DataFrame:
+def line_templates(df: DataFrame, lines: DataFrame, id_col: str, text_col: str, similarity: float,
+                   leaf_lines: int) -> DataFrame:
     """``line, template`` for each distinct masked line; ``lines`` has one row per line."""
     def sizes(column: str, name: str) -> DataFrame:
         return lines.groupBy(column).agg(F.count(F.lit(1)).alias(name))
 
     # only leaves with company need the words of their lines
-    sized = lines.select("leaf", "deep", "line").join(
+    sized = lines.select("leaf", "deep", "line", "first_doc").join(
         sizes("leaf", "_n").where(F.col("_n") > 1), "leaf").join(sizes("deep", "_d"), "deep")
     shared = sized.where((F.col("_n") <= leaf_lines) | ((F.col("_d") > 1) & (F.col("_d") <= leaf_lines)))
-    shared = shared.select("line", F.when(F.col("_n") <= leaf_lines, F.col("leaf")).otherwise(
+    shared = shared.select("line", "first_doc", F.when(F.col("_n") <= leaf_lines, F.col("leaf")).otherwise(
         F.col("deep")).alias("_leaf"))
-    grouped = lines.select("line", "first_doc", "words").join(shared, "line").repartition(
-        "_leaf").sortWithinPartitions("_leaf", F.col("first_doc").asc_nulls_first(), "line")
+    grouped = _words_of(df, shared, id_col, text_col).repartition("_leaf").sortWithinPartitions(
+        "_leaf", "first_doc", "line")
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        current, leaf = None, Leaf(similarity)
+        current, last, leaf = None, None, Leaf(similarity)
         for batch in pieces(batches, "words"):
-            keys, found = batch.column("line").to_pylist(), []
-            for name, key, words in zip(batch.column("_leaf").to_pylist(), keys,
+            keys, found = [], []
+            for name, key, words in zip(batch.column("_leaf").to_pylist(), batch.column("line").to_pylist(),
                                         batch.column("words").to_pylist()):
                 if name != current:
-                    current, leaf = name, Leaf(similarity)
-                found.append(leaf.add(key, words.split(b" ")))
+                    current, last, leaf = name, None, Leaf(similarity)
+                if key != last:  # rows that share the first id may both have the line
+                    keys.append(key)
+                    found.append(leaf.add(key, words.split(b" ")))
+                last = key
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found, pa.int64())],
                                              names=["line", "template"])
 
@@ -158,8 +187,9 @@ def drop_recurring_lines(df: DataFrame, id_col: str = "doc_id", text_col: str =
     known = df.where(F.col(id_col).isNotNull())
     found = materialize(line_table(known, id_col, text_col), "lines")
     lines = materialize(found.groupBy("line", "leaf", "deep").agg(
-        F.min("doc_id").alias("first_doc"), F.any_value("words").alias("words")), "distinct-lines")
-    templates = materialize(line_templates(lines, similarity, leaf_lines), "templates")
+        F.min("doc_id").alias("first_doc")), "distinct-lines")
+    templates = materialize(line_templates(known, lines, id_col, text_col, similarity, leaf_lines),
+                            "templates")
     uses = found.select("line", "doc_id").join(templates, "line")
     per_doc = uses.groupBy("template", "doc_id").agg(F.lit(1).alias("one"))
     recurring = per_doc.groupBy("template").agg(

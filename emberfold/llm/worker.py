@@ -45,17 +45,18 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str,
 
 
 def attach(left: DataFrame, right: DataFrame, on: str | list[str], label: str,
-           how: str = "left", row_bytes: int = 64, list_column: str | None = None) -> DataFrame:
+           how: str = "left", row_bytes: int = 64, list_column: str | None = None,
+           entry_bytes: int = 8) -> DataFrame:
     """Join a large table to one that has one row per key.
 
-    ``right`` is stored and its size counted (``row_bytes`` a row and eight bytes
+    ``right`` is stored and its size counted (``row_bytes`` a row and ``entry_bytes``
     for each entry of ``list_column``). Small enough, it is broadcast and ``left``
     stays where it is; otherwise the join shuffles. NULL keys find nothing.
     """
     right = materialize(right, label)
     entries = F.sum(F.size(list_column)) if list_column else F.lit(0)
     rows, items = right.agg(F.count(F.lit(1)), F.coalesce(entries, F.lit(0))).first()
-    if rows * row_bytes + 8 * items <= BROADCAST_BYTES:
+    if rows * row_bytes + entry_bytes * items <= BROADCAST_BYTES:
         right = F.broadcast(right)
     return left.join(right, on, how)
 
