@@ -195,7 +195,9 @@ def drop_recurring_lines(df: DataFrame, id_col: str = "doc_id", text_col: str =
     recurring = per_doc.groupBy("template").agg(
         F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("keeper")).where(
         F.col("docs") >= min_docs)
-    gone = uses.join(recurring, "template").where(F.col("doc_id") != F.col("keeper"))
+    # stored, so that the planner may split a template with very many uses
+    gone = attach(uses, recurring, "template", "recurring", "inner").where(
+        F.col("doc_id") != F.col("keeper"))
     drops = gone.groupBy("doc_id").agg(F.collect_set("line").alias("_drops")).select(
         F.col("doc_id").alias("_doc"), "_drops")
     names = df.columns
