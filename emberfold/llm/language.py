@@ -14,7 +14,7 @@ from emberfold.llm.worker import pieces
 UNDETERMINED = "und"
 # A text is read in windows of so many bytes, each from a fresh state; all bytes are read.
 WINDOW = 256
-_BATCH = 1024
+_BATCH = 512
 
 
 @dataclass(frozen=True)
@@ -244,7 +244,7 @@ def with_language(df: DataFrame, tagger: Tagger | None, text_col: str = "text",
     schema = df.select("*", F.lit("").alias(pred), F.lit(0.0).alias(score)).schema
 
     def run(batches):
-        for batch in pieces(batches, text_col, 2 << 20):
+        for batch in pieces(batches, text_col, 1 << 20):
             texts = [t.encode() if ok else b"" for t, ok in zip(
                 batch.column(text_col).to_pylist(), batch.column("_usable").to_pylist())]
             p = tagger.pool(texts)

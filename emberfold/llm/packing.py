@@ -151,7 +151,7 @@ def pack_texts(df: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id
                     names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id",
                            "offset"])
 
-        for batch in pieces(batches, "text", 12 << 20):
+        for batch in pieces(batches, "text", 10 << 20):
             for name, mark, code in zip(batch.column("doc_id").to_pylist(),
                                         batch.column("bears").to_pylist(),
                                         encode_all(batch.column("text"))):

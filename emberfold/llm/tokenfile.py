@@ -48,7 +48,7 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str, end_id: int, id_col:
         part, done = TaskContext.get().partitionId(), 0
         encode_all = encoder(tokenizer).encode
         end = np.array([end_id], dtype="<u4")
-        for batch in pieces(batches, "text", 12 << 20):
+        for batch in pieces(batches, "text", 10 << 20):
             ids = [np.concatenate([i, end])
                    for i in encode_all(batch.column("text"))]
             n = np.array([len(i) for i in ids], dtype=np.int64)

@@ -15,7 +15,7 @@ from emberfold.llm.worker import once
 
 # Words remembered per Python worker, about 150 bytes each. Others are encoded
 # again in each batch that has them; the ids are the same.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 250_000
 # Words whose ids are gathered at a time.
 _GATHER = 500_000
 # Words given to the tokenizer at a time.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 import zlib
@@ -31,7 +33,8 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str,
            limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose ``column`` holds about ``limit`` bytes at most.
 
-    A single longer value makes a batch of its own.
+    A single longer value makes a batch of its own. Once all are done, memory that was
+    freed goes back to the system, as the worker process lives on.
     """
     for batch in batches:
         sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy()
@@ -42,6 +45,16 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str,
             last = max(int(np.searchsorted(ends, done + limit, "right")), first + 1)
             yield batch.slice(first, last - first)
             first = last
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def attach(left: DataFrame, right: DataFrame, on: str | list[str], label: str,
