@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberfold.llm.worker import pieces
+from emberfold.llm.worker import pieces, small_batches
 
 UNDETERMINED = "und"
 # A text is read in windows of so many bytes, each from a fresh state; all bytes are read.
@@ -240,7 +240,7 @@ def with_language(df: DataFrame, tagger: Tagger | None, text_col: str = "text",
         return df.withColumns({pred: F.lit(UNDETERMINED), score: F.lit(0.0)})
     names = df.columns
     usable = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
-    rows = df.withColumn("_usable", usable)
+    rows = small_batches(df).withColumn("_usable", usable)
     schema = df.select("*", F.lit("").alias(pred), F.lit(0.0).alias(score)).schema
 
     def run(batches):

@@ -15,6 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emberfold.llm.worker import small_batches
 from emberfold.storage import materialize
 
 BACKOFF = 0.4
@@ -62,7 +63,7 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     A NULL text and one without words have ``logp`` 0 and no perplexity. Repeated rows and
     NULL or repeated ids are separate texts. An empty table gives no rows.
     """
-    rows = df.select(F.col(id_col).cast("bigint").alias("doc_id"),
+    rows = small_batches(df).select(F.col(id_col).cast("bigint").alias("doc_id"),
                      F.col(text_col).cast("binary").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks, ranges = max(1, -(-size // CHUNK_BYTES)), max(1, -(-size // RANGE_BYTES))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberfold.llm.tokens import encoder
-from emberfold.llm.worker import id_arrays, pieces
+from emberfold.llm.worker import id_arrays, pieces, small_batches
 
 
 @dataclass(frozen=True)
@@ -121,7 +121,7 @@ def pack_texts(df: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id
     and repeated ids keep one set of pieces per row; an empty table gives none.
     """
     bears = F.lit(True) if loss_col is None else F.coalesce(F.col(loss_col), F.lit(False))
-    rows = df.select(F.col(id_col).cast("bigint").alias("doc_id"),
+    rows = small_batches(df).select(F.col(id_col).cast("bigint").alias("doc_id"),
                      F.col(text_col).alias("text"), bears.alias("bears"))
 
     def run(batches):

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberfold.llm.components import connected_components
-from emberfold.llm.worker import pieces
+from emberfold.llm.worker import pieces, small_batches
 from emberfold.storage import materialize
 
 # Rows of one anchor that are compared in one go; larger anchors are dealt to
@@ -55,7 +55,7 @@ def fingerprint(text: bytes | None, shingle: int) -> int:
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = 4) -> DataFrame:
     """``doc_id, fp``, the fingerprint as a signed 64-bit integer; one row per row."""
-    rows = df.select(F.col(id_col).cast("bigint").alias("doc_id"),
+    rows = small_batches(df).select(F.col(id_col).cast("bigint").alias("doc_id"),
                      F.col(text_col).cast("binary").alias("text"))
 
     def run(batches):

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberfold.llm.fm_index import FMIndex
-from emberfold.llm.worker import attach, pieces
+from emberfold.llm.worker import attach, pieces, small_batches
 from emberfold.storage import materialize
 
 GROUP = 6
@@ -246,7 +246,7 @@ def drop_repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str
     that share an id; rows equal in both are one document and lose the same words.
     An empty table gives no rows.
     """
-    rows = df.select(
+    rows = small_batches(df).select(
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST)).alias("doc"),
         F.xxhash64(F.col(id_col).isNull(), F.col(text_col)).alias("row"),

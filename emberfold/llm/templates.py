@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberfold.llm.worker import attach, pieces
+from emberfold.llm.worker import attach, pieces, small_batches
 from emberfold.storage import materialize
 
 FIELD = b"<*>"
@@ -184,7 +184,7 @@ def drop_recurring_lines(df: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     if {n_lines, n_dropped} & set(df.columns):
         raise ValueError(f"{n_lines} or {n_dropped} is a column already")
-    known = df.where(F.col(id_col).isNotNull())
+    known = small_batches(df).where(F.col(id_col).isNotNull())
     found = materialize(line_table(known, id_col, text_col), "lines")
     lines = materialize(found.groupBy("line", "leaf", "deep").agg(
         F.min("doc_id").alias("first_doc")), "distinct-lines")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from emberfold.llm.tokens import encoder
-from emberfold.llm.worker import id_arrays, pieces
+from emberfold.llm.worker import id_arrays, pieces, small_batches
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
@@ -38,7 +38,7 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str, end_id: int, id_col:
     if encoding not in ("dictionary", "delta"):
         raise ValueError(f"encoding {encoding!r}")
     meta = F.struct(*[F.col(c) for c in keep]) if keep else F.lit(None).cast("string")
-    rows = df.select(F.col(id_col).cast("bigint").alias("doc_id"),
+    rows = small_batches(df).select(F.col(id_col).cast("bigint").alias("doc_id"),
                      F.col(text_col).alias("text"), meta.alias("meta"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("text")]
     ordered = rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order)

@@ -57,6 +57,12 @@ def give_back() -> None:
         trim(0)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Have Spark hand rows to Python in batches of a few megabytes, from here on in the session."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    return df
+
+
 def attach(left: DataFrame, right: DataFrame, on: str | list[str], label: str,
            how: str = "left", row_bytes: int = 64, list_column: str | None = None,
            entry_bytes: int = 8) -> DataFrame:
