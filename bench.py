@@ -63,7 +63,8 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     log_dir = tempfile.mkdtemp(prefix="emberfold-bench-")
     spark = build_session(f"local[{cpus}]", cpus, **{
-        "spark.driver.memory": "12g", "spark.eventLog.enabled": "true",
+        "spark.driver.memory": "12g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="emberfold-"),
+        "spark.eventLog.enabled": "true",
         "spark.eventLog.dir": f"file://{log_dir}", "spark.eventLog.rolling.enabled": "false",
         "spark.eventLog.compress": "false"})
     spark.sparkContext.setLogLevel("ERROR")

@@ -11,6 +11,9 @@ _CODES = ["ffmc", "dmc", "dc"]
 # The fold takes its result type from its start value, so that type has to
 # allow NULL codes.
 _FOLDED = "array<struct<day: date, ffmc: double, dmc: double, dc: double>>"
+# Days folded in one go. Appending a day copies the days of its block, appending a block
+# those of all blocks, so the copies per day stay few.
+_BLOCK = 365
 
 
 def daily_readings(df: DataFrame, station: str, ts: str) -> DataFrame:
@@ -51,8 +54,13 @@ def carried_codes(daily: DataFrame, station: str, before: DataFrame | None = Non
         grouped = grouped.withColumns({c: F.lit(None).cast("double") for c in _CODES})
     start = F.array(F.struct(
         F.lit(None).cast("date").alias("day"), *[F.col(c) for c in _CODES])).cast(_FOLDED)
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("_rows") - 1) / _BLOCK).cast("int")),
+        lambda k: F.slice("_rows", k * _BLOCK + 1, F.lit(_BLOCK)))
     folded = grouped.select(station, "_rows", F.slice(
-        F.aggregate("_rows", start, _next_day), 2, F.size("_rows")).alias("_codes"))
+        F.aggregate(blocks, start, lambda codes, block: F.concat(codes, F.slice(F.aggregate(
+            block, F.slice(codes, -1, 1).cast(_FOLDED), _next_day), F.lit(2), F.size(block)))),
+        2, F.size("_rows")).alias("_codes"))
     per_day = folded.select(
         station, F.explode(F.arrays_zip("_rows", "_codes")).alias("_d")).select(
         station, "_d._rows.day", "_d._rows.ws",

@@ -13,7 +13,7 @@ from pyspark.sql.types import BinaryType, StringType
 
 from emberfold.storage import materialize
 
-# A lookup written in code may hold this many rows; it is broadcast.
+# A lookup written in code is broadcast up to this many rows, and joined like a table beyond.
 MAX_INLINE_ROWS = 20_000
 # A table is broadcast only if its counted rows and bytes stay below these.
 MAX_BROADCAST_ROWS = 1_000_000
@@ -23,7 +23,8 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 0.001
 
 _ARROW_TYPES = {
-    "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "string": pa.string(),
+    "boolean": pa.bool_(), "smallint": pa.int16(), "int": pa.int32(), "bigint": pa.int64(),
+    "float": pa.float32(), "double": pa.float64(), "string": pa.string(), "date": pa.date32(),
 }
 
 
@@ -38,10 +39,6 @@ class Lookup:
     keys: tuple[str, ...]
     rows: Sequence[tuple]
 
-    def __post_init__(self):
-        if len(self.rows) > MAX_INLINE_ROWS:
-            raise ValueError(f"{len(self.rows)} rows: pass a lookup this large as a DataFrame")
-
     @property
     def fields(self) -> list[tuple[str, str]]:
         return [tuple(part.strip().rsplit(" ", 1)) for part in self.schema.split(",")]
@@ -64,7 +61,8 @@ class Lookup:
         return spark.createDataFrame(pa.table(columns, names=[name for name, _ in fields]))
 
 
-def _fits_broadcast(table: DataFrame, max_rows: int) -> bool:
+def fits_broadcast(table: DataFrame, max_rows: int) -> bool:
+    """Whether the counted rows and bytes of a table allow a broadcast."""
     width = F.lit(16 * len(table.columns)).cast("bigint")
     for field in table.schema.fields:
         if isinstance(field.dataType, (StringType, BinaryType)):
@@ -79,45 +77,65 @@ def _all_present(columns: Sequence[str]) -> Column:
 
 def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str],
                 max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                hot_share: float = HOT_SHARE, stored: bool = True) -> DataFrame:
+                hot_share: float = HOT_SHARE, stored: bool = True,
+                keys: DataFrame | None = None) -> DataFrame:
     """Left join to a table that has one row per key; keeps every left row once.
 
     The size of ``right`` is counted first. Small enough, it is broadcast and
     ``left`` is not shuffled at all. Otherwise the join shuffles, except for rows
     whose key is NULL or hot: those meet a broadcast of the hot keys' rows, at
-    most ``1 / hot_share`` of them. That way reads both sides more than once:
-    ``left`` should be a stored table, and if ``right`` is not, say so with
-    ``stored=False``.
+    most ``1 / hot_share`` of them. The result reads ``left`` once; its keys are counted
+    before, in ``keys`` if given (cheaper rows with the same keys). If ``right`` is not
+    a stored table, say so with ``stored=False``.
     """
     on = list(on)
-    if _fits_broadcast(right, max_broadcast_rows):
+    if fits_broadcast(right, max_broadcast_rows):
         return left.join(F.broadcast(right), on, "left")
 
     if not stored:
         right = materialize(right, "lookup-rows")
-    present = left.select(*on).where(_all_present(on))
+    values = [c for c in right.columns if c not in on]
+    present = (left if keys is None else keys).select(*on).where(_all_present(on))
     total = present.count()
-    hot_keys = materialize(
-        present.groupBy(*on).count().where(F.col("count") > hot_share * total).select(*on),
-        "hot-keys")
-    hot_rows = materialize(right.join(F.broadcast(hot_keys), on, "left_semi"), "hot-rows")
-    marked = left.join(F.broadcast(hot_keys.withColumn("_hot", F.lit(True))), on, "left")
+    hot_keys = present.groupBy(*on).count().where(F.col("count") > hot_share * total).select(*on)
+    hot_rows = materialize(
+        right.join(F.broadcast(materialize(hot_keys, "hot-keys")), on, "left_semi").select(
+            *on, F.struct(F.lit(True).alias("_is"), *values).alias("_hot")), "hot-rows")
+    # rows that need no partner from the shuffle get a place of their own there, and find none
+    marked = left.join(F.broadcast(hot_rows), on, "left")
     aside = F.col("_hot").isNotNull() | ~_all_present(on)
-    easy = marked.where(aside).drop("_hot").join(F.broadcast(hot_rows), on, "left")
-    rest = marked.where(~aside).drop("_hot").join(right, on, "left")
-    return easy.unionByName(rest)
+    hashed = [f.name for f in left.schema.fields if "map" not in f.dataType.simpleString()]
+    spread = F.when(aside, F.pmod(F.xxhash64(*hashed), F.lit(1000)) + 1).otherwise(0)
+    joined = marked.withColumn("_place", spread.cast("int")).join(
+        right.withColumn("_place", F.lit(0)), [*on, "_place"], "left")
+    rest = [c for c in left.columns if c not in on]
+    return joined.select(*on, *rest, *[
+        F.when(F.col("_hot._is"), F.col("_hot")[c]).otherwise(F.col(c)).alias(c) for c in values])
+
+
+def one_row_per_key(table: DataFrame, on: Sequence[str], last_by: Sequence[str] = ()) -> DataFrame:
+    """The last row of each key by ``last_by``, then by the other columns; NULLs come first."""
+    values = [c for c in table.columns if c not in on]
+    if not values:
+        return table.distinct()
+    order = [*last_by, *[c for c in values if c not in last_by]]
+    picked = table.groupBy(*on).agg(F.max(F.struct(*order)).alias("_last"))
+    return picked.select(*on, *[F.col("_last")[c].alias(c) for c in values])
 
 
 def join_any_lookup(left: DataFrame, lookup: Lookup | DataFrame, on: Sequence[str],
-                    prefix: str) -> DataFrame:
+                    prefix: str, last_by: Sequence[str] = ()) -> DataFrame:
     """Left join with the lookup's value columns renamed to ``prefix + name``.
 
-    Adds ``prefix + "hit"``, which is true where the key was found.
+    Adds ``prefix + "hit"``, which is true where the key was found. Of a key that a
+    table lists twice, the last row by ``last_by`` counts, so rows never multiply.
     """
-    table = lookup.to_df(left.sparkSession) if isinstance(lookup, Lookup) else lookup
+    inline = isinstance(lookup, Lookup) and len(lookup.rows) <= MAX_INLINE_ROWS
+    table = lookup.to_df(left.sparkSession) if isinstance(lookup, Lookup) else one_row_per_key(
+        lookup, on, last_by)
     renamed = table.select(
         *on, *[F.col(c).alias(prefix + c) for c in table.columns if c not in on],
         F.lit(True).alias(prefix + "hit"))
-    if isinstance(lookup, Lookup):
+    if inline:
         return left.join(F.broadcast(renamed), list(on), "left")
-    return lookup_join(left, renamed, on)
+    return lookup_join(left, renamed, on, stored=False)

@@ -71,10 +71,14 @@ def regression_metrics(df: DataFrame, label: str, prediction: str = "prediction"
 
 def binary_metrics(df: DataFrame, label: str, probability: str,
                    threshold: float = 0.5) -> DataFrame:
-    """One row: ``n, tp, fp, fn, tn, precision, recall, accuracy``."""
+    """One row: ``n, unused, tp, fp, fn, tn, precision, recall, accuracy``.
+
+    Rows without a label or a probability are counted as ``unused`` and nowhere else.
+    """
     said, true = F.col(probability) > threshold, F.col(label) == 1
+    usable = said.isNotNull() & true.isNotNull()
     counts = df.agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count_if(usable).alias("n"), F.count_if(~usable).alias("unused"),
         *[F.coalesce(F.sum(cell.cast("bigint")), F.lit(0).cast("bigint")).alias(name)
           for name, cell in (("tp", said & true), ("fp", said & ~true),
                              ("fn", ~said & true), ("tn", ~said & ~true))])

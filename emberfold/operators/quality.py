@@ -164,32 +164,34 @@ def _unique_results(checks: Sequence[tuple[DataFrame, Check]]) -> list[DataFrame
 
 
 def _parent_results(checks: Sequence[tuple[DataFrame, Check]]) -> list[DataFrame]:
-    """All foreign keys of all facts: counts per key value meet the parents' keys.
+    """All foreign keys of all facts, per type of key: counts per value meet the parents' keys.
 
-    A parent that serves several facts is read and joined once.
+    Parent keys that cannot have the fact's type match nothing. A parent that serves several facts is read and joined once.
     """
-    names, cells, parent_of = [], [], []
-    parents: dict[tuple[int, str], DataFrame] = {}
-    for df, check in checks:
-        keys = []
+    by_kind: dict[str, list[tuple[int, str, ForeignKey]]] = {}
+    for t, (df, check) in enumerate(checks):
         for label, fk in check.parents:
-            keys.append((len(names), F.col(fk.column)))
-            names.append((check.name, label))
+            by_kind.setdefault(_key_kind(df, fk.column), []).append((t, label, fk))
+    results = []
+    for kind, keys in by_kind.items():
+        parents: dict[tuple[int, str], DataFrame] = {}
+        parent_of = []
+        for _, _, fk in keys:
             place = (id(fk.parent), fk.parent_key)
-            parents.setdefault(place, fk.parent.select(
-                F.lit(len(parents)).alias("p"), F.col(fk.parent_key).cast("bigint").alias("key")))
+            parents.setdefault(place, fk.parent.select(F.lit(len(parents)).alias("p"), F.col(
+                fk.parent_key).try_cast(kind).alias("key")))
             parent_of.append(list(parents).index(place))
-        if keys:
-            cells.append((df, keys))
-    if not cells:
-        return []
-    known = reduce(DataFrame.union, parents.values()).distinct().withColumn("found", F.lit(True))
-    counts = _key_counts(cells, "bigint").withColumn(
-        "p", F.get(F.array(*[F.lit(p) for p in parent_of]), F.col("i")))
-    metrics = counts.join(known, ["p", "key"], "left").groupBy("i").agg(
-        F.try_divide(F.sum(F.when(F.col("found"), F.col("n")).otherwise(0)), F.sum("n")).alias(
-            "metric"))
-    return [_named_results(metrics, names)]
+        cells = [
+            (checks[t][0], [(i, F.col(fk.column)) for i, (u, _, fk) in enumerate(keys) if u == t])
+            for t in dict.fromkeys(t for t, _, _ in keys)]
+        known = reduce(DataFrame.union, parents.values()).distinct().withColumn("found", F.lit(True))
+        counts = _key_counts(cells, kind).withColumn(
+            "p", F.get(F.array(*[F.lit(p) for p in parent_of]), F.col("i")))
+        metrics = counts.join(known, ["p", "key"], "left").groupBy("i").agg(
+            F.try_divide(F.sum(F.when(F.col("found"), F.col("n")).otherwise(0)), F.sum("n")).alias(
+                "metric"))
+        results.append(_named_results(metrics, [(checks[t][1].name, label) for t, label, _ in keys]))
+    return results
 
 
 def run_checks(checks: Sequence[tuple[DataFrame, Check]]) -> DataFrame:
@@ -215,14 +217,18 @@ def foreign_key_flags(df: DataFrame, flags: Mapping[str, ForeignKey],
                       max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Add one column per foreign key: 1 if the parent exists, else 0.
 
-    Joins against the distinct parent keys alone, so no row is multiplied.
+    Keys may have any type, that of the fact counts. Joins against the distinct parent keys
+    alone, so no row is multiplied, and the facts are scanned once in the result.
     """
+    facts = df
     for name, key in flags.items():
+        kind = _key_kind(df, key.column)
         known = key.parent.select(
-            F.col(key.parent_key).cast("bigint").alias("_fk")).where(
+            F.col(key.parent_key).try_cast(kind).alias("_fk")).where(
             F.col("_fk").isNotNull()).distinct().withColumn("_found", F.lit(1))
-        keyed = df.withColumn("_fk", F.col(key.column).cast("bigint"))
-        joined = lookup_join(keyed, known, ["_fk"], max_broadcast_rows, stored=False)
+        fk = F.col(key.column).cast(kind).alias("_fk")
+        joined = lookup_join(df.withColumn("_fk", fk), known, ["_fk"], max_broadcast_rows,
+                             stored=False, keys=facts.select(fk))
         df = joined.withColumn(name, F.coalesce(F.col("_found"), F.lit(0))).drop("_fk", "_found")
     return df
 

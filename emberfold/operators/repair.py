@@ -2,32 +2,34 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberfold.operators.joins import (
-    MAX_BROADCAST_ROWS, MAX_INLINE_ROWS, Lookup, join_any_lookup, lookup_join)
+    MAX_BROADCAST_ROWS, Lookup, join_any_lookup, lookup_join)
 from emberfold.storage import materialize
 
 
 def override_by_key(df: DataFrame, lookup: Lookup | DataFrame, on: Sequence[str],
-                    columns: Sequence[str]) -> DataFrame:
+                    columns: Sequence[str], last_by: Sequence[str] = ()) -> DataFrame:
     """Replace ``columns`` wherever the key is listed, whatever they hold."""
-    joined = join_any_lookup(df, lookup, on, "_lk_")
+    joined = join_any_lookup(df, lookup, on, "_lk_", last_by)
     replaced = {
         c: F.when(F.col("_lk_hit"), F.col("_lk_" + c)).otherwise(F.col(c)) for c in columns}
     return joined.withColumns(replaced).select(*df.columns)
 
 
 def fill_from_lookup(df: DataFrame, lookup: Lookup | DataFrame, on: Sequence[str],
-                     columns: Sequence[str]) -> DataFrame:
-    """Fill NULLs of each column on its own; other cells and the row count stay."""
-    joined = join_any_lookup(df, lookup, on, "_lk_")
+                     columns: Sequence[str], last_by: Sequence[str] = ()) -> DataFrame:
+    """Fill NULLs of each column on its own; other cells and the row count stay.
+
+    A key that is listed twice keeps its last entry, in a table the last by ``last_by``.
+    """
+    joined = join_any_lookup(df, lookup, on, "_lk_", last_by)
     filled = {c: F.coalesce(F.col(c), F.col("_lk_" + c)) for c in columns}
     return joined.withColumns(filled).select(*df.columns)
 
@@ -54,51 +56,61 @@ def bbox_label(df: DataFrame, lon: str, lat: str, boxes: Sequence[Box], target:
     return df.withColumn(target, F.coalesce(F.col(target), *inside))
 
 
-def _cells(boxes: Sequence[Box], size: float) -> dict[tuple[int, int], list[int]]:
-    cells: dict[tuple[int, int], list[int]] = {}
-    for rank, b in enumerate(boxes):
-        for cx in range(math.floor(b.lon_from / size), math.floor(b.lon_to / size) + 1):
-            for cy in range(math.floor(b.lat_from / size), math.floor(b.lat_to / size) + 1):
-                cells.setdefault((cx, cy), []).append(rank)
-    return cells
-
+def box_table(spark: SparkSession, boxes: Sequence[Box]) -> DataFrame:
+    """Boxes as rows, ``rank`` giving their priority."""
+    columns = list(zip(*boxes)) or [()] * len(Box._fields)
+    return spark.createDataFrame(pa.table({
+        **{f: pa.array([float(v) for v in c], pa.float64())
+           for f, c in zip(Box._fields[:4], columns)},
+        "label": pa.array(columns[4], pa.string()),
+        "rank": pa.array(range(len(boxes)), pa.int64())}))
 
-def _covered(boxes: Sequence[Box], size: float) -> int:
-    return sum(
-        (math.floor(b.lon_to / size) - math.floor(b.lon_from / size) + 1)
-        * (math.floor(b.lat_to / size) - math.floor(b.lat_from / size) + 1) for b in boxes)
 
+def bbox_range_join(df: DataFrame, lon: str, lat: str, boxes: Sequence[Box] | DataFrame,
+                    target: str, cell: float = 5.0,
+                    max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Same result as :func:`bbox_label`, for many boxes, also as a table.
 
-def bbox_range_join(df: DataFrame, lon: str, lat: str, boxes: Sequence[Box], target: str,
-                    cell: float = 5.0) -> DataFrame:
-    """Same result as :func:`bbox_label`, for many boxes.
+    ``boxes`` as a table has the fields of :class:`Box` and ``rank``, smaller ranks first.
 
-    The plane is cut into cells and every cell carries the boxes that touch it,
-    in order of priority. A point meets exactly one cell, so the broadcast join
-    neither fans out nor shuffles; the first box that really holds the point
-    wins. Cells grow until the cell table is small enough to broadcast.
+    The plane is cut into cells, on several levels of which each doubles the cell of the one
+    before. A box lies on the first level whose cell is as wide and as high as the box, so it touches
+    four cells at most, and a wide box burdens no fine cell. A point looks up one cell
+    per level in use; the first box by rank that really holds it wins. Each lookup is a broadcast
+    if the counted cells allow it and a shuffle otherwise.
     """
-    if len(boxes) > MAX_INLINE_ROWS:
-        raise ValueError(f"at most {MAX_INLINE_ROWS} boxes")
-    while _covered(boxes, cell) > max(MAX_INLINE_ROWS, len(boxes)) and cell < 720:
-        cell *= 2
-    cells = _cells(boxes, cell)
-    box_type = pa.struct([(f, pa.float64()) for f in Box._fields[:4]] + [("label", pa.string())])
-    grid = df.sparkSession.createDataFrame(pa.table({
-        "_cx": pa.array([k[0] for k in cells], pa.int64()),
-        "_cy": pa.array([k[1] for k in cells], pa.int64()),
-        "_boxes": pa.array(
-            [[dict(zip(Box._fields, (*map(float, boxes[r][:4]), boxes[r].label))) for r in ranks]
-             for ranks in cells.values()], pa.list_(box_type)),
-    }))
+    table = boxes if isinstance(boxes, DataFrame) else box_table(df.sparkSession, boxes)
+    span = F.greatest(F.col("lon_to") - F.col("lon_from"), F.col("lat_to") - F.col("lat_from"))
+    level = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(span, F.lit(cell)) / cell))).cast("int")
+    leveled = table.where(span.isNotNull()).withColumn("_level", level).withColumn(
+        "_size", F.lit(cell) * F.pow(F.lit(2.0), F.col("_level")))
+    cells = leveled
+    for axis, low, high in (("_cx", "lon_from", "lon_to"), ("_cy", "lat_from", "lat_to")):
+        cells = cells.withColumn(axis, F.explode(F.sequence(
+            F.floor(F.col(low) / F.col("_size")), F.floor(F.col(high) / F.col("_size")))))
+    box = F.struct("rank", *Box._fields)
+    grid = materialize(cells.groupBy("_level", "_cx", "_cy").agg(
+        F.array_sort(F.collect_list(box)).alias("_boxes")), "box-cells")
     x, y = F.col(lon).cast("double"), F.col(lat).cast("double")
     wanted = F.col(target).isNull()  # rows that keep their label need no cell
-    located = df.withColumns({
-        "_cx": F.when(wanted, F.floor(x / cell)), "_cy": F.when(wanted, F.floor(y / cell))})
-    joined = located.join(F.broadcast(grid), ["_cx", "_cy"], "left")
-    first = F.get(F.filter("_boxes", lambda b: x.between(b["lon_from"], b["lon_to"])
-                           & y.between(b["lat_from"], b["lat_to"])), 0)
-    return joined.withColumn(target, F.coalesce(F.col(target), first["label"])).select(*df.columns)
+    found, result = [], df
+    # one level per doubling of the cell: a handful
+    for (at,) in sorted(grid.select("_level").distinct().collect()):
+        size = cell * 2.0 ** at
+        located = result.withColumns({
+            "_cx": F.when(wanted, F.floor(x / size)), "_cy": F.when(wanted, F.floor(y / size))})
+        joined = lookup_join(located, grid.where(F.col("_level") == at).drop("_level"),
+                             ["_cx", "_cy"], max_broadcast_rows)
+        first = F.get(F.filter("_boxes", lambda b: x.between(b["lon_from"], b["lon_to"])
+                               & y.between(b["lat_from"], b["lat_to"])), 0)
+        name = f"_box{at}"
+        result = joined.withColumn(name, F.struct(
+            first["rank"].alias("rank"), first["label"].alias("label"))).drop("_cx", "_cy", "_boxes")
+        found.append(name)
+    best = F.get(F.array_sort(F.filter(
+        F.array(*[F.col(n) for n in found]), lambda b: b["rank"].isNotNull())), 0)["label"] \
+        if found else F.lit(None)
+    return result.withColumn(target, F.coalesce(F.col(target), best)).select(*df.columns)
 
 
 def group_modes(df: DataFrame, group: str, columns: Sequence[str]) -> DataFrame:
@@ -108,17 +120,20 @@ def group_modes(df: DataFrame, group: str, columns: Sequence[str]) -> DataFrame:
     last. All columns are counted in one pass; both steps combine on the map
     side, so a group with a large share of the rows shrinks before it moves.
     """
-    cells = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v"))
-        for i, c in enumerate(columns)])).alias("cell")
-    counts = (
-        df.where(F.col(group).isNotNull()).select(group, cells)
-        .groupBy(group, F.col("cell.i").alias("i"), F.col("cell.v").alias("v"))
-        .agg(F.count(F.lit(1)).alias("n")))
-    rank = F.struct(-F.col("n"), F.col("v").isNull(), F.col("v"))
-    return counts.groupBy(group).agg(*[
-        F.min_by("v", F.when(F.col("i") == i, rank)).alias("_mode_" + c)
-        for i, c in enumerate(columns)])
+    value = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(columns)])
+    kinds = [df.schema[c].dataType for c in columns]
+    only = lambda i: F.struct(*[  # noqa: E731  one column's value, NULL for the others
+        (F.col("_value")[f"v{k}"] if k == i else F.lit(None).cast(kind)).alias(f"v{k}")
+        for k, kind in enumerate(kinds)])
+    cells = df.where(F.col(group).isNotNull()).select(
+        F.col(group).alias("_group"), value.alias("_value")).select("_group", F.explode(F.array(*[
+            F.struct(F.lit(i).alias("i"), only(i).alias("v")) for i in range(len(columns))])).alias("_cell"))
+    counts = cells.groupBy("_group", F.col("_cell.i").alias("_i"), F.col("_cell.v").alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    rank = lambda i: F.when(F.col("_i") == i, F.struct(
+        -F.col("_n"), F.col("_v")[f"v{i}"].isNull(), F.col("_v")[f"v{i}"]))
+    return counts.groupBy(F.col("_group").alias(group)).agg(*[
+        F.min_by(F.col("_v")[f"v{i}"], rank(i)).alias("_mode_" + c) for i, c in enumerate(columns)])
 
 
 def impute_group_mode(df: DataFrame, group: str, columns: Sequence[str], default: str = "unknown",
@@ -126,16 +141,16 @@ def impute_group_mode(df: DataFrame, group: str, columns: Sequence[str], default
     """Fill NULLs with the group's most frequent value.
 
     Where NULL itself is the most frequent, the fill is ``default`` (NULL if the
-    column's type cannot hold it). Rows without a group stay as they are.
+    column's type cannot hold it). Rows without a group stay as they are. ``df`` is
+    stored first, as it is read for the modes and again for the fill.
     """
-    modes = materialize(group_modes(df, group, columns), "group-modes")
-    joined = lookup_join(df, modes, [group], max_broadcast_rows)
+    stored = materialize(df, "mode-rows")
+    modes = materialize(group_modes(stored, group, columns), "group-modes")
+    joined = lookup_join(stored, modes, [group], max_broadcast_rows)
     known = F.col(group).isNotNull()
     filled = {
-        c: F.coalesce(F.col(c), F.when(
-            known, F.coalesce(F.col("_mode_" + c), F.lit(default))).try_cast(
-                df.schema[c].dataType))
-        for c in columns}
+        c: F.coalesce(F.col(c), F.when(known, F.coalesce(
+            F.col("_mode_" + c), F.lit(default).try_cast(df.schema[c].dataType)))) for c in columns}
     return joined.withColumns(filled).select(*df.columns)
 
 

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from emberfold.operators.joins import MAX_BROADCAST_ROWS, fits_broadcast
+
 
 def count_and_sums(fact: DataFrame, by: Sequence[str], measures: Mapping[str, Column],
                    count: str) -> DataFrame:
@@ -18,15 +20,20 @@ def count_and_sums(fact: DataFrame, by: Sequence[str], measures: Mapping[str, Co
 
 def impact_by(fact: DataFrame, key: str, dimension: DataFrame, dimension_key: str,
               labels: Sequence[str], extra: Sequence[str], measures: Mapping[str, Column],
-              count: str = "events", rollup: bool = False) -> DataFrame:
+              count: str = "events", rollup: bool = False,
+              max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Count and measures by the dimension's labels and the fact's own columns.
 
-    The fact is reduced to one row per key before the join, so a hot key is
-    gone before any row moves and the join sees counts, not events.
+    The dimension's size is counted first. Small enough, it is broadcast to the fact, and
+    only the final groups move. Otherwise the fact is reduced to one row per key before
+    the join, so a hot key is gone before any row moves.
     """
-    per_key = count_and_sums(fact, [key, *extra], measures, count)
-    joined = per_key.join(
-        dimension.select(F.col(dimension_key).alias(key), *labels), key)
+    labelled = dimension.select(F.col(dimension_key).alias(key), *labels)
+    if fits_broadcast(labelled, max_broadcast_rows):
+        joined = fact.select(key, *extra, F.lit(1).cast("bigint").alias(count), *[
+            c.alias(m) for m, c in measures.items()]).join(F.broadcast(labelled), key)
+    else:
+        joined = count_and_sums(fact, [key, *extra], measures, count).join(labelled, key)
     grouped = joined.rollup(*labels, *extra) if rollup else joined.groupBy(*labels, *extra)
     return grouped.agg(*[F.sum(c).alias(c) for c in [count, *measures]])
 

@@ -49,13 +49,44 @@ def a4_table_scan(spark, sf_dir):
     UNION ALL SELECT 'parts', COUNT(*) FROM part""")
 def a15_bronze_manifest(spark, sf_dir):
     root = scratch_path(spark, "bronze")
-    for dataset, name in (("customers", "customer"), ("orders", "orders"), ("parts", "part")):
-        table(spark, sf_dir, name).write.csv(f"{root}/{dataset}/{name}")
+    root = f"{root}/2024 raw/bronze"  # a folder name that comes twice, blanks and brackets
+    for dataset, name in (("customers", "a b (2)/bronze/100%+"), ("orders", "orders"), ("parts", "part")):
+        table(spark, sf_dir, dataset.rstrip("s") if dataset != "orders" else dataset).write.csv(
+            f"{root}/{dataset}/{name}")
     files = bronze_manifest(spark, root)
     counted = files.join(landed_lines(spark, root), ["dataset", "relative_path"])
     return counted.groupBy("dataset").agg(F.sum("lines").alias("lines"))
 
 
+_TEXTS_SQL = """(SELECT s_suppkey, s_name || CASE s_suppkey % 4 WHEN 0 THEN ' "quoted" ' WHEN 1
+    THEN ', comma' WHEN 2 THEN chr(10) || 'second line' ELSE ' plain' END AS note FROM supplier)"""
+
+
+@query("a2_csv_quoted", f"SELECT s_suppkey, note, s_suppkey AS again FROM {_TEXTS_SQL} t")
+def a2_csv_quoted(spark, sf_dir):
+    k, path = F.col("s_suppkey"), scratch_path(spark, "quoted-csv")
+    end = (F.when(k % 4 == 0, ' "quoted" ').when(k % 4 == 1, ", comma")
+           .when(k % 4 == 2, "\nsecond line").otherwise(" plain"))
+    rows = table(spark, sf_dir, "supplier").select(
+        k, F.concat("s_name", end).alias("note"), k.alias("again"))
+    rows.write.options(header=True, escape='"', ignoreTrailingWhiteSpace=False).csv(path)
+    return read_csv(spark, path, schema=rows.schema, multi_line=True)
+
+
+@query("a2_csv_corrupt", """
+    SELECT s_suppkey % 5 = 0 AS corrupt, COUNT(*) AS lines,
+           CAST(SUM(CASE WHEN s_suppkey % 5 <> 0 THEN s_nationkey END) AS BIGINT) AS nations
+    FROM supplier GROUP BY 1""")
+def a2_csv_corrupt(spark, sf_dir):
+    k, path = F.col("s_suppkey"), scratch_path(spark, "corrupt-csv")
+    cell = F.when(k % 5 == 0, "none").otherwise(F.col("s_nationkey").cast("string"))
+    table(spark, sf_dir, "supplier").select(k, cell.alias("s_nationkey")).write.options(
+        header=True).csv(path)
+    back = read_csv(spark, path, schema="s_suppkey bigint, s_nationkey int", keep_corrupt=True)
+    return back.groupBy(F.col("_corrupt_record").isNotNull().alias("corrupt")).agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("s_nationkey").alias("nations"))
+
+
 @query("p1_project_rename", """
     SELECT o_orderkey AS id, o_custkey AS owner, o_totalprice AS total, o_orderpriority AS priority
     FROM orders""")

@@ -52,32 +52,36 @@ def m3_regression_metrics(spark, sf_dir):
         "n", *[F.round(c, 6).alias(c) for c in ("mae", "mse", "rmse", "r2")])
 
 
-@query("m5_vector_classifier")
+# The class is the sign of one coordinate, moved off zero by row key on every row.
+@query("m5_vector_classifier", """
+    SELECT vec_id, CAST(vec_id % 2 AS INTEGER) AS y,
+           CASE WHEN vec_id % 2 = 1 THEN 'upper' ELSE 'lower' END AS decision FROM embeddings""")
 def m5_vector_classifier(spark, sf_dir):
-    vectors = table(spark, sf_dir, "embeddings").withColumn(
-        "y", (F.col("label") >= 5).cast("int"))
+    odd = F.col("vec_id") % 2 == 1
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", odd.cast("int").alias("y"), F.transform(
+        "embedding", lambda x, i: x + F.when(i == 3, F.when(odd, 3.0).otherwise(-3.0)).otherwise(
+            0.0)).alias("embedding"))
     train, _ = learn.train_test_split(vectors, "vec_id")
     model = learn.fit_vector_classifier(train, "embedding", "y", dim=64)
     scored = learn.score_vectors(model, vectors, "embedding")
     return scored.select(
-        "vec_id", "y", F.round("probability", 6).alias("probability"),
-        threshold_label(F.col("probability"), "upper", "lower").alias("decision"))
+        "vec_id", "y", threshold_label(F.col("probability"), "upper", "lower").alias("decision"))
 
 
 _PROBABILITY_SQL = """(SELECT d.doc_id, l.quality, ((d.doc_id * 37) % 1009) / 1009.0::DOUBLE AS p
-  FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
 
 
 def _probabilities(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id").join(
-        table(spark, sf_dir, "labels"), "doc_id").select(
+        table(spark, sf_dir, "labels"), "doc_id", "left").select(
         "doc_id", "quality", (((F.col("doc_id") * 37) % 1009) / 1009.0).alias("p"))
 
 
 @query("m6_binary_metrics", f"""
-    SELECT n, tp, fp, fn, tn, round(tp / (tp + fp), 6) AS precision,
+    SELECT n, unused, tp, fp, fn, tn, round(tp / (tp + fp), 6) AS precision,
            round(tp / (tp + fn), 6) AS recall, round((tp + tn) / n, 6) AS accuracy
-    FROM (SELECT COUNT(*) AS n,
+    FROM (SELECT COUNT(quality) AS n, COUNT(*) FILTER (quality IS NULL) AS unused,
                  COUNT(*) FILTER (p > 0.5 AND quality = 1) AS tp,
                  COUNT(*) FILTER (p > 0.5 AND quality <> 1) AS fp,
                  COUNT(*) FILTER (p <= 0.5 AND quality = 1) AS fn,
@@ -85,7 +89,7 @@ def _probabilities(spark, sf_dir):
           FROM {_PROBABILITY_SQL} q) c""")
 def m6_binary_metrics(spark, sf_dir):
     metrics = learn.binary_metrics(_probabilities(spark, sf_dir), "quality", "p")
-    return metrics.select("n", "tp", "fp", "fn", "tn", *[
+    return metrics.select("n", "unused", "tp", "fp", "fn", "tn", *[
         F.round(c, 6).alias(c) for c in ("precision", "recall", "accuracy")])
 
 
@@ -132,7 +136,8 @@ def m8_label_from_path(spark, sf_dir):
 
 @query("m9_threshold_label", f"""
     SELECT doc_id, CASE WHEN p > 0.5 THEN 'No Fire' ELSE 'Fire' END AS decision
-    FROM {_PROBABILITY_SQL} q""")
+    FROM (SELECT doc_id, ((doc_id * 37) % 1009) / 1009.0::DOUBLE AS p FROM documents) q""")
 def m9_threshold_label(spark, sf_dir):
-    return _probabilities(spark, sf_dir).select(
+    p = (((F.col("doc_id") * 37) % 1009) / 1009.0).alias("p")
+    return table(spark, sf_dir, "documents").select("doc_id", p).select(
         "doc_id", threshold_label(F.col("p"), "No Fire", "Fire").alias("decision"))

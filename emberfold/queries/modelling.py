@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from emberfold.functions import scalars as s
 from emberfold.operators.dimensional import (
     attribute_conflicts, build_dimension, build_fact, conformed_dimension, dim_date)
+from emberfold.operators.joins import lookup_join
 from emberfold.operators.quality import (
-    Check, ForeignKey, foreign_key_flags, orphans, run_checks)
+    Check, ForeignKey, QualityGateError, foreign_key_flags, gate, orphans, run_checks)
 from emberfold.queries.base import query, table
 
 
@@ -123,7 +124,10 @@ def g5_fact_build(spark, sf_dir):
         {"total": F.col("o_totalprice")})
     status = build_dimension(orders, F.col("o_orderstatus"), "status", "status_key")
     priority = build_dimension(orders, F.col("o_orderpriority"), "priority", "priority_key")
-    return fact.join(status, "status_key").join(priority, "priority_key").select(
+    # dimensions made from the fact: counted, so that the fact need not move on a few keys
+    joined = lookup_join(lookup_join(fact, status, ["status_key"], stored=False), priority,
+                         ["priority_key"], stored=False)
+    return joined.select(
         "id_order", "date_key", "status", "priority", "total")
 
 
@@ -155,7 +159,11 @@ def unique_sql(column, source):
             f"(SELECT COUNT(*) AS n FROM {source} WHERE {column} IS NOT NULL GROUP BY {column}) c) q")
 
 
-_LINES = "(SELECT *, CASE WHEN l_partkey % 8 = 0 THEN NULL ELSE l_quantity END AS qty FROM lineitem) l"
+# Every ninth line points to a supplier that does not exist.
+_LINES = """(SELECT *, CASE WHEN l_partkey % 8 = 0 THEN NULL ELSE l_quantity END AS qty,
+    CASE WHEN l_orderkey % 9 = 0 THEN -l_suppkey - 1 ELSE l_suppkey END AS supp,
+    CASE WHEN l_orderkey % 9 = 0 THEN 'nobody' ELSE s_name END AS supp_name
+  FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey) l"""
 _CHECKS_SQL = " UNION ALL ".join([
     _ratio_sql("lineitem", "complete(l_orderkey)", share_sql("l_orderkey IS NOT NULL"), _LINES),
     _ratio_sql("lineitem", "complete(qty)", share_sql("qty IS NOT NULL"), _LINES),
@@ -165,7 +173,9 @@ _CHECKS_SQL = " UNION ALL ".join([
     _ratio_sql("lineitem", "order exists", share_sql(
         "l_orderkey IN (SELECT o_orderkey FROM orders)"), _LINES),
     _ratio_sql("lineitem", "supplier exists", share_sql(
-        "l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 20)"), _LINES),
+        "supp IN (SELECT s_suppkey FROM supplier)"), _LINES),
+    _ratio_sql("lineitem", "supplier name exists", share_sql(
+        "supp_name IN (SELECT s_name FROM supplier)"), _LINES),
     _ratio_sql("orders", "complete(o_custkey)", share_sql("o_custkey IS NOT NULL"), "orders"),
     _ratio_sql("orders", "unique(o_orderkey)", "u", unique_sql("o_orderkey", "orders")),
     _ratio_sql("orders", "unique(o_totalprice)", "u", unique_sql("o_totalprice", "orders")),
@@ -175,16 +185,21 @@ _CHECKS_SQL = " UNION ALL ".join([
 
 
 def _checks(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").withColumn(
-        "qty", F.when(F.col("l_partkey") % 8 != 0, F.col("l_quantity")))
     orders, part = table(spark, sf_dir, "orders"), table(spark, sf_dir, "part")
-    supplier = table(spark, sf_dir, "supplier").where(F.col("s_nationkey") < 20)
+    supplier = table(spark, sf_dir, "supplier")
+    lost = F.col("l_orderkey") % 9 == 0
+    lines = table(spark, sf_dir, "lineitem").join(
+        supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_name"), "l_suppkey", "left").withColumns({
+            "qty": F.when(F.col("l_partkey") % 8 != 0, F.col("l_quantity")),
+            "supp": F.when(lost, -F.col("l_suppkey") - 1).otherwise(F.col("l_suppkey")),
+            "supp_name": F.when(lost, "nobody").otherwise(F.col("s_name"))})
     return run_checks([
         (lines, Check("lineitem").is_complete("l_orderkey", "qty")
          .has_completeness("qty", lambda m: m > 0.5).satisfies("qty < 40", "few pieces")
          .satisfies("l_tax BETWEEN 0 AND 0.08", "tax range")
          .has_parent("order exists", ForeignKey("l_orderkey", orders, "o_orderkey"))
-         .has_parent("supplier exists", ForeignKey("l_suppkey", supplier, "s_suppkey"))),
+         .has_parent("supplier exists", ForeignKey("supp", supplier, "s_suppkey"))
+         .has_parent("supplier name exists", ForeignKey("supp_name", supplier, "s_name"))),
         (orders, Check("orders").is_complete("o_custkey").is_unique("o_orderkey", "o_totalprice")),
         (part, Check("part").is_unique("p_name").is_complete("p_type")),
     ])
@@ -207,24 +222,55 @@ def q4_gate(spark, sf_dir):
         F.bool_and(~bad).alias("passed"))
 
 
-@query("q2_fk_validate", """
-    SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey,
-           CASE WHEN s_suppkey IS NULL THEN 0 ELSE 1 END AS supplier_valid,
-           CASE WHEN p_partkey IS NULL THEN 0 ELSE 1 END AS part_valid
-    FROM (SELECT l_orderkey, l_linenumber, l_partkey,
-                 CASE WHEN l_linenumber = 7 THEN NULL ELSE l_suppkey END AS l_suppkey
-          FROM lineitem) l
-    LEFT JOIN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 20) s ON l_suppkey = s_suppkey
-    LEFT JOIN (SELECT p_partkey FROM part WHERE p_size <= 40) p ON l_partkey = p_partkey""")
+@query("q4_gate_run", """
+    SELECT 'keys' AS name, TRUE AS passed, 0 AS failed
+    UNION ALL SELECT 'amounts', COUNT(*) = 0, CAST(COUNT(*) AS INTEGER)
+      FROM (SELECT MAX(o_totalprice) AS m FROM orders) o WHERE m >= 1000""")
+def q4_gate_run(spark, sf_dir):
+    """The gate on a sound and on a failing set; what it said, as rows."""
+    orders = table(spark, sf_dir, "orders")
+    sets = {"keys": Check("orders").is_complete("o_orderkey").is_unique("o_orderkey"),
+            "amounts": Check("orders").satisfies("o_totalprice < 1000", "small")}
+    outcomes = []
+    for name, check in sets.items():
+        try:
+            gate(run_checks([(orders, check)]))
+            outcomes.append((name, True, 0))
+        except QualityGateError as error:
+            outcomes.append((name, False, int(str(error).split()[0])))
+    return spark.createDataFrame(outcomes, "name string, passed boolean, failed int")
+
+
+# A third of the lines share one supplier, every ninth points to one that does not exist, and line 7
+# has none; brands are text keys.
+_KEYS_SQL = """(SELECT l_orderkey, l_linenumber,
+    CASE WHEN l_linenumber = 7 THEN NULL WHEN l_orderkey % 3 = 0 THEN 1
+         WHEN l_orderkey % 9 = 1 THEN -l_suppkey - 1 ELSE l_suppkey END AS supp,
+    CASE WHEN l_orderkey % 4 = 0 THEN 'none' ELSE 'Customer#' || l_partkey END AS cust,
+    CASE WHEN l_partkey % 6 = 0 THEN -l_partkey ELSE l_partkey END AS part FROM lineitem)"""
+
+
+@query("q2_fk_validate", f"""
+    SELECT l.*, CASE WHEN supp IN (SELECT s_suppkey FROM supplier) THEN 1 ELSE 0 END AS supplier_valid,
+           CASE WHEN cust IN (SELECT 'Customer#' || c_custkey FROM customer) THEN 1 ELSE 0 END
+             AS customer_valid,
+           CASE WHEN part IN (SELECT p_partkey FROM part) THEN 1 ELSE 0 END AS part_valid
+    FROM {_KEYS_SQL} l""")
 def q2_fk_validate(spark, sf_dir):
+    order, part = F.col("l_orderkey"), F.col("l_partkey")
+    supp = F.when(F.col("l_linenumber") == 7, None).when(order % 3 == 0, 1).when(
+        order % 9 == 1, -F.col("l_suppkey") - 1).otherwise(F.col("l_suppkey"))
     lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey",
-        F.when(F.col("l_linenumber") != 7, F.col("l_suppkey")).alias("l_suppkey"))
-    supplier = table(spark, sf_dir, "supplier").where(F.col("s_nationkey") < 20)
-    part = table(spark, sf_dir, "part").where(F.col("p_size") <= 40)
+        order, "l_linenumber", supp.alias("supp"),
+        F.when(order % 4 == 0, "none").otherwise(
+            F.concat(F.lit("Customer#"), part.cast("string"))).alias("cust"),
+        F.when(part % 6 == 0, -part).otherwise(part).alias("part"))
+    customer = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("Customer#"), F.col("c_custkey").cast("string")).alias("c_name"))
     return foreign_key_flags(lines, {
-        "supplier_valid": ForeignKey("l_suppkey", supplier, "s_suppkey"),
-        "part_valid": ForeignKey("l_partkey", part, "p_partkey")})
+        "supplier_valid": ForeignKey("supp", table(spark, sf_dir, "supplier"), "s_suppkey"),
+        "customer_valid": ForeignKey("cust", customer, "c_name"),
+        "part_valid": ForeignKey("part", table(spark, sf_dir, "part"), "p_partkey")})
 
 
 @query("q3_orphans", """

@@ -67,15 +67,22 @@ def d2_lookup_fill(spark, sf_dir):
 
 @query("d2_table_fill", """
     SELECT o_orderkey, o_custkey, COALESCE(
-        CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderpriority END, c_mktsegment) AS segment
+        CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderpriority END,
+        CASE WHEN c_custkey % 4 = 0 THEN 'revised ' || c_mktsegment ELSE c_mktsegment END) AS segment
     FROM orders LEFT JOIN customer ON o_custkey = c_custkey""")
 def d2_table_fill(spark, sf_dir):
     k = F.col("o_orderkey")
     orders = table(spark, sf_dir, "orders").select(
         k, "o_custkey", F.when(k % 3 != 0, F.col("o_orderpriority")).alias("segment"))
-    segments = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("segment"))
-    return fill_from_lookup(orders, segments, ["o_custkey"], ["segment"])
+    customer = table(spark, sf_dir, "customer")
+    first = customer.select(F.col("c_custkey").alias("o_custkey"), F.lit(1).alias("revision"),
+                            F.col("c_mktsegment").alias("segment"))
+    # every fourth customer is listed twice; the later revision counts
+    second = customer.where("c_custkey % 4 = 0").select(
+        F.col("c_custkey").alias("o_custkey"), F.lit(2).alias("revision"),
+        F.concat(F.lit("revised "), "c_mktsegment").alias("segment"))
+    return fill_from_lookup(orders, second.unionByName(first), ["o_custkey"], ["segment"],
+                            last_by=["revision"])
 
 
 @query("d3_composite_fill", f"""
@@ -139,8 +146,34 @@ def d5_bbox_rangejoin(spark, sf_dir):
     return bbox_range_join(_points(spark, sf_dir), "lon", "lat", MANY_BOXES, "place")
 
 
+# Boxes from a table: one per customer, from narrow ones to bands around the world.
+_BOX_ROWS_SQL = """(SELECT c_custkey AS rank, x AS lon_from, x + w AS lon_to, y AS lat_from,
+    y + w / 8.0 AS lat_to, 'Zone ' || c_custkey AS label
+  FROM (SELECT c_custkey, ((c_custkey * 7919) % 360) - 180.0::DOUBLE AS x,
+          ((c_custkey * 104729) % 180) - 90.0::DOUBLE AS y,
+          CASE WHEN c_custkey % 97 = 0 THEN 360.0 WHEN c_custkey % 7 = 0 THEN 24.0 ELSE 3.0 END::DOUBLE
+            AS w FROM customer) c)"""
+
+
+@query("d5_box_table", f"""
+    SELECT p.o_orderkey, COALESCE(any_value(p.place), min_by(b.label, b.rank)) AS place
+    FROM {_POINTS_SQL} p LEFT JOIN {_BOX_ROWS_SQL} b
+      ON p.lon BETWEEN b.lon_from AND b.lon_to AND p.lat BETWEEN b.lat_from AND b.lat_to
+    GROUP BY p.o_orderkey""")
+def d5_box_table(spark, sf_dir):
+    k = F.col("c_custkey")
+    x, y = ((k * 7919) % 360 - 180.0), ((k * 104729) % 180 - 90.0)
+    w = F.when(k % 97 == 0, 360.0).when(k % 7 == 0, 24.0).otherwise(3.0)
+    boxes = table(spark, sf_dir, "customer").select(
+        x.alias("lon_from"), (x + w).alias("lon_to"), y.alias("lat_from"), (y + w / 8.0).alias("lat_to"),
+        F.concat(F.lit("Zone "), k.cast("string")).alias("label"), k.alias("rank"))
+    return bbox_range_join(_points(spark, sf_dir), "lon", "lat", boxes, "place").select(
+        "o_orderkey", "place")
+
+
 _GROUPED_SQL = """(SELECT o_orderkey,
     CASE WHEN o_custkey % 50 = 0 THEN NULL ELSE c_nationkey END AS nation,
+    CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_orderkey % 13 AS INTEGER) END AS size,
     CASE WHEN o_orderkey % 3 = 0 OR (c_nationkey % 5 = 0 AND o_orderkey % 4 <> 1) THEN NULL
          ELSE o_orderpriority END AS priority,
     CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderstatus END AS status
@@ -160,19 +193,22 @@ def _mode_sql(column: str) -> str:
            COALESCE(g.priority, CASE WHEN g.nation IS NOT NULL THEN COALESCE(p.v, 'unknown') END)
              AS priority,
            COALESCE(g.status, CASE WHEN g.nation IS NOT NULL THEN COALESCE(s.v, 'unknown') END)
-             AS status
+             AS status, COALESCE(g.size, z.v) AS size
     FROM g LEFT JOIN {_mode_sql('priority')} p ON g.nation = p.nation
-           LEFT JOIN {_mode_sql('status')} s ON g.nation = s.nation""")
+           LEFT JOIN {_mode_sql('status')} s ON g.nation = s.nation
+           LEFT JOIN {_mode_sql('size')} z ON g.nation = z.nation""")
 def d6_group_mode(spark, sf_dir):
     k, nation = F.col("o_orderkey"), F.col("c_nationkey")
     orders = table(spark, sf_dir, "orders").join(
         table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     holes = orders.select(
-        k, F.when(F.col("o_custkey") % 50 != 0, nation).alias("nation"),
+        k, F.when(F.col("o_custkey") % 50 != 0, nation).alias("v"),
+        F.when(k % 5 != 0, (k % 13).cast("int")).alias("size"),
         F.when(~((k % 3 == 0) | ((nation % 5 == 0) & (k % 4 != 1))),
                F.col("o_orderpriority")).alias("priority"),
         F.when(k % 7 != 0, F.col("o_orderstatus")).alias("status"))
-    return impute_group_mode(holes, "nation", ["priority", "status"])
+    return impute_group_mode(holes, "v", ["priority", "status", "size"]).withColumnRenamed(
+        "v", "nation")
 
 
 @query("d12_weather_normalize", """

@@ -10,8 +10,9 @@ from emberfold.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("local[8]", 4, **{"spark.driver.memory": "8g"})
+def spark(tmp_path_factory):
+    session = build_session("local[8]", 4, **{
+        "spark.driver.memory": "8g", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

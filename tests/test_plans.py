@@ -23,11 +23,39 @@ def test_scan_reads_needed_columns_only(spark, sf_dir):
             "l_returnflag:string>") in text
 
 
-def test_rollup_aggregates_before_the_join(spark, sf_dir):
-    text = plan(entry.queries()["r1_region_rollup"](spark, sf_dir)).split(
-        "== Physical Plan ==")[-1]
-    orders = text.rindex("o_custkey")
-    assert text.count("HashAggregate") >= 4 and "partial_count" in text[:orders]
+def test_rollup_follows_the_size_of_the_dimension(spark, sf_dir):
+    from emberfold.operators.rollups import impact_by
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    ask = lambda most: impact_by(orders, "o_custkey", customer, "c_custkey",
+                                 ["c_mktsegment"], [], {"total": F.col("o_orderkey")}, max_broadcast_rows=most)
+    small, large = ask(1_000_000), ask(0)
+    assert plan(small).split("== Physical Plan ==")[-1].count("Exchange hashpartitioning") == 1
+    # one aggregate below the join, one above
+    assert plan(large).split("== Physical Plan ==")[-1].count("HashAggregate") >= 4
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+
+
+def test_foreign_keys_scan_the_fact_once(spark):
+    from emberfold.operators.quality import ForeignKey, foreign_key_flags
+    fact = spark.range(3000).selectExpr(
+        "id", "if(id % 3 = 0, 7, id % 50) AS a", "concat('k', id % 40) AS b", "id % 30 AS c",
+        "cast(null as bigint) AS d")
+    folder = spark.conf.get("spark.checkpoint.dir") + "/fact-scans"
+    fact.write.mode("overwrite").parquet(folder)
+    stored = spark.read.parquet(folder)
+    number = spark.range(25).withColumnRenamed("id", "k")
+    text = number.selectExpr("concat('k', k) AS k")
+    flags = {f"f{n}": ForeignKey(c, text if c == "b" else number, "k")
+             for n, c in enumerate(["a", "b", "c", "d", "a", "c"])}
+    small, large = (foreign_key_flags(stored, flags, most) for most in (1_000_000, 0))
+    physical = plan(large).split("== Physical Plan ==")[-1]
+    assert physical.count("fact-scans") == 1
+    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+    got = {r["id"]: r for r in large.collect()}
+    assert len(got) == 3000 and all(
+        (r["f0"], r["f1"], r["f2"], r["f3"]) == (r["a"] < 25, int(r["b"][1:]) < 25, r["c"] < 25, 0)
+        for r in got.values())
 
 
 def test_filters_reach_the_scan(spark, sf_dir):

@@ -99,18 +99,51 @@ def test_tiny_cells_grow(spark):
     assert bbox_range_join(df, "x", "y", world, "p", cell=0.01).first()["p"] == "world"
 
 
-def test_lookup_size_is_checked():
-    with pytest.raises(ValueError):
-        Lookup("k int, v int", ("k",), [(i, i) for i in range(20_001)])
+def test_long_row_lists_join_like_tables(spark):
+    lookup = Lookup("k int, v int", ("k",), [(i, i) for i in range(20_001)] + [(5, -5)])
+    df = spark.createDataFrame([(5, None), (20_000, None), (20_001, None), (None, 1)], "k int, v int")
+    assert bag(fill_from_lookup(df, lookup, ["k"], ["v"])) == Counter(
+        [(5, -5), (20_000, 20_000), (20_001, None), (None, 1)])
+
+
+def test_repeated_keys_of_tables_keep_the_last(spark, hot, monkeypatch):
+    from emberfold.operators import joins
+    rows = [(k, n, f"{n}-{k}") for k in range(0, 200, 3) for n in range(3)] + [(5, 9, "hot")]
+    right = spark.createDataFrame(rows, "k int, n int, v string")
+    last = {k: v for k, n, v in sorted(rows, key=lambda r: r[1])}
+    want = Counter((r["id"], r["k"], r["v"] or last.get(r["k"])) for r in hot.collect())
+    for most in (1_000_000, 0):
+        monkeypatch.setattr(joins.lookup_join, "__defaults__", (most, *joins.lookup_join.__defaults__[1:]))
+        assert bag(fill_from_lookup(hot, right, ["k"], ["v"], last_by=["n"])) == want
+
+
+def test_many_boxes_and_world_wide_ones(spark):
+    rng = random.Random(5)
+    boxes = [Box(x, x + 0.4, y, y + 0.3, f"b{n}") for n, (x, y) in enumerate(
+        (rng.uniform(-180, 179), rng.uniform(-90, 89)) for _ in range(20_500))]
+    boxes.insert(15_000, Box(-180, 180, -90, 90, "world"))
+    points = [(n, rng.uniform(-180, 180), rng.uniform(-90, 90), None) for n in range(300)]
+    df = spark.createDataFrame(points, "i int, x double, y double, p string")
+    want = {n: next(b.label for b in boxes if b.lon_from <= x <= b.lon_to and b.lat_from <= y <= b.lat_to)
+            for n, x, y, _ in points}
+    for most in (1_000_000, 0):
+        got = bbox_range_join(df, "x", "y", boxes, "p", 0.5, max_broadcast_rows=most)
+        assert {r["i"]: r["p"] for r in got.collect()} == want
+
+
+def test_group_mode_of_numbers(spark):
+    df = spark.createDataFrame([(1, 9), (1, 10), (1, None), (2, None), (2, None), (2, 3)], "v int, n int")
+    assert bag(impute_group_mode(df, "v", ["n"])) == Counter(
+        [(1, 9), (1, 10), (1, 9), (2, None), (2, None), (2, 3)])
 
 
 def test_sizes_are_counted(spark):
     from emberfold.operators import joins
     wide = spark.range(10).select("id", F.repeat(F.lit("x"), 1000).alias("t"))
-    assert joins._fits_broadcast(wide, 10) and not joins._fits_broadcast(wide, 9)
+    assert joins.fits_broadcast(wide, 10) and not joins.fits_broadcast(wide, 9)
     old = joins.MAX_BROADCAST_BYTES
     try:
         joins.MAX_BROADCAST_BYTES = 9_000
-        assert not joins._fits_broadcast(wide, 10)
+        assert not joins.fits_broadcast(wide, 10)
     finally:
         joins.MAX_BROADCAST_BYTES = old
