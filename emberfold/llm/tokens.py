@@ -77,10 +77,11 @@ class Encoder:
                     w if w.isascii() else w.encode().decode("latin-1").translate(table)))]).tobytes()
                 if p else next(rest) for w, p in zip(words, plain)]
 
-    def _spaced(self, words: list[str]) -> list[bytes]:
+    def _spaced(self, words: list[str], often: np.ndarray) -> list[bytes]:
         """Ids of each distinct word with a space before it.
 
         Punctuation after letters is cut off, and so is the first word of the next line.
+        Only words that came ``often``, more than once in the batch, are remembered.
         """
         known = self.words
         out = list(map(known.get, words))
@@ -106,7 +107,8 @@ class Encoder:
             out[i] = ids + ends[end] + begins[word] + ends[last] if end or word else ids
         room = MEMO_WORDS - len(known)
         if room > 0:
-            known.update(islice(fresh.items(), room))
+            again = {cut[0] for i, cut in zip(misses, cuts) if often[i] > 1}.intersection(fresh)
+            known.update((w, fresh[w]) for w in islice(again, room))
         return out
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
@@ -127,7 +129,8 @@ class Encoder:
         heads = offsets[:-1]
         begins = self._encode(
             coded.dictionary.take(coded.indices.take(pa.array(heads))).to_pylist())
-        blobs = self._spaced(coded.dictionary.to_pylist()) + begins
+        often = np.bincount(index, minlength=len(coded.dictionary))
+        blobs = self._spaced(coded.dictionary.to_pylist(), often) + begins
         index[heads] = np.arange(len(blobs) - len(begins), len(blobs))
         sizes = np.fromiter(map(len, blobs), np.int32, len(blobs)) // 4
         starts = np.cumsum(sizes, dtype=np.int64) - sizes
