@@ -38,7 +38,7 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str, end_id: int, id_col:
     if encoding not in ("dictionary", "delta"):
         raise ValueError(f"encoding {encoding!r}")
     meta = F.struct(*[F.col(c) for c in keep]) if keep else F.lit(None).cast("string")
-    rows = small_batches(df).select(F.col(id_col).cast("bigint").alias("doc_id"),
+    rows = small_batches(df, "14m").select(F.col(id_col).cast("bigint").alias("doc_id"),
                      F.col(text_col).alias("text"), meta.alias("meta"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("text")]
     ordered = rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
@@ -48,7 +48,7 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str, end_id: int, id_col:
         part, done = TaskContext.get().partitionId(), 0
         encode_all = encoder(tokenizer).encode
         end = np.array([end_id], dtype="<u4")
-        for batch in pieces(batches, "text", 10 << 20):
+        for batch in pieces(batches, "text", 14 << 20):
             ids = [np.concatenate([i, end])
                    for i in encode_all(batch.column("text"))]
             n = np.array([len(i) for i in ids], dtype=np.int64)

@@ -57,9 +57,9 @@ def give_back() -> None:
         trim(0)
 
 
-def small_batches(df: DataFrame) -> DataFrame:
+def small_batches(df: DataFrame, size: str = "8m") -> DataFrame:
     """Have Spark hand rows to Python in batches of a few megabytes, from here on in the session."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
     return df
 
 
