@@ -1,10 +1,10 @@
 """Document scores of a stupid-backoff bigram model, by joins on count tables.
 
 Documents are dealt to chunks. A chunk explodes its texts into unigrams and bigrams and asks
-for the counts of its distinct n-grams: one sorted block of hashes per hash range. The count table of
-a hash range is the sum of what all chunks sent, and each block is joined to it and goes
-back to its chunk, where the logarithms are summed per document. A frequent n-gram is
-one entry per chunk, however often it occurs.
+for the counts of its distinct n-grams: one block of sorted hashes per hash range, sent as
+differences. The count table of a hash range is the sum of what all chunks sent, and each
+block is joined to it and goes back to its chunk, where the logarithms are summed per
+document. A frequent n-gram is one entry per chunk, however often it occurs.
 """
 
 from __future__ import annotations
@@ -51,6 +51,15 @@ def _ranges(keys: np.ndarray, count: int) -> np.ndarray:
     return np.append(np.searchsorted(keys, np.array(edges, np.uint64)), len(keys))
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """64-bit integers with equal byte places together, so that high zeros compress away."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _from_planes(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
 def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     min_count: int = 2, backoff: float = BACKOFF) -> DataFrame:
     """``doc_id, n_words, n_backoff, logp, perplexity`` per row, counts over all rows.
@@ -79,20 +88,21 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             edges = _ranges(keys, ranges)
             for part, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
                 if a < b:
-                    out.append((kind, part, table["chunk"][0].as_py(), keys[a:b].tobytes(),
-                                counts[a:b].astype("<u4").tobytes()))
+                    out.append((kind, part, table["chunk"][0].as_py(),
+                                _planes(np.diff(keys[a:b], prepend=np.uint64(0))),
+                                _planes(counts[a:b])))
         types = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
         return pa.table([pa.array([r[k] for r in out], t) for k, t in enumerate(types)],
                         names=["kind", "part", "chunk", "keys", "counts"])
 
     def count(table: pa.Table) -> pa.Table:
-        blocks = [np.frombuffer(k, "<u8") for k in table["keys"].to_pylist()]
-        counts = np.concatenate([np.frombuffer(c, "<u4") for c in table["counts"].to_pylist()])
+        blocks = [np.cumsum(_from_planes(k), dtype=np.uint64) for k in table["keys"].to_pylist()]
+        counts = np.concatenate([_from_planes(c) for c in table["counts"].to_pylist()])
         _, place = np.unique(np.concatenate(blocks), return_inverse=True)
         total = np.bincount(place, counts).astype("<u8")[place]
         ends = np.cumsum([len(b) for b in blocks])
         return pa.table([table["kind"], table["part"], table["chunk"],
-                         pa.array([t.tobytes() for t in np.split(total, ends[:-1])], pa.binary())],
+                         pa.array([_planes(t) for t in np.split(total, ends[:-1])], pa.binary())],
                         names=["kind", "part", "chunk", "totals"])
 
     def score(table: pa.Table, answers: pa.Table) -> pa.Table:
@@ -100,7 +110,8 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         answers = answers.sort_by([("kind", "ascending"), ("part", "ascending")])
         kinds = answers["kind"].to_numpy()
         blobs = answers["totals"].to_pylist()
-        of = {kind: np.frombuffer(b"".join(b for b, k in zip(blobs, kinds) if k == kind), "<u8")
+        of = {kind: np.concatenate([np.empty(0, np.uint64), *[
+                  _from_planes(b) for b, k in zip(blobs, kinds) if k == kind]])
               for kind in (1, 2)}
         single = of[1][np.unique(words, return_inverse=True)[1]].astype(float)
         double = np.zeros(len(words))
