@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from emberfold.operators.joins import (
@@ -154,13 +154,20 @@ def impute_group_mode(df: DataFrame, group: str, columns: Sequence[str], default
     return joined.withColumns(filled).select(*df.columns)
 
 
-def keep_first(df: DataFrame, subset: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+def keep_first(df: DataFrame, subset: Sequence[str], order_by: Sequence[str],
+               few_copies: bool = False) -> DataFrame:
     """One row per value of ``subset``: the first by ``order_by``, NULLs last.
 
     An aggregate and not a window, so copies of a hot value are dropped on the
     map side. ``order_by`` has to tell rows of a group apart for a stable pick.
+    The rows are the same with ``few_copies``, which ranks them in a window: quicker where
+    copies are known to be rare, slower where one value holds many rows.
     """
     rest = [c for c in df.columns if c not in subset]
+    if few_copies:
+        ranked = df.withColumn("_place", F.row_number().over(Window.partitionBy(*subset).orderBy(
+            *[F.col(c).asc_nulls_last() for c in order_by or subset])))
+        return ranked.where(F.col("_place") == 1).select(*df.columns)
     if not rest:
         return df.distinct()
     if rest == list(order_by) and len(rest) == 1:

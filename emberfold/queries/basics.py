@@ -9,7 +9,7 @@ from emberfold.operators.repair import keep_first
 from emberfold.plans import fixed_values as fixed
 from emberfold.queries.base import amount, query, sql_decode, sql_money, table
 from emberfold.sources.files import bronze_manifest, landed_lines, project, read_csv
-from emberfold.sources.tables import create_table, publish, read_table
+from emberfold.sources.tables import create_table, publish, publish_all, read_table
 from emberfold.storage import scratch_path
 
 # The driver tables hold no NULLs and no junk. The CASE expressions on row keys
@@ -43,6 +43,23 @@ def a4_table_scan(spark, sf_dir):
     return stored.unionByName(read_table(spark, name))
 
 
+_PUBLISHED = {"nation": "n_nationkey", "supplier": "s_suppkey", "part": "p_partkey"}
+
+
+@query("a9_publish_all", " UNION ALL ".join(
+    f"SELECT '{name}' AS name, COUNT(*) AS stored, CAST(SUM({key}) AS BIGINT) AS keys FROM {name}"
+    for name, key in _PUBLISHED.items()))
+def a9_publish_all(spark, sf_dir):
+    """Published twice, so that the second run replaces tables; one is partitioned."""
+    root, tables = scratch_path(spark, "published"), {
+        name: table(spark, sf_dir, name) for name in _PUBLISHED}
+    for _ in range(2):
+        stored = publish_all(tables, "emberfold_published", root, {"part": ["p_size"]})
+    counts = [stored[name].agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("stored"),
+                               F.sum(key).alias("keys")) for name, key in _PUBLISHED.items()]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 @query("a15_bronze_manifest", """
     SELECT 'customers' AS dataset, COUNT(*) AS lines FROM customer
     UNION ALL SELECT 'orders', COUNT(*) FROM orders

@@ -9,24 +9,62 @@ from emberfold.functions.scalars import threshold_label
 from emberfold.operators import learn
 from emberfold.queries.base import amount, query, sql_money, table
 from emberfold.queries.weather import READINGS_SQL, float_codes_sql, readings
-from emberfold.sources.files import TESTING_FOLDER, TRAINING_FOLDER, image_labels
+from emberfold.sources.files import (TESTING_FOLDER, TRAINING_FOLDER, image_labels, read_csv,
+                                     read_images)
+from emberfold.storage import materialize, scratch_path
 
 
-@query("m1_regression", f"""
+_PLANE_SQL = f"""
     SELECT event_id, round(0.4 * isi::DOUBLE + 0.2 * bui::DOUBLE + 0.05 * temperature::DOUBLE
                            - 0.03 * rh::DOUBLE + 1.5, 4) AS prediction
-    FROM {float_codes_sql(READINGS_SQL)} x""")
-def m1_regression(spark, sf_dir):
-    """The target is a plane over the features, so a right fit returns the plane."""
-    coded = fire_codes(readings(spark, sf_dir), F.col("month"))
-    known = coded.withColumn("fwi", sum(
+    FROM {float_codes_sql(READINGS_SQL)} x"""
+
+
+def _known(coded):
+    """With a target that is a plane over the features, so a right fit returns the plane."""
+    return coded.withColumn("fwi", sum(
         [F.lit(a) * F.col(c).cast("double") for c, a in
          (("isi", 0.4), ("bui", 0.2), ("temperature", 0.05), ("rh", -0.03))], F.lit(1.5)))
-    train, _ = learn.train_test_split(known, "event_id")
-    scored = learn.score(learn.fit_regression(train), coded)
+
+
+def _predictions(scored):
     return scored.select("event_id", F.round("prediction", 4).alias("prediction"))
 
 
+@query("m1_regression", _PLANE_SQL)
+def m1_regression(spark, sf_dir):
+    coded = fire_codes(readings(spark, sf_dir), F.col("month"))
+    train, _ = learn.train_test_split(_known(coded), "event_id")
+    return _predictions(learn.score(learn.fit_regression(train), coded))
+
+
+@query("a14_csv_training", _PLANE_SQL)
+def a14_csv_training(spark, sf_dir):
+    """Trained and scored on what a CSV file holds."""
+    path = scratch_path(spark, "training-csv")
+    known = _known(fire_codes(readings(spark, sf_dir), F.col("month"))).select(
+        "event_id", *learn.FIRE_FEATURES, learn.FIRE_TARGET)
+    known.write.option("header", True).csv(path)
+    stored = read_csv(spark, path, schema=known.schema)
+    train, _ = learn.train_test_split(stored, "event_id")
+    return _predictions(learn.score(learn.fit_regression(train), stored))
+
+
+@query("m4_stream_scoring", _PLANE_SQL)
+def m4_stream_scoring(spark, sf_dir):
+    """Trained on a table, scored on a stream of readings without codes."""
+    out = scratch_path(spark, "scored")
+    landed = materialize(readings(spark, sf_dir), "landed-readings")
+    train, _ = learn.train_test_split(_known(fire_codes(landed, F.col("month"))), "event_id")
+    model = learn.fit_regression(train)
+    stream = spark.readStream.schema(landed.schema).parquet(
+        landed.inputFiles()[0].rpartition("/")[0])
+    scored = _predictions(learn.score(model, fire_codes(stream, F.col("month"))))
+    scored.writeStream.format("parquet").option("checkpointLocation", out + "-checkpoint").trigger(
+        availableNow=True).start(out).awaitTermination()
+    return spark.read.schema(scored.schema).parquet(out)
+
+
 @query("m2_split", """
     SELECT event_id, CAST(('0x' || substr(md5('42:' || CAST(event_id AS VARCHAR)), 1, 8)) AS BIGINT)
                        % 10000 < 7500 AS is_train
@@ -117,6 +155,41 @@ def m7_best_run(spark, sf_dir):
     return best[0].unionByName(best[1])
 
 
+@query("m10_run_log", f"""
+    SELECT 'events' AS experiment, min_by(run_id, (value, run_id)) AS run_id, MIN(value) AS value
+    FROM (SELECT 'run-' || event_type AS run_id, {sql_money('value')} AS value
+          FROM events GROUP BY event_type) r""")
+def m10_run_log(spark, sf_dir):
+    """One logged run per event type, of which there are a handful; the best from the stored log."""
+    path = scratch_path(spark, "runs")
+    for row in table(spark, sf_dir, "events").groupBy("event_type").agg(
+            (F.sum(amount("value")) / 100.0).alias("total")).collect():
+        learn.log_run(spark, path, "events", f"run-{row['event_type']}", {"type": row["event_type"]},
+                      {"rmse": row["total"], "other": 0.0})
+    return learn.best_run(spark.read.parquet(path), "rmse", False)
+
+
+_TREE = [(split, label) for split in (TESTING_FOLDER, TRAINING_FOLDER) for label in ("fire", "nofire")]
+
+
+@query("a13_image_tree", """
+    SELECT CASE WHEN page_id % 3 = 0 THEN 'test' ELSE 'train' END AS split,
+           CASE WHEN length(html) % 2 = 0 THEN 'fire' ELSE 'nofire' END AS label,
+           CAST(SUM(coalesce(strlen(html), 0) + 1) AS BIGINT) AS bytes
+    FROM pages GROUP BY 1, 2""")
+def a13_image_tree(spark, sf_dir):
+    """Pages written as files of an image tree, scanned without their contents."""
+    root = scratch_path(spark, "images")
+    pages = table(spark, sf_dir, "pages").select(
+        "html", F.when(F.col("page_id") % 3 == 0, TESTING_FOLDER).otherwise(TRAINING_FOLDER).alias("split"),
+        F.when(F.length("html") % 2 == 0, "fire").otherwise("nofire").alias("label"))
+    for split, label in _TREE:
+        pages.where((F.col("split") == split) & (F.col("label") == label)).select("html").write.text(
+            f"{root}/{split}/{label}")
+    found = read_images(spark, root).where("length > 0")
+    return found.groupBy("split", "label").agg(F.sum("length").alias("bytes"))
+
+
 @query("m8_label_from_path", """
     SELECT CASE WHEN page_id % 3 = 0 THEN 'test' ELSE 'train' END AS split,
            CASE WHEN length(html) % 2 = 0 THEN 'fire' ELSE 'nofire' END AS label,

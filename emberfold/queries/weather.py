@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from emberfold.functions.fire import RISK_LEVELS, fire_codes, risk_level
 from emberfold.operators.carry import carried_codes, daily_readings
 from emberfold.queries.base import amount, query, sql_money, sql_text, table
-from emberfold.storage import scratch_path
+from emberfold.storage import materialize, scratch_path
 from emberfold.streaming import weather as w
 
 
@@ -166,6 +166,25 @@ def s4_sink_counts(spark, sf_dir):
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
+@query("s5_replay_ids", f"""
+    SELECT run, CAST(2 * COUNT(*) AS BIGINT) AS ids
+    FROM {_PARSED_SQL} p, (VALUES ('first'), ('again'), ('both')) AS r(run)
+    WHERE {_USABLE_SQL} GROUP BY run""")
+def s5_replay_ids(spark, sf_dir):
+    """Every message lands twice; the batch is replayed in another layout and keeps its ids."""
+    out = scratch_path(spark, "replay")
+    lines = spark.read.text(_landed_messages(spark, sf_dir))
+    parsed = w.parse_messages(lines.unionByName(lines))
+    write = w.batch_sinks(f"{out}/raw", f"{out}/features", None, F.lit(7))
+    write(parsed, 0)
+    first = materialize(spark.read.parquet(f"{out}/features").select("id"), "ids").distinct()
+    write(parsed.repartition(7), 0)
+    again = spark.read.parquet(f"{out}/features").select("id").distinct()
+    runs = {"first": first, "again": again, "both": first.intersect(again)}
+    counts = [df.agg(F.lit(run).alias("run"), F.count(F.lit(1)).alias("ids")) for run, df in runs.items()]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 _METRICS_SQL = f"""
     SELECT CAST(ts AS DATE)::TIMESTAMP AS window_start,
            CAST(ts AS DATE)::TIMESTAMP + INTERVAL 1 DAY AS window_end, event_type,
@@ -193,10 +212,23 @@ def s8_stream_window(spark, sf_dir):
         c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
-@query("l3_latest_reading", f"""
+_LATEST_SQL = f"""
     SELECT event_id, ts, {ROUNDED_CODES_SQL}
     FROM {float_codes_sql(f'(SELECT * FROM {READINGS_SQL} r ORDER BY ts DESC, event_id LIMIT 1)')} x
-    """)
+    """
+
+
+@query("l3_latest_stored", _LATEST_SQL)
+def l3_latest_stored(spark, sf_dir):
+    """From a table stored by day, of which the last day is read."""
+    path = scratch_path(spark, "by-day")
+    by_day = readings(spark, sf_dir).withColumn("day", F.to_date("ts"))
+    by_day.hint("rebalance", F.col("day")).write.partitionBy("day").parquet(path)
+    newest = w.latest_reading(spark.read.parquet(path), "ts", "event_id", partition="day")
+    return fire_codes(newest, F.col("month")).select("event_id", "ts", *rounded_codes())
+
+
+@query("l3_latest_reading", _LATEST_SQL)
 def l3_latest_reading(spark, sf_dir):
     newest = w.latest_reading(readings(spark, sf_dir), "ts", "event_id")
     return fire_codes(newest, F.col("month")).select("event_id", "ts", *rounded_codes())

@@ -32,7 +32,10 @@ def publish(df: DataFrame, schema: str, table: str, root: str,
     """Replace a table by ``df`` and return the stored table.
 
     The rows go to a new folder first and the table is then pointed at it, so
-    readers never see half a table and ``df`` may read the table it replaces.
+    readers never see half a table and ``df`` may read the table it replaces. A partitioned
+    table, and one whose schema changes, is dropped and created again over the new
+    folder: between the two its name is absent for a moment, and a driver that dies
+    there leaves the rows without a name. Old folders stay for readers that are still at them.
     Partitioned tables are rebalanced by their partition columns first: few files
     per partition, and a large partition is still written by many tasks.
     """

@@ -16,9 +16,13 @@ T = TypeVar("T")
 PARALLEL_JOBS = 4
 
 
-def run_together(jobs: Mapping[str, Callable[[], T]]) -> dict[str, T]:
+# Stored tables of this driver, until they are released.
+_STORED: list[str] = []
+
+
+def run_together(jobs: Mapping[str, Callable[[], T]], at_once: int = PARALLEL_JOBS) -> dict[str, T]:
     """Run independent jobs side by side, so that small ones share the cluster."""
-    with ThreadPoolExecutor(PARALLEL_JOBS) as pool:
+    with ThreadPoolExecutor(at_once) as pool:
         running = {name: pool.submit(job) for name, job in jobs.items()}
         return {name: job.result() for name, job in running.items()}
 
@@ -45,5 +49,20 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     not a recomputation, and gives the planner the table's true size.
     """
     path = scratch_path(df.sparkSession, label)
+    _STORED.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete every table that ``materialize`` stored from this driver; returns how many.
+
+    For the end of a flow, when its results are stored elsewhere: what still reads
+    such a table fails afterwards.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    released = 0
+    while _STORED:
+        path = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
+        released += path.getFileSystem(conf).delete(path, True)
+    return released

@@ -73,11 +73,27 @@ def weather_features(df: DataFrame, month: Column | None = None) -> DataFrame:
     return fire_codes(df, F.month(F.current_date()) if month is None else month)
 
 
-def _feature_id(batch: DataFrame) -> Column:
+# Equal messages are numbered in blocks of so many, which tasks share out.
+COPY_BLOCK = 10_000
+
+
+def with_message_id(batch: DataFrame, batch_id: int) -> DataFrame:
+    """Add ``id``, the same when the batch is replayed.
+
+    A digest of the message's position where the source gives one. Otherwise of the batch
+    and the whole row, equal rows being numbered: they are counted first, so a message
+    with many copies is one row when it moves, and counted out again in blocks.
+    """
     position = ["topic", "partition", "offset"]
     if set(position) <= set(batch.columns):
-        return row_digest(*[F.col(c) for c in position])
-    return F.expr("uuid()")
+        return batch.withColumn("id", row_digest(*[F.col(c) for c in position]))
+    rows = [F.col(f"`{c}`") for c in batch.columns]
+    counted = batch.groupBy(*rows).agg(F.count(F.lit(1)).alias("_n"))
+    blocks = counted.withColumn("_first", F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.col("_n") - 1, F.lit(COPY_BLOCK).cast("bigint")))).hint("rebalance")
+    copies = blocks.withColumn("_copy", F.explode(F.sequence(
+        F.col("_first"), F.least(F.col("_first") + COPY_BLOCK, F.col("_n")) - 1)))
+    return copies.select(*rows, row_digest(F.lit(batch_id), *rows, F.col("_copy")).alias("id"))
 
 
 def batch_sinks(raw_path: str, feature_path: str, quarantine_path: str | None = None,
@@ -94,10 +110,9 @@ def batch_sinks(raw_path: str, feature_path: str, quarantine_path: str | None =
         try:
             raw = batch.select(to_message().alias("document"))
             raw.write.mode("overwrite").parquet(f"{raw_path}/batch_id={batch_id}")
-            readings = weather_features(batch.where(is_reading()), month)
-            features = readings.select(
-                _feature_id(batch).alias("id"),
-                *FIELDS, "ffmc", "dmc", "dc", "isi", "bui",
+            readings = with_message_id(batch.where(is_reading()), batch_id)
+            features = weather_features(readings, month).select(
+                "id", *FIELDS, "ffmc", "dmc", "dc", "isi", "bui",
                 F.current_timestamp().alias("ingestion_time"))
             features.write.mode("overwrite").parquet(f"{feature_path}/batch_id={batch_id}")
             if quarantine_path:
@@ -119,8 +134,17 @@ def start_sinks(messages: DataFrame, sinks: Callable[[DataFrame, int], None], ch
     return writer.trigger(**trigger).start()
 
 
-def latest_reading(features: DataFrame, time: str = "ingestion_time", tie: str = "id") -> DataFrame:
-    """The newest row."""
+def latest_reading(features: DataFrame, time: str = "ingestion_time", tie: str = "id",
+                   partition: str | None = None) -> DataFrame:
+    """The newest row.
+
+    ``partition`` names a partition column that never falls while ``time`` rises, such as the
+    sinks' ``batch_id`` or a day. Its largest value is looked up without reading any
+    stored column, and only that partition is then read.
+    """
+    if partition is not None:
+        newest = features.agg(F.max(partition)).first()[0]
+        features = features.where(F.col(partition).eqNullSafe(F.lit(newest)))
     return features.orderBy(F.col(time).desc(), F.col(tie).asc()).limit(1)
 
 

@@ -7,7 +7,7 @@ from emberfold.queries import ORACLES, QUERIES
 from compare import connect, differences
 
 
-MODELS = {"m1_regression", "m5_vector_classifier"}
+MODELS = {"m1_regression", "m5_vector_classifier", "a14_csv_training", "m4_stream_scoring"}
 
 
 @pytest.fixture(scope="module")

@@ -2,11 +2,13 @@
 
 import random
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from emberfold import storage
 from emberfold.operators.joins import Lookup, lookup_join
 from emberfold.operators.repair import (
     Box, bbox_label, bbox_range_join, fill_from_lookup, group_modes, impute_group_mode, keep_first)
@@ -147,3 +149,18 @@ def test_sizes_are_counted(spark):
         assert not joins.fits_broadcast(wide, 10)
     finally:
         joins.MAX_BROADCAST_BYTES = old
+
+
+def test_keep_first_forms_agree(spark):
+    rows = [(i % 7, None if i % 5 == 0 else i % 3, i) for i in range(200)] + [(None, 1, 1), (None, 0, 2)]
+    df = spark.createDataFrame(rows, "k int, v int, id int")
+    for subset, order in ((["k"], ["v", "id"]), (["k", "v"], ["id"]), (["k", "v", "id"], [])):
+        assert bag(keep_first(df, subset, order)) == bag(keep_first(df, subset, order, few_copies=True))
+
+
+def test_release_deletes_what_was_stored(spark, monkeypatch):
+    monkeypatch.setattr(storage, "_STORED", [])
+    stored = storage.materialize(spark.range(10), "t-release")
+    path = stored.inputFiles()[0]
+    assert stored.count() == 10 and storage.release(spark) == 1 and storage.release(spark) == 0
+    assert not Path(path.removeprefix("file://")).exists()

@@ -123,3 +123,13 @@ def test_carried_stream_equals_batch(spark, tmp_path):
     assert got.count() == 21
     assert sorted(map(tuple, got.select(columns).collect())) == sorted(
         map(tuple, want.collect()))
+
+
+def test_replayed_messages_keep_their_ids(spark, monkeypatch):
+    monkeypatch.setattr(w, "COPY_BLOCK", 4)
+    lines = spark.createDataFrame([("same",)] * 11 + [("other",), (None,), (None,)], "value string")
+    runs = [sorted(map(tuple, w.with_message_id(df, batch).collect()), key=str) for df, batch in (
+        (lines.coalesce(1), 3), (lines.repartition(5), 3), (lines, 4))]
+    assert runs[0] == runs[1] and len({i for _, i in runs[0]}) == 14
+    assert sorted(str(v) for v, _ in runs[0]) == sorted(str(r[0]) for r in lines.collect())
+    assert not {i for _, i in runs[0]} & {i for _, i in runs[2]}
