@@ -4,10 +4,15 @@ A line's words are parsed along a tree of fixed depth: the number of words, then
 leading words, with words that hold a digit as a variable field. Lines of a leaf that agree
 in most places share a template, in which the places that differ become
 variable fields too. Templates that recur across documents are dropped.
+
+A leaf may hold any number of lines. Lines that agree in enough places differ in few, so of
+one block of places more than these they share one: a leaf finds a line's templates by such blocks, and of
+a full leaf only the lines that share a block with another are moved at all.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -22,10 +27,10 @@ from emberfold.storage import materialize
 
 FIELD = b"<*>"
 DEPTH = 3
-DEEP = 12
-# Distinct lines a leaf may hold; a fuller leaf is split by its first DEEP words, and what is
-# fuller still keeps each line as its own template.
+# Distinct lines of a leaf that are all moved; of a fuller one those without company stay.
 LEAF_LINES = 2_000
+# Templates of a leaf that are all compared; more are looked up by their blocks.
+FEW_TEMPLATES = 64
 _DIGIT = re.compile(rb"[0-9]").search
 
 
@@ -43,8 +48,18 @@ def line_key(words: list[bytes]) -> int:
     return _hash(b" ".join(words))
 
 
-def _leaf(words: list[bytes], depth: int) -> int:
-    return _hash(b"%d " % len(words) + b" ".join(words[:depth]))
+def _leaf(words: list[bytes]) -> int:
+    return _hash(b"%d " % len(words) + b" ".join(words[:DEPTH]))
+
+
+def blocks(count: int, similarity: float) -> list[tuple[int, int]]:
+    """Ranges of a line's places, one of which lines that agree in enough places share.
+
+    The leading words, equal in a leaf, are in none. Empty if there are too few places.
+    """
+    parts = count - math.ceil(similarity * count) + 1
+    edges = [DEPTH + (count - DEPTH) * k // parts for k in range(parts + 1)]
+    return list(zip(edges, edges[1:])) if count - DEPTH >= parts else []
 
 
 class Leaf:
@@ -54,6 +69,26 @@ class Leaf:
         self.similarity = similarity
         self.rows = np.empty((0, 0), np.uint64)
         self.keys: list[int] = []
+        self.blocks: list[tuple[int, int]] = []
+        self.held: dict[tuple[int, bytes], list[int]] | None = None
+
+    def _note(self, number: int, changed: np.ndarray | None = None) -> None:
+        """Have the template found by its blocks, or those with changed places."""
+        for a, b in self.blocks:
+            if changed is None or changed[a:b].any():
+                self.held.setdefault((a, self.rows[number, a:b].tobytes()), []).append(number)
+
+    def _alike(self, line: np.ndarray) -> np.ndarray:
+        """Numbers, rising, of all templates that may take the line in."""
+        count = len(self.keys)
+        if self.held is None and count > FEW_TEMPLATES:
+            self.held, self.blocks = {}, blocks(len(line), self.similarity)
+            for number in range(count):
+                self._note(number)
+        if not self.blocks:
+            return np.arange(count)
+        found = [self.held.get((a, line[a:b].tobytes()), ()) for a, b in self.blocks]
+        return np.unique(np.concatenate([np.array(f, np.int64) for f in found]))
 
     def add(self, key: int, words: list[bytes]) -> int:
         """The key of the template that takes the line in, the line's own if it is the first.
@@ -64,23 +99,32 @@ class Leaf:
         """
         line = np.array([0 if w == FIELD else xxhash.xxh64_intdigest(w) | 1 for w in words], np.uint64)
         if self.keys:
-            same = (self.rows[:len(self.keys)] == line).sum(axis=1)
-            best = int(same.argmax())
-            if same[best] >= self.similarity * len(words):
-                row = self.rows[best]
-                row[row != line] = 0
-                return self.keys[best]
+            alike = self._alike(line)
+            if len(alike):
+                same = (self.rows[alike] == line).sum(axis=1)
+                best = int(same.argmax())
+                if same[best] >= self.similarity * len(words):
+                    number = int(alike[best])
+                    row = self.rows[number]
+                    changed = (row != line) & (row != 0)
+                    row[changed] = 0
+                    self._note(number, changed)
+                    return self.keys[number]
         else:
             self.rows = np.empty((4, len(words)), np.uint64)
         if len(self.keys) == len(self.rows):
             self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
         self.rows[len(self.keys)] = line
         self.keys.append(key)
+        self._note(len(self.keys) - 1)
         return key
 
 
-def line_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, line, leaf, deep``: the distinct masked lines of each row, as hashes."""
+def line_table(df: DataFrame, id_col: str, text_col: str, similarity: float) -> DataFrame:
+    """``doc_id, line, leaf``: the distinct masked lines of each row, as hashes.
+
+    Lines so short that they must agree in all places have no leaf.
+    """
     rows = df.select(F.col(id_col).cast("bigint").alias("doc_id"),
                      F.col(text_col).cast("binary").alias("text"))
 
@@ -95,12 +139,13 @@ def line_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     key = line_key(words)
                     if words and key not in seen:
                         seen.add(key)
-                        out.append((doc, key, _leaf(words, DEPTH), _leaf(words, DEEP)))
+                        out.append((doc, key, _leaf(words) if similarity * len(words) <= len(words) - 1
+                                    else None))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in out], pa.int64()) for k in range(4)],
-                names=["doc_id", "line", "leaf", "deep"])
+                [pa.array([r[k] for r in out], pa.int64()) for k in range(3)],
+                names=["doc_id", "line", "leaf"])
 
-    return rows.mapInArrow(run, "doc_id bigint, line bigint, leaf bigint, deep bigint")
+    return rows.mapInArrow(run, "doc_id bigint, line bigint, leaf bigint")
 
 
 def _words_of(df: DataFrame, lines: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -131,20 +176,49 @@ def _words_of(df: DataFrame, lines: DataFrame, id_col: str, text_col: str) -> Da
         run, "_leaf bigint, line bigint, first_doc bigint, words binary")
 
 
+def _with_company(words: DataFrame, similarity: float) -> DataFrame:
+    """Rows of ``_leaf, line, first_doc, words`` that may share a template with another.
+
+    Without a field of its own, a line agrees with a template where it agrees with the
+    template's first line, so it shares a block with that one. Lines with a field all stay.
+    """
+    def run(batches):
+        for batch in pieces(batches, "words"):
+            out: list[tuple] = []
+            for leaf, key, line in zip(*(batch.column(c).to_pylist() for c in ("_leaf", "line", "words"))):
+                parts = line.split(b" ")
+                places = blocks(len(parts), similarity)
+                always = FIELD in parts or not places
+                out += [(key, _hash(b"%d %d " % (leaf, a) + b" ".join(parts[a:b])), always)
+                        for a, b in places or [(0, 0)]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[k] for r in out], t) for k, t in enumerate([pa.int64(), pa.int64(), pa.bool_()])],
+                names=["line", "block", "always"])
+
+    keyed = words.mapInArrow(run, "line bigint, block bigint, always boolean")
+    common = keyed.groupBy("block").agg(F.min("line").alias("_a"), F.max("line").alias("_b")).where(
+        F.col("_a") < F.col("_b"))
+    company = keyed.join(common, "block", "left").where(
+        F.col("always") | F.col("_a").isNotNull()).select("line").distinct()
+    return words.join(company, "line", "left_semi").select(*words.columns)
+
+
 def line_templates(df: DataFrame, lines: DataFrame, id_col: str, text_col: str, similarity: float,
                    leaf_lines: int) -> DataFrame:
     """``line, template`` for each distinct masked line; ``lines`` has one row per line."""
-    def sizes(column: str, name: str) -> DataFrame:
-        return lines.groupBy(column).agg(F.count(F.lit(1)).alias(name))
-
     # only leaves with company need the words of their lines
-    sized = lines.select("leaf", "deep", "line", "first_doc").join(
-        sizes("leaf", "_n").where(F.col("_n") > 1), "leaf").join(sizes("deep", "_d"), "deep")
-    shared = sized.where((F.col("_n") <= leaf_lines) | ((F.col("_d") > 1) & (F.col("_d") <= leaf_lines)))
-    shared = shared.select("line", "first_doc", F.when(F.col("_n") <= leaf_lines, F.col("leaf")).otherwise(
-        F.col("deep")).alias("_leaf"))
-    grouped = _words_of(df, shared, id_col, text_col).repartition("_leaf").sortWithinPartitions(
-        "_leaf", "first_doc", "line")
+    sizes = lines.where(F.col("leaf").isNotNull()).groupBy("leaf").agg(F.count(F.lit(1)).alias("_n")).where(
+        F.col("_n") > 1)
+    sizes = materialize(sizes, "leaf-sizes")
+    shared = lines.join(sizes.select("leaf"), "leaf").select("line", "first_doc", F.col("leaf").alias("_leaf"))
+    moved = _words_of(df, shared, id_col, text_col)
+    full = sizes.where(F.col("_n") > leaf_lines).select(F.col("leaf").alias("_leaf"))
+    if full.head(1):
+        moved = materialize(moved, "leaf-words")
+        of_full = attach(moved, full, "_leaf", "full-leaves", "left_semi", row_bytes=32)
+        others = attach(moved, full, "_leaf", "full-leaves", "left_anti", row_bytes=32)
+        moved = others.unionByName(_with_company(of_full, similarity))
+    grouped = moved.repartition("_leaf").sortWithinPartitions("_leaf", "first_doc", "line")
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         current, last, leaf = None, None, Leaf(similarity)
@@ -185,8 +259,8 @@ def drop_recurring_lines(df: DataFrame, id_col: str = "doc_id", text_col: str =
     if {n_lines, n_dropped} & set(df.columns):
         raise ValueError(f"{n_lines} or {n_dropped} is a column already")
     known = small_batches(df).where(F.col(id_col).isNotNull())
-    found = materialize(line_table(known, id_col, text_col), "lines")
-    lines = materialize(found.groupBy("line", "leaf", "deep").agg(
+    found = materialize(line_table(known, id_col, text_col, similarity), "lines")
+    lines = materialize(found.groupBy("line", "leaf").agg(
         F.min("doc_id").alias("first_doc")), "distinct-lines")
     templates = materialize(line_templates(known, lines, id_col, text_col, similarity, leaf_lines),
                             "templates")

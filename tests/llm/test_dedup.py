@@ -188,3 +188,32 @@ def test_full_leaves_are_split(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     out = drop_recurring_lines(df, min_docs=2, leaf_lines=5)
     assert out.count() == 60 and out.agg(F.max("n_lines")).first()[0] == 1
+
+
+@pytest.mark.parametrize("leaf_lines", [2_000, 5])
+def test_full_leaves_are_whole(spark, leaf_lines):
+    rng = np.random.default_rng(4)
+    rows = [(k, f"See more from name{chr(97 + k % 26)}{'x' * (k // 26)} today\nown line of {k}")
+            for k in range(2_100)]
+    word = lambda: "uvwxyz"[rng.integers(0, 6)]
+    # lines that agree in some places and not in others, some with fields of their own
+    rows += [(5_000 + k, "all of these " + " ".join(
+        str(k) if rng.random() < 0.05 else word() * int(rng.integers(1, 3)) for _ in range(9)))
+        for k in range(2_400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = drop_recurring_lines(df, leaf_lines=leaf_lines).select("doc_id", "text", "n_lines", "n_dropped")
+    got = Counter(tuple(r) for r in got.collect())
+    assert got == plain_lines(rows)
+    assert sum(r[3] for r in got if r[0] < 5_000) >= 2_099
+
+
+def test_blocks_find_the_same_templates():
+    rng = np.random.default_rng(5)
+    for count, top in ((5, 300), (9, 4), (16, 3)):
+        quick, slow = Leaf(0.8), Leaf(0.8)
+        slow._alike = lambda line: np.arange(len(slow.keys))  # noqa: B023
+        for key in range(3_000):
+            words = [b"a", b"b", b"c"] + [b"<*>" if v == 0 else b"%d" % v
+                                          for v in rng.integers(0, top, count - 3)]
+            assert quick.add(key, words) == slow.add(key, words)
+        assert quick.blocks
