@@ -6,6 +6,9 @@ that share it form a passage. A passage whose hash occurs once in the corpus has
 no copy. All others are indexed, equal passages once with their earliest place, and
 streamed against the index of their shard: backward search gives the places where each window
 occurs, and a window that also starts earlier is removed.
+
+Passages that share their hash with too many others are cut again, by more of the smallest hashes
+of each window and at last by the whole window's, so that a shard takes as many as it may hold.
 """
 
 from __future__ import annotations
@@ -24,9 +27,11 @@ from emberfold.storage import materialize
 
 GROUP = 6
 PASSAGE_WINDOWS = 64
-# Words of a shard's index, and passages of one hash that an index takes.
+# Words of a shard's index, and passages of one hash that a shard takes.
 SHARD_WORDS = 65_536
 KEY_PASSAGES = 1_024
+# Smallest hashes of a window that tell the passages of a full hash apart; none: all its words.
+FINER = (2, 4, None)
 _LAST = (1 << 63) - 1
 
 
@@ -35,6 +40,17 @@ def _word_hashes(words: list[bytes]) -> np.ndarray:
     return np.array([digest(w) for w in words], dtype=np.uint64)
 
 
+def _group_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each ``size`` values in a row."""
+    groups = np.zeros(len(hashes) - size + 1, np.uint64)
+    for k in range(size):
+        groups = groups * np.uint64(0x9E3779B97F4A7C15) + hashes[k:k + len(groups)]
+    groups ^= groups >> np.uint64(31)
+    groups *= np.uint64(0xBF58476D1CE4E5B9)
+    groups ^= groups >> np.uint64(29)
+    return groups
+
+
 def passages(hashes: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
     """Keys, first windows, numbers of windows, and whether the key's words recur nearby.
 
@@ -44,12 +60,7 @@ def passages(hashes: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
     if count < 1:
         return np.empty(0, np.uint64), *[np.empty(0, np.int64)] * 2, np.empty(0, bool)
     size = min(GROUP, window)
-    groups = np.zeros(len(hashes) - size + 1, np.uint64)
-    for k in range(size):
-        groups = groups * np.uint64(0x9E3779B97F4A7C15) + hashes[k:k + len(groups)]
-    groups ^= groups >> np.uint64(31)
-    groups *= np.uint64(0xBF58476D1CE4E5B9)
-    groups ^= groups >> np.uint64(29)
+    groups = _group_hashes(hashes, size)
     width, need = 1, window - size + 1
     least = groups
     while 2 * width <= need:
@@ -147,10 +158,41 @@ def _cut_passages(rows: DataFrame, spans: DataFrame, window: int) -> DataFrame:
         cut, f"key bigint, body_id bigint, {_PLACE}, body binary")
 
 
+def _finer_passages(first: DataFrame, window: int, depth: int | None) -> DataFrame:
+    """Passages cut where the ``depth`` smallest hashes of a window change, or any of its words."""
+    size = min(GROUP, window)
+
+    def cut(batches) -> Iterator[pa.RecordBatch]:
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_()]
+        names = ["key", "body_id", "doc", "row", "start", "n", "body", "again"]
+        for batch in pieces(batches, "body", 1 << 18):
+            out: list[tuple] = []
+            for doc, row, start, body in zip(*(batch.column(c).to_pylist() for c in (
+                    "doc", "row", "start", "body"))):
+                words = body.split(b" ")
+                hashes = _word_hashes(words)
+                whole = _group_hashes(hashes, window)
+                keys = whole
+                if depth is not None:
+                    groups = np.lib.stride_tricks.sliding_window_view(
+                        _group_hashes(hashes, size), window - size + 1)
+                    least = np.sort(groups, axis=1)[:, :depth]
+                    keys = _group_hashes(least.ravel(), least.shape[1])[::least.shape[1]]
+                starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])).tolist()
+                for a, b in zip(starts, [*starts[1:], len(keys)]):
+                    part = b" ".join(words[a:b + window - 1])
+                    out.append((int(keys[a].view(np.int64)), xxhash.xxh64_intdigest(part) - (1 << 63), doc, row,
+                                start + a, b - a, part, len(np.unique(whole[a:b])) < b - a))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[c] for r in out], t) for c, t in enumerate(types)], names=names)
+
+    return first.select("first.*", "body").mapInArrow(
+        cut, f"key bigint, body_id bigint, {_PLACE}, body binary, again boolean")
+
+
 def _shard_spans(table: pa.Table, window: int) -> pa.Table:
-    """Windows of the shard's passages that start earlier in an indexed passage, as spans."""
+    """Windows of the shard's passages that start earlier in one of them, as spans."""
     bodies = [b.split(b" ") for b in table["body"].to_pylist()]
-    own = table["indexed"].to_numpy(zero_copy_only=False)
     hashes = _word_hashes([w for b in bodies for w in b])
     sizes = np.array([len(b) for b in bodies])
     firsts = np.cumsum(sizes) - sizes
@@ -162,22 +204,17 @@ def _shard_spans(table: pa.Table, window: int) -> pa.Table:
     step = np.concatenate([[0], (np.diff(place[:, order], axis=1) != 0).any(axis=0)])
     rank = np.empty(len(hashes), np.int64)
     rank[order] = np.cumsum(step)
-    # the indexed passages, a zero after each
-    mine = np.repeat(own, sizes)
-    alphabet = np.unique(hashes[mine])
-    at = np.searchsorted(alphabet, hashes)
-    known = alphabet[np.minimum(at, len(alphabet) - 1)] == hashes if len(alphabet) else np.zeros(len(at), bool)
-    symbols = np.where(known, at + 1, -1)
-    owner = np.repeat(np.cumsum(own) - 1, sizes)
-    spot = (np.cumsum(mine) - 1 + owner)[mine]
-    text = np.zeros(int(mine.sum() + own.sum()), np.int64)
+    # the passages, a zero after each
+    symbols = np.unique(hashes, return_inverse=True)[1] + 1
+    spot = np.arange(len(hashes)) + np.repeat(np.arange(len(sizes)), sizes)
+    text = np.zeros(len(hashes) + len(sizes), np.int64)
     ranks = np.full(len(text), len(hashes), np.int64)
-    text[spot], ranks[spot] = symbols[mine], rank[mine]
+    text[spot], ranks[spot] = symbols, rank
     found = [np.empty(0, np.int64)] * 2
     if len(text):
         index = FMIndex(text, window)
         windows = np.flatnonzero(inside + window <= np.repeat(sizes, sizes))
-        which, low, high = index.windows(symbols, windows, window, mine[windows].astype(np.int64))
+        which, low, high = index.windows(symbols, windows, window, np.ones(len(windows), np.int64))
         # windows are as long as the sort is deep: their intervals are equal or disjoint
         lows, back = np.unique(low, return_inverse=True)
         if len(lows):
@@ -199,6 +236,18 @@ def _shard_spans(table: pa.Table, window: int) -> pa.Table:
                      "b": pa.array(begin + (found[1] - found[0]) + window, pa.int32())})
 
 
+def _first_passages(found: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """``key, body_id, first, body`` of distinct passages, and the spans of their later copies."""
+    body = ["key", "body_id"]
+    place = F.struct("doc", "row", "start")
+    first = found.groupBy(*body).agg(F.min(place).alias("first"), F.any_value("body").alias("body"))
+    first = materialize(first, "first-passages")
+    later = found.select(*body, "doc", "row", "start", "n").join(
+        first.select(*body, "first"), body).where(place != F.col("first")).select(
+        "doc", "row", F.col("start").alias("a"), (F.col("start") + F.col("n") + window - 1).alias("b"))
+    return first, later
+
+
 def repeated_spans(rows: DataFrame, window: int, shard_words: int = SHARD_WORDS,
                    key_passages: int = KEY_PASSAGES) -> DataFrame:
     """``doc, row, a, b``: words from ``a`` up to ``b`` are covered by windows seen earlier.
@@ -212,25 +261,33 @@ def repeated_spans(rows: DataFrame, window: int, shard_words: int = SHARD_WORDS,
     repeated = listed.join(twice, "key", "left_semi").select(
         "doc", "row", F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("b"))
     found = materialize(_cut_passages(rows, _merged(repeated), window), "passages")
-    body = ["key", "body_id"]
-    place = F.struct("doc", "row", "start")
-    first = found.groupBy(*body).agg(F.min(place).alias("first"), F.any_value("body").alias("body"))
-    first = materialize(first, "first-passages")
-    later = found.select(*body, "doc", "row", "start", "n").join(
-        first.select(*body, "first"), body).where(place != F.col("first")).select(
-        "doc", "row", F.col("start").alias("a"), (F.col("start") + F.col("n") + window - 1).alias("b"))
-    words = first.agg(F.sum(F.octet_length("body"))).first()[0] or 0
-    shards = max(1, -(-words // (6 * shard_words)))
-    full = first.groupBy("key").count().where(F.col("count") > key_passages).select(
-        "key", F.ceil(F.col("count") / key_passages).cast("int").alias("parts"))
-    dealt = first.join(full, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    own = F.pmod(F.col("body_id"), F.col("parts").cast("bigint")).cast("int")
-    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).select(
-        F.pmod(F.xxhash64("key", "part"), F.lit(shards)).alias("shard"), "first.*", "body",
-        (F.col("part") == own).alias("indexed"))
-    earlier = dealt.groupBy("shard").applyInArrow(
-        lambda table: _shard_spans(table, window), "doc bigint, row bigint, a int, b int")
-    return later.unionByName(earlier)
+    first, later = _first_passages(found, window)
+    spans, dealt = [later], []
+    for depth in FINER:
+        counts = first.groupBy("key").agg(F.count(F.lit(1)).alias("count"))
+        full = materialize(counts.where(F.col("count") > key_passages).select("key"), "full-keys")
+        if not full.head(1):
+            break
+        dealt.append(attach(first, full, "key", "full-keys", "left_anti", row_bytes=32))
+        finer = materialize(_finer_passages(
+            attach(first, full, "key", "full-keys", "left_semi", row_bytes=32), window, depth), "finer-passages")
+        # counted with their copies: all of a hash that occurs once have nothing to find
+        common = finer.groupBy("key").agg(F.count(F.lit(1)).alias("count"), F.max("again").alias("again")).where(
+            (F.col("count") > 1) | F.col("again")).select("key")
+        first, later = _first_passages(finer.join(common, "key", "left_semi"), window)
+        spans.append(later)
+    sent = first
+    for table in dealt:
+        sent = sent.unionByName(table)
+    size = sent.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    shards = max(1, -(-size // (6 * shard_words)))
+    sent = sent.select(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"), "first.*", "body")
+    spans.append(sent.groupBy("shard").applyInArrow(
+        lambda table: _shard_spans(table, window), "doc bigint, row bigint, a int, b int"))
+    out = spans[0]
+    for table in spans[1:]:
+        out = out.unionByName(table)
+    return out
 
 
 def drop_repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",

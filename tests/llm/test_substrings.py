@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from conftest import *  # noqa: F401,F403
 
+from emberfold.llm import substring
 from emberfold.llm.fm_index import FMIndex, WaveletTree
 from emberfold.llm.queries import QUERIES
 from emberfold.llm.substring import drop_repeated_passages, passages
@@ -59,6 +60,27 @@ def test_made_passages(spark, limits):
     assert got == {(k[0], *v) for k, v in plain(rows).items()}
 
 
+def test_shards_of_a_hot_passage_are_bounded(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    word = lambda n: " ".join(f"w{k}" for k in rng.integers(0, 5_000, n))
+    hot, long, filled = word(12), word(26), "so " * 30
+    rows = []
+    for k in range(900):
+        middle = [hot, long, filled, "so it is " * 9 + hot][k % 4]
+        rows.append((k, f"{word(18)} {middle} {word(18)}"))
+    rows += [(1_000 + k, f"{word(3)} {rows[k][1]} {word(3)}") for k in range(0, 900, 9)]
+    spans = substring._shard_spans
+
+    def bounded(table, window):
+        assert len(table) <= 150, f"{len(table)} passages in one shard"
+        return spans(table, window)
+
+    monkeypatch.setattr(substring, "_shard_spans", bounded)
+    got = {(r["doc_id"], r["n_words"], r["n_removed"], r["text"]) for r in drop_repeated_passages(
+        spark.createDataFrame(rows, "doc_id bigint, text string"), key_passages=40, shard_words=400).collect()}
+    assert got == {(k[0], *v) for k, v in plain(rows).items()}
+
+
 def test_odd_rows(spark, odd, empty):
     rows = odd.selectExpr("doc_id", "text", "coalesce(doc_id, 1L << 62) AS doc",
                           "xxhash64(doc_id is null, text) AS row").collect()
