@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberfold.llm.language import UNDETERMINED, fit_tagger, held_out, with_language
@@ -20,6 +20,11 @@ MIN_LANGUAGE_SCORE = 0.3
 MIX_SHARE = 0.8
 
 
+def row_key(*columns: str) -> Column:
+    """A hash that only rows equal in ``columns`` share; a NULL differs from all values."""
+    return F.xxhash64(*[c for name in columns for c in (F.col(name).isNull(), F.col(name))])
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter or without any likely language."""
     tagger = fit_tagger(docs.where(~held_out()), "doc_id", "text", "lang")
@@ -39,26 +44,40 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each near-duplicate group.
+    """Keeps one row of each near-duplicate group, the one with the smallest id.
 
-    Rows that share this id all stay; rows without an id stay if no document of their
-    group has one.
+    A row without an id stays only if no row of its group has one. Among rows that share the
+    id, or have none, a hash of id and text decides; of rows equal in both one stays.
     """
-    found = near_duplicates(docs, shingle=4, max_bits=4)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.coalesce("doc_id", F.lit(-1 << 63)).alias("_doc")).distinct()
-    rows = docs.withColumn("_doc", F.coalesce(F.col("doc_id"), F.lit(-1 << 63)))
-    return attach(rows, keep, "_doc", "kept-ids", how="left_semi", row_bytes=32).select(*docs.columns)
+    rows = docs.withColumn("_key", row_key("doc_id", "text"))
+    group = near_duplicates(rows, "_key", shingle=4, max_bits=4).select(
+        F.col("doc_id").alias("_key"), "component_id").distinct()
+    keys = rows.groupBy("_key").agg(F.min("doc_id").alias("_doc"), F.count(F.lit(1)).alias("_n"))
+    best = F.min(F.struct(F.col("_doc").isNull().alias("_none"), "_doc", "_key", "_n"))
+    keep = group.join(keys, "_key").groupBy("component_id").agg(best.alias("b")).select("b._key", "b._n")
+    keep = materialize(keep, "kept-keys")
+    kept = attach(rows, keep.where(F.col("_n") == 1).select("_key"), "_key", "kept-rows", "left_semi",
+                  row_bytes=32)
+    repeated = keep.where(F.col("_n") > 1).select("_key")
+    if repeated.head(1):
+        kept = kept.unionByName(attach(rows, repeated, "_key", "repeated-rows", "left_semi",
+                                       row_bytes=32).dropDuplicates(["_key"]))
+    return kept.select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that fill the leaves' budgets in a single epoch."""
-    counted = docs.select("doc_id", domain().alias("domain"), "lang", "source",
+    """Keeps the rows that fill the leaves' budgets in a single epoch.
+
+    Rows are chosen by a hash of id, text, language and source, so that rows without an id are
+    told apart; rows equal in all four go together.
+    """
+    rows = docs.withColumn("_key", row_key("doc_id", "text", "lang", "source"))
+    counted = rows.select("_key", domain().alias("domain"), "lang", "source",
                           word_count(F.col("text")).alias("tokens"))
-    chosen = mix(counted, LEVELS, share=MIX_SHARE, weights=MIX_WEIGHTS, max_epochs=1, seed=MIX_SEED)
-    keep = chosen.select(F.coalesce("doc_id", F.lit(-1 << 63)).alias("_doc")).distinct()
-    rows = docs.withColumn("_doc", F.coalesce(F.col("doc_id"), F.lit(-1 << 63)))
-    return attach(rows, keep, "_doc", "mixed-ids", how="left_semi", row_bytes=32).select(*docs.columns)
+    chosen = mix(counted, LEVELS, share=MIX_SHARE, weights=MIX_WEIGHTS, max_epochs=1, seed=MIX_SEED,
+                 id_col="_key")
+    keep = chosen.select("_key").distinct()
+    return attach(rows, keep, "_key", "mixed-keys", how="left_semi", row_bytes=32).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,3 +59,15 @@ def test_odd_and_empty_tables(spark, odd, empty, sf_dir):
         for _, stage in pipeline.STAGES:
             df = materialize(stage(spark, df, sf_dir), "odd-step")
         assert "sequence_id" in df.columns
+
+
+def test_rows_without_id_are_told_apart(spark, sf_dir):
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(40))
+    rows = [(None, text(1)), (None, text(1)), (None, text(2)), (5, text(2)), (5, text(3)), (6, text(3)),
+            (7, text(4)), (7, text(4)), (7, text(5))]
+    df = spark.createDataFrame([(*r, "en", "src1", 9) for r in rows], DOCS)  # noqa: F405
+    got = pipeline.near_copies(spark, df, sf_dir)
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter(
+        [(None, text(1)), (5, text(2)), (5, text(3)), (7, text(4)), (7, text(5))])
+    df = spark.createDataFrame([(None, text(k), "en", "src1", 9) for k in range(100)], DOCS)  # noqa: F405
+    assert pipeline.mixing(spark, df, sf_dir).count() == 80
