@@ -15,8 +15,8 @@ from emberfold.llm.tokens import default_tokenizer
 from emberfold.llm.worker import attach
 from emberfold.storage import materialize
 
-# A document goes if no language reaches this share, little more than four equal ones have.
-MIN_LANGUAGE_SCORE = 0.3
+# A document goes if no language reaches this many times the share that all equal ones have.
+LANGUAGE_LIFT = 1.2
 MIX_SHARE = 0.8
 
 
@@ -25,12 +25,17 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*[c for name in columns for c in (F.col(name).isNull(), F.col(name))])
 
 
+def least_score(labels: int) -> float:
+    """The share that a document's language must reach; a single one has nothing to compare with."""
+    return LANGUAGE_LIFT / labels if labels > 1 else 0.0
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter or without any likely language."""
     tagger = fit_tagger(docs.where(~held_out()), "doc_id", "text", "lang")
     tagged = with_language(docs, tagger, pred="_pred", score="_score")
     # without a single labelled document there is nothing to reject by but the letters
-    least = MIN_LANGUAGE_SCORE if tagger else 0.0
+    least = least_score(len(tagger.labels)) if tagger else 0.0
     has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     sure = (F.col("_pred") != UNDETERMINED) & (F.col("_score") >= least)
     return tagged.where(sure if tagger else has_letter).select(*docs.columns)

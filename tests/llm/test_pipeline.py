@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 from conftest import *  # noqa: F401,F403
+from pyspark.sql import functions as F
 from test_dedup import plain_lines, plain_near
 
 import corpus_pipeline as pipeline
@@ -71,3 +72,15 @@ def test_rows_without_id_are_told_apart(spark, sf_dir):
         [(None, text(1)), (5, text(2)), (5, text(3)), (7, text(4)), (7, text(5))])
     df = spark.createDataFrame([(None, text(k), "en", "src1", 9) for k in range(100)], DOCS)  # noqa: F405
     assert pipeline.mixing(spark, df, sf_dir).count() == 80
+
+
+@pytest.mark.parametrize("labels,kept", [(1, [1, 2, 3]), (2, [3]), (4, [2, 3]), (40, [1, 2, 3])])
+def test_least_score_follows_the_labels(spark, sf_dir, monkeypatch, labels, kept):
+    scores = {1: 0.05, 2: 0.31, 3: 0.61}
+    tagger = type("Made", (), {"labels": [str(k) for k in range(labels)]})
+    monkeypatch.setattr(pipeline, "fit_tagger", lambda *_: tagger)
+    monkeypatch.setattr(pipeline, "with_language", lambda df, *_, pred, score: df.withColumns(
+        {pred: F.lit("0"), score: F.element_at(F.create_map(*[
+            F.lit(x) for kv in scores.items() for x in kv]), F.col("doc_id").cast("int"))}))
+    df = spark.createDataFrame([(k, "some words", "0", None, 10) for k in scores], DOCS)  # noqa: F405
+    assert sorted(r["doc_id"] for r in pipeline.language(spark, df, sf_dir).collect()) == kept
