@@ -216,7 +216,11 @@ def fit_tagger(df: DataFrame, id_col: str, text_col: str, label_col: str,
             yield pa.RecordBatch.from_arrays([pa.array(cut, pa.binary()), pa.array(marks, pa.string())],
                                              names=["bytes", "label"])
 
-    sample = rows.join(F.broadcast(ids), ["id", "label"], "left_semi").mapInArrow(
+    # rows that share a drawn id are ranked again, by their text, as all of them match
+    again = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id", F.xxhash64("text"), "text")
+    drawn = rows.join(F.broadcast(ids), ["id", "label"], "left_semi").withColumn(
+        "place", F.row_number().over(again)).where(F.col("place") <= plan.docs_per_label)
+    sample = drawn.select("text", "label").mapInArrow(
         windows, "bytes binary, label string").toArrow().sort_by([("label", "ascending"),
                                                                   ("bytes", "ascending")])
     x = np.frombuffer(b"".join(sample["bytes"].to_pylist()), np.uint8).reshape(-1, width)

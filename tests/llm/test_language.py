@@ -54,3 +54,15 @@ def test_odd_rows(spark, odd, empty):
     assert {r["lang_pred"] for r in with_language(odd, None).collect()} == {"und"}
     with pytest.raises(ValueError):
         with_language(odd, tagger, pred="root")
+
+
+def test_sample_is_bounded_when_an_id_repeats(spark, monkeypatch):
+    plan = Training()
+    seen = []
+    monkeypatch.setattr(Tagger, "fit", lambda self, x, y, plan: seen.append(np.bincount(y)))
+    rows = [(1, f"{'some longer text of words ' * 40}{k}", "en") for k in range(3 * plan.docs_per_label)]
+    rows += [(k, f"autre texte {k}", "fr") for k in range(50)]
+    fit_tagger(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"),
+               "doc_id", "text", "lang", plan)
+    assert len(seen) == 1
+    assert seen[0][0] == plan.docs_per_label * plan.windows_per_doc and seen[0][1] == 50
