@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emberfold.llm.alignment import align_documents
 from emberfold.llm.language import fit_tagger, held_out, with_language
 from emberfold.llm.mixing import mix, word_count
 from emberfold.llm.multi_index import nearest
@@ -17,7 +18,7 @@ from emberfold.llm.simhash import near_duplicates
 from emberfold.llm.substring import drop_repeated_passages
 from emberfold.llm.templates import drop_recurring_lines
 from emberfold.llm.tokenfile import read_tokens, write_tokens
-from emberfold.llm.tokens import default_tokenizer
+from emberfold.llm.tokens import default_tokenizer, piece_model
 from emberfold.llm.worker import with_ids_crc32
 from emberfold.storage import scratch_path
 
@@ -178,3 +179,8 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     return highest_products(embeddings(spark, sf_dir), "id % 50 = 0", k=5).withColumnRenamed(
         "id", "vec_id")
+
+
+@query("op11_alignment")
+def op11(spark, sf_dir):
+    return align_documents(documents(spark, sf_dir), default_tokenizer(), piece_model())

@@ -30,6 +30,11 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def _plain(word: str) -> bool:
     """Letters alone, of scripts that all Unicode versions agree on."""
     return word.isalpha() and (word.isascii() or max(word) < "\u0530")
