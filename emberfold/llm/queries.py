@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from emberfold.llm.alignment import align_documents
 from emberfold.llm.language import fit_tagger, held_out, with_language
+from emberfold.llm.licenses import license_labels, scan_licenses
 from emberfold.llm.mixing import mix, word_count
 from emberfold.llm.multi_index import nearest
 from emberfold.llm.ngrams import score_documents
@@ -19,6 +20,7 @@ from emberfold.llm.substring import drop_repeated_passages
 from emberfold.llm.templates import drop_recurring_lines
 from emberfold.llm.tokenfile import read_tokens, write_tokens
 from emberfold.llm.tokens import default_tokenizer, piece_model
+from emberfold.llm.whitening import whiten
 from emberfold.llm.worker import with_ids_crc32
 from emberfold.storage import scratch_path
 
@@ -184,3 +186,13 @@ def op10(spark, sf_dir):
 @query("op11_alignment")
 def op11(spark, sf_dir):
     return align_documents(documents(spark, sf_dir), default_tokenizer(), piece_model())
+
+
+@query("op12_whitening")
+def op12(spark, sf_dir):
+    return whiten(embeddings(spark, sf_dir))
+
+
+@query("op13_licenses")
+def op13(spark, sf_dir):
+    return license_labels(scan_licenses(documents(spark, sf_dir)))
