@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from emberfold.operators.joins import (
@@ -66,51 +67,140 @@ def box_table(spark: SparkSession, boxes: Sequence[Box]) -> DataFrame:
         "rank": pa.array(range(len(boxes)), pa.int64())}))
 
 
+# Up to so many boxes given in code, one CASE over all of them is the quicker plan.
+FEW_BOXES = 64
+# A cell of the tree is split while it holds more boxes than this.
+CELL_BOXES = 32
+# A cell is split into 8 x 8; a double tells no finer cells apart.
+_FINER, _MAX_DEPTH = 8, 16
+_AXES = (("_cx", "lon_from", "lon_to"), ("_cy", "lat_from", "lat_to"))
+_CELL = ["_cx", "_cy"]
+
+
+class _Frame(NamedTuple):
+    """Origin and extent of the tree on both axes; what lies outside belongs to the cells at the edge."""
+
+    origin: dict[str, float]
+    extent: dict[str, float]
+
+    def cell(self, axis: str, value: Column, depth: int) -> Column:
+        """Number of the cell; never falls as the value rises, and is that of the cell around it, times 8 and more."""
+        share = (value - self.origin[axis]) / self.extent[axis]
+        return F.floor(F.least(F.lit(1.0), F.greatest(F.lit(0.0), share)) * float(_FINER ** depth))
+
+
+class BoxTree(NamedTuple):
+    """Cells of a plane with the boxes in them.
+
+    ``leaves`` has ``_depth, _cx, _cy, _boxes``, the boxes in order of priority; ``split[k]`` has the cells
+    that were split at depth ``first + k``.
+    """
+
+    frame: _Frame
+    first: int
+    split: list[DataFrame]
+    leaves: DataFrame
+
+
+def box_tree(boxes: DataFrame, most: int = CELL_BOXES) -> BoxTree:
+    """Cells that are split by count, until none holds more than ``most`` boxes.
+
+    Each box of a cell is seen as its part within the cell. Of boxes with the same part only the first by rank
+    stays, and once a cell that is split has a box all over it, only those before it go on. So equal
+    boxes, a common corner and wide boxes over small ones do not fill the cells. Only boxes of
+    cells that are too full are dealt again, one round per depth. Boxes without a bound or
+    with bounds the wrong way around hold nothing.
+    """
+    inside = F.lit(True)
+    for _, low, high in _AXES:
+        inside = inside & (F.col(low) <= F.col(high)) & ~F.isnan(low) & ~F.isnan(high)
+    box = F.struct("rank", *[F.col(f).cast("double").alias(f) for f in Box._fields[:4]], "label").alias("_box")
+    rows = boxes.where(F.coalesce(inside, F.lit(False))).select(box)
+    finite = lambda c: F.when(F.abs(c) < float("inf"), c)
+    bounds = rows.agg(F.count(F.lit(1)).alias("n"), *[
+        pick(finite(F.col("_box")[f])).alias(f"{name}_{f}") for f in Box._fields[:4]
+        for name, pick in (("min", F.min), ("max", F.max))]).first()
+    origin, extent = {}, {}
+    for axis, low, high in _AXES:
+        known = [v for v in (bounds[f"{m}_{f}"] for m in ("min", "max") for f in (low, high)) if v is not None]
+        origin[axis] = min(known, default=0.0)
+        extent[axis] = (max(known, default=0.0) - origin[axis]) or 1.0
+    frame = _Frame(origin, extent)
+
+    def dealt(held: DataFrame, depth: int) -> DataFrame:
+        """Each box in the cells it meets, within the cell of the depth before if there is one."""
+        within = set(_CELL) <= set(held.columns)
+        for axis, low, high in _AXES:
+            least, last = (frame.cell(axis, F.col("_box")[f], depth) for f in (low, high))
+            if within:
+                least = F.greatest(least, F.col(axis) * _FINER)
+                last = F.least(last, F.col(axis) * _FINER + (_FINER - 1))
+            held = held.withColumn(axis, F.explode(F.sequence(least, last)))
+        # a bound that lies in another cell does not show in this one
+        part = [F.when(frame.cell(axis, F.col("_box")[f], depth) == F.col(axis), F.col("_box")[f]).alias(f)
+                for axis, low, high in _AXES for f in (low, high)]
+        return materialize(held.groupBy(*_CELL, *part).agg(F.min("_box").alias("_box")), "box-parts")
+
+    first = depth = 1 if bounds["n"] > most else 0
+    held, split, leaves = dealt(rows, depth), [], []
+    all_over = F.lit(True)
+    for f in Box._fields[:4]:
+        all_over = all_over & F.col(f).isNull()
+    while True:
+        cells = held.groupBy(*_CELL).agg(
+            F.count(F.lit(1)).alias("_n"), F.min(F.when(all_over, F.col("_box"))).alias("_cover"))
+        full = None
+        if depth < _MAX_DEPTH:
+            full = materialize(cells.where(F.col("_n") > most).drop("_n").withColumn("_full", F.lit(True)), "full-cells")
+        if full is None or full.isEmpty():
+            leaves.append(held.select(F.lit(depth).alias("_depth"), *_CELL, "_box"))
+            break
+        marked = lookup_join(held.select(*_CELL, "_box"), full, _CELL)
+        leaves.append(marked.where(F.col("_full").isNull()).select(F.lit(depth).alias("_depth"), *_CELL, "_box"))
+        split.append(full.select(*_CELL, "_full"))
+        depth += 1
+        held = dealt(marked.where(F.col("_full") & (
+            F.col("_cover").isNull() | (F.col("_box") <= F.col("_cover")))).select(*_CELL, "_box"), depth)
+    grid = reduce(DataFrame.unionByName, leaves).groupBy("_depth", *_CELL).agg(
+        F.array_sort(F.collect_list("_box")).alias("_boxes"))
+    return BoxTree(frame, first, split, materialize(grid, "box-leaves"))
+
+
 def bbox_range_join(df: DataFrame, lon: str, lat: str, boxes: Sequence[Box] | DataFrame,
-                    target: str, cell: float = 5.0,
+                    target: str, cell_boxes: int = CELL_BOXES, few_boxes: int = FEW_BOXES,
                     max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Same result as :func:`bbox_label`, for many boxes, also as a table.
 
-    ``boxes`` as a table has the fields of :class:`Box` and ``rank``, smaller ranks first.
-
-    The plane is cut into cells, on several levels of which each doubles the cell of the one
-    before. A box lies on the first level whose cell is as wide and as high as the box, so it touches
-    four cells at most, and a wide box burdens no fine cell. A point looks up one cell
-    per level in use; the first box by rank that really holds it wins. Each lookup is a broadcast
-    if the counted cells allow it and a shuffle otherwise.
+    ``boxes`` as a table has the fields of :class:`Box` and ``rank``, smaller ranks first; of equal ranks the smaller
+    bounds, then the smaller label. The boxes lie in a tree of cells, see :func:`box_tree`. A point finds the depth of
+    its cell by the cells that were split, and then meets the boxes of that one cell. Each
+    lookup is a broadcast if the counted cells allow it and a shuffle otherwise.
     """
-    table = boxes if isinstance(boxes, DataFrame) else box_table(df.sparkSession, boxes)
-    span = F.greatest(F.col("lon_to") - F.col("lon_from"), F.col("lat_to") - F.col("lat_from"))
-    level = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(span, F.lit(cell)) / cell))).cast("int")
-    leveled = table.where(span.isNotNull()).withColumn("_level", level).withColumn(
-        "_size", F.lit(cell) * F.pow(F.lit(2.0), F.col("_level")))
-    cells = leveled
-    for axis, low, high in (("_cx", "lon_from", "lon_to"), ("_cy", "lat_from", "lat_to")):
-        cells = cells.withColumn(axis, F.explode(F.sequence(
-            F.floor(F.col(low) / F.col("_size")), F.floor(F.col(high) / F.col("_size")))))
-    box = F.struct("rank", *Box._fields)
-    grid = materialize(cells.groupBy("_level", "_cx", "_cy").agg(
-        F.array_sort(F.collect_list(box)).alias("_boxes")), "box-cells")
+    if not isinstance(boxes, DataFrame):
+        if len(boxes) <= few_boxes:
+            return bbox_label(df, lon, lat, boxes, target)
+        boxes = box_table(df.sparkSession, boxes)
+    tree = box_tree(boxes, cell_boxes)
     x, y = F.col(lon).cast("double"), F.col(lat).cast("double")
     wanted = F.col(target).isNull()  # rows that keep their label need no cell
-    found, result = [], df
-    # one level per doubling of the cell: a handful
-    for (at,) in sorted(grid.select("_level").distinct().collect()):
-        size = cell * 2.0 ** at
-        located = result.withColumns({
-            "_cx": F.when(wanted, F.floor(x / size)), "_cy": F.when(wanted, F.floor(y / size))})
-        joined = lookup_join(located, grid.where(F.col("_level") == at).drop("_level"),
-                             ["_cx", "_cy"], max_broadcast_rows)
-        first = F.get(F.filter("_boxes", lambda b: x.between(b["lon_from"], b["lon_to"])
-                               & y.between(b["lat_from"], b["lat_to"])), 0)
-        name = f"_box{at}"
-        result = joined.withColumn(name, F.struct(
-            first["rank"].alias("rank"), first["label"].alias("label"))).drop("_cx", "_cy", "_boxes")
-        found.append(name)
-    best = F.get(F.array_sort(F.filter(
-        F.array(*[F.col(n) for n in found]), lambda b: b["rank"].isNotNull())), 0)["label"] \
-        if found else F.lit(None)
-    return result.withColumn(target, F.coalesce(F.col(target), best)).select(*df.columns)
+
+    def at(depth: int) -> list[Column]:
+        return [F.when(wanted, tree.frame.cell(axis, value, depth)) for axis, value in (("_cx", x), ("_cy", y))]
+
+    located = df.withColumn("_depth", F.lit(tree.first))
+    for k, split in enumerate(tree.split):
+        keyed = located.withColumns(dict(zip(_CELL, at(tree.first + k))))
+        # a cell within one that was not split was not split either
+        located = lookup_join(keyed, split, _CELL, max_broadcast_rows).withColumn(
+            "_depth", F.col("_depth") + F.when(F.col("_full"), 1).otherwise(0)).drop(*_CELL, "_full")
+    deepest = tree.first + len(tree.split)
+    cell_of = [F.get(F.array(*c), F.col("_depth") - tree.first)
+               for c in zip(*[at(d) for d in range(tree.first, deepest + 1)])]
+    joined = lookup_join(located.withColumns(dict(zip(_CELL, cell_of))), tree.leaves, ["_depth", *_CELL],
+                         max_broadcast_rows)
+    best = F.get(F.filter("_boxes", lambda b: x.between(b["lon_from"], b["lon_to"])
+                          & y.between(b["lat_from"], b["lat_to"])), 0)["label"]
+    return joined.withColumn(target, F.coalesce(F.col(target), best)).select(*df.columns)
 
 
 def group_modes(df: DataFrame, group: str, columns: Sequence[str]) -> DataFrame:
@@ -137,14 +227,15 @@ def group_modes(df: DataFrame, group: str, columns: Sequence[str]) -> DataFrame:
 
 
 def impute_group_mode(df: DataFrame, group: str, columns: Sequence[str], default: str = "unknown",
-                      max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                      max_broadcast_rows: int = MAX_BROADCAST_ROWS, is_stored: bool = False) -> DataFrame:
     """Fill NULLs with the group's most frequent value.
 
     Where NULL itself is the most frequent, the fill is ``default`` (NULL if the
     column's type cannot hold it). Rows without a group stay as they are. ``df`` is
-    stored first, as it is read for the modes and again for the fill.
+    stored first, as it is read for the modes and again for the fill; say ``is_stored`` if it is
+    a stored table already.
     """
-    stored = materialize(df, "mode-rows")
+    stored = df if is_stored else materialize(df, "mode-rows")
     modes = materialize(group_modes(stored, group, columns), "group-modes")
     joined = lookup_join(stored, modes, [group], max_broadcast_rows)
     known = F.col(group).isNotNull()

@@ -126,7 +126,7 @@ def clean_landslides(raw: DataFrame, boxes: list[Box] = COUNTRY_BOXES) -> DataFr
     labelled = bbox_range_join(timed, "longitude", "latitude", boxes, "country_name")
     # imputing reads its input twice; the stored rows spare a second deduplication
     stored = materialize(labelled, "labelled-landslides")
-    return impute_group_mode(stored, "country_name", LANDSLIDE_IMPUTED)
+    return impute_group_mode(stored, "country_name", LANDSLIDE_IMPUTED, is_stored=True)
 
 
 def clean_volcanoes(raw: DataFrame, dates: Lookup | DataFrame = ERUPTION_DATES) -> DataFrame:

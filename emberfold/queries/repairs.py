@@ -171,6 +171,43 @@ def d5_box_table(spark, sf_dir):
         "o_orderkey", "place")
 
 
+# Boxes of a hundredth of a degree, all within five degrees: one per part, every tenth with a copy of another label,
+# every 25th reaching from one corner, every 50th across all others.
+_DENSE_SQL = """(SELECT p_partkey + (SELECT COUNT(*) FROM part) * c AS rank,
+    CASE WHEN p_partkey % 25 = 0 THEN 10.0 ELSE x END::DOUBLE AS lon_from,
+    CASE WHEN p_partkey % 50 = 0 THEN 15.0 ELSE x + 0.01::DOUBLE END AS lon_to,
+    CASE WHEN p_partkey % 25 = 0 THEN 40.0 ELSE y END::DOUBLE AS lat_from, y + 0.01::DOUBLE AS lat_to,
+    CASE WHEN c = 1 THEN 'Copy ' ELSE 'Plot ' END || p_partkey AS label
+  FROM (SELECT p_partkey, c, 10.0::DOUBLE + (p_partkey * 7919 % 5000) / 1000.0::DOUBLE AS x,
+          40.0::DOUBLE + (p_partkey * 104729 % 5000) / 1000.0::DOUBLE AS y
+        FROM part, (VALUES (0), (1)) AS copies(c) WHERE c = 0 OR p_partkey % 10 = 0) p)"""
+
+
+@query("d5_dense_boxes", f"""
+    SELECT o.o_orderkey, min_by(b.label, b.rank) AS plot
+    FROM (SELECT o_orderkey, 10.0::DOUBLE + (o_custkey * 613 % 5000) / 1000.0::DOUBLE AS lon,
+            40.0::DOUBLE + (o_orderkey * 7907 % 5000) / 1000.0::DOUBLE AS lat FROM orders) o
+      LEFT JOIN {_DENSE_SQL} b
+        ON o.lon BETWEEN b.lon_from AND b.lon_to AND o.lat BETWEEN b.lat_from AND b.lat_to
+    GROUP BY o.o_orderkey""")
+def d5_dense_boxes(spark, sf_dir):
+    k, key = F.col("p_partkey"), F.col("o_orderkey")
+    parts = table(spark, sf_dir, "part").select(k)
+    n = parts.count()
+    x, y = (F.lit(base) + (k * factor % 5000) / 1000.0 for base, factor in ((10.0, 7919), (40.0, 104729)))
+    plots = parts.select(
+        k.alias("rank"), F.when(k % 25 == 0, 10.0).otherwise(x).alias("lon_from"),
+        F.when(k % 50 == 0, 15.0).otherwise(x + 0.01).alias("lon_to"),
+        F.when(k % 25 == 0, 40.0).otherwise(y).alias("lat_from"), (y + 0.01).alias("lat_to"),
+        F.concat(F.lit("Plot "), k.cast("string")).alias("label"))
+    copies = plots.where("rank % 10 = 0").withColumns({
+        "label": F.concat(F.lit("Copy "), F.col("rank").cast("string")), "rank": F.col("rank") + n})
+    points = table(spark, sf_dir, "orders").select(
+        key, (F.lit(10.0) + (F.col("o_custkey") * 613 % 5000) / 1000.0).alias("lon"),
+        (F.lit(40.0) + (key * 7907 % 5000) / 1000.0).alias("lat"), F.lit(None).cast("string").alias("plot"))
+    return bbox_range_join(points, "lon", "lat", plots.unionByName(copies), "plot").select("o_orderkey", "plot")
+
+
 _GROUPED_SQL = """(SELECT o_orderkey,
     CASE WHEN o_custkey % 50 = 0 THEN NULL ELSE c_nationkey END AS nation,
     CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_orderkey % 13 AS INTEGER) END AS size,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from emberfold import storage
 from emberfold.operators.joins import Lookup, lookup_join
 from emberfold.operators.repair import (
-    Box, bbox_label, bbox_range_join, fill_from_lookup, group_modes, impute_group_mode, keep_first)
+    Box, bbox_label, bbox_range_join, box_table, box_tree, fill_from_lookup, group_modes, impute_group_mode, keep_first)
 
 
 def bag(df):
@@ -88,17 +88,54 @@ def test_box_forms_agree(spark):
     for i, x, y, _ in points:
         want[i] = next((b.label for b in boxes if b.lon_from <= x <= b.lon_to
                         and b.lat_from <= y <= b.lat_to), None)
-    for cell in (1.0, 5.0, 1000.0):
-        got = bbox_range_join(df, "x", "y", boxes, "p", cell)
+    for most in (16, 32, 1000):
+        got = bbox_range_join(df, "x", "y", boxes, "p", cell_boxes=most)
         assert {r["i"]: r["p"] for r in got.collect()} == want
     few = boxes[:40]
-    assert bag(bbox_label(df, "x", "y", few, "p")) == bag(bbox_range_join(df, "x", "y", few, "p"))
-
-
-def test_tiny_cells_grow(spark):
-    df = spark.createDataFrame([(1.0, 1.0, None)], "x double, y double, p string")
-    world = [Box(-180, 180, -90, 90, "world")]
-    assert bbox_range_join(df, "x", "y", world, "p", cell=0.01).first()["p"] == "world"
+    plain = bag(bbox_label(df, "x", "y", few, "p"))
+    assert plain == bag(bbox_range_join(df, "x", "y", few, "p"))
+    assert plain == bag(bbox_range_join(df, "x", "y", few, "p", few_boxes=0))
+
+
+def test_odd_boxes(spark):
+    """No bounds, bounds the wrong way around, points without extent, endless boxes, equal ranks, no boxes."""
+    inf, nan = float("inf"), float("nan")
+    rows = [(3, -inf, inf, 0.0, inf, "north"), (2, 1.0, 1.0, 1.0, 1.0, "dot"), (1, 5.0, 4.0, 0.0, 9.0, "none"),
+            (1, None, 4.0, 0.0, 9.0, "none"), (1, nan, 4.0, 0.0, 9.0, "none"), (4, 0.0, 2.0, -1.0, 1.0, "b"),
+            (4, 0.0, 2.0, -1.0, 1.0, "a"), (2, 7.0, 8.0, 1.0, 2.0, None)]
+    table = spark.createDataFrame(
+        rows, "rank int, lon_from double, lon_to double, lat_from double, lat_to double, label string")
+    points = [(1.0, 1.0, None), (1.0, 0.0, None), (1.0, -0.5, None), (-1e300, 7.0, None), (3.0, -1.0, None),
+              (None, 1.0, None), (nan, 1.0, None), (1.0, 1.0, "kept"), (7.5, 1.5, None)]
+    df = spark.createDataFrame(points, "x double, y double, p string")
+    want = ["dot", "north", "a", "north", None, None, None, "kept", None]
+    for most in (3, 32):
+        got = bbox_range_join(df, "x", "y", table, "p", cell_boxes=most).collect()
+        assert [r["p"] for r in sorted(got, key=lambda r: [str(c) for c in points].index(str(tuple(
+            [r["x"], r["y"], "kept" if r["p"] == "kept" else None]))))] == want
+    assert bag(bbox_range_join(df.where("x < 5"), "x", "y", table.limit(0), "p")) == bag(df.where("x < 5"))
+
+
+def test_dense_boxes_stay_few_per_cell(spark):
+    """Small boxes in one place, copies of one box, a common corner, wide boxes: a point meets few of them."""
+    rng = random.Random(8)
+    boxes = [Box(x, x + 0.01, y, y + 0.01, f"s{n}") for n, (x, y) in enumerate(
+        (10 + 5 * rng.random(), 40 + 5 * rng.random()) for _ in range(4000))]
+    boxes += [Box(12, 12.5, 42, 42.5, f"copy{n}") for n in range(500)]
+    boxes += [Box(11, 11 + n / 100, 41, 41 + n / 90, f"corner{n}") for n in range(1, 400)]
+    boxes += [Box(10, 15, 40 + n / 60, 40 + n / 60 + 0.5, f"wide{n}") for n in range(200)]
+    boxes += [Box(-180, 180, -90, 90, f"world{n}") for n in range(300)]
+    rng.shuffle(boxes)
+    tree = box_tree(box_table(spark, boxes), 32)
+    largest, rows = tree.leaves.agg(F.max(F.size("_boxes")), F.sum(F.size("_boxes"))).first()
+    assert largest <= 32 and rows < 20 * len(boxes)
+    points = [(n, 9.9 + 5.2 * rng.random(), 39.9 + 5.2 * rng.random(), None) for n in range(400)]
+    df = spark.createDataFrame(points, "i int, x double, y double, p string")
+    want = {n: next(b.label for b in boxes if b.lon_from <= x <= b.lon_to and b.lat_from <= y <= b.lat_to)
+            for n, x, y, _ in points}
+    for most in (1_000_000, 0):
+        got = bbox_range_join(df, "x", "y", boxes, "p", max_broadcast_rows=most)
+        assert {r["i"]: r["p"] for r in got.collect()} == want
 
 
 def test_long_row_lists_join_like_tables(spark):
@@ -129,7 +166,7 @@ def test_many_boxes_and_world_wide_ones(spark):
     want = {n: next(b.label for b in boxes if b.lon_from <= x <= b.lon_to and b.lat_from <= y <= b.lat_to)
             for n, x, y, _ in points}
     for most in (1_000_000, 0):
-        got = bbox_range_join(df, "x", "y", boxes, "p", 0.5, max_broadcast_rows=most)
+        got = bbox_range_join(df, "x", "y", boxes, "p", max_broadcast_rows=most)
         assert {r["i"]: r["p"] for r in got.collect()} == want
 
 
