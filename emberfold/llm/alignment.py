@@ -12,10 +12,12 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +28,9 @@ from emberfold.storage import materialize
 
 # Text whose pairs of ids are counted together; a longer text is counted by itself.
 CHUNK_BYTES = 6 << 20
-# Characters aligned at a time. A longer text is cut where both tokenizers must cut.
-SLICE_CHARS = 1 << 20
+# Characters encoded at a time, as repeated words are encoded once, and aligned at a time. A text that is
+# longer than the latter is cut where both tokenizers must cut.
+ENCODE_CHARS, SLICE_CHARS = 4 << 20, 1 << 20
 # Words remembered per Python worker, and their length at most.
 MEMO_WORDS, MEMO_CHARS = 250_000, 64
 
@@ -57,21 +60,56 @@ class Pieces:
         # a last space alone; the model returns nothing for an empty text
         self.words = {" ": array("I", [model.piece_to_id(_SPACE)]).tobytes()}
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, given without the space that the model puts before it."""
-        if not self.cuts:
-            return [np.array(ids, "<u4") for ids in self.model.encode(texts, num_threads=1)]
-        lists = [_WORD.findall(" " + text) for text in texts]
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each distinct word, given with its spaces; one of them is the model's own."""
         known = self.words
-        fresh = list(set().union(*lists).difference(known))
-        coded = self.model.encode([w[1:] for w in fresh], num_threads=1)
-        fresh = {w: array("I", ids).tobytes() for w, ids in zip(fresh, coded)}
-        out = [np.frombuffer(b"".join([known.get(w) or fresh[w] for w in words]), "<u4") for words in lists]
+        out = list(map(known.get, words))
+        misses = [k for k, ids in enumerate(out) if ids is None]
+        coded = self.model.encode([words[k][1:] for k in misses], num_threads=1)
         room = MEMO_WORDS - len(known)
-        known.update([p for p in fresh.items() if len(p[0]) <= MEMO_CHARS][:max(room, 0)])
+        for n, (k, ids) in enumerate(zip(misses, coded)):
+            out[k] = array("I", ids).tobytes()
+            if n < room and len(words[k]) <= MEMO_CHARS:
+                known[words[k]] = out[k]
+        return out
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text, given without the space that the model puts before it."""
+        if not self.cuts:
+            return [np.array(ids, "<u4") for ids in self.model.encode(texts.to_pylist(), num_threads=1)]
+        spaced = pc.binary_join_element_wise("", texts, " ")  # a space and the text
+        lists = pc.split_pattern(spaced, " ")
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        offsets -= offsets[0]
+        coded = lists.flatten().dictionary_encode()
+        index = coded.indices.to_numpy()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        blobs = self._ids([" " + w for w in words])
+        # what split puts before a text is not of the text
+        inner = np.ones(len(index), bool)
+        inner[offsets[:-1]] = False
+        out = gathered(blobs, index[inner], np.diff(offsets) - 1)
+        # spaces that follow each other belong to the word behind them
+        runs = pc.or_(pc.match_substring(spaced, "  "), pc.ends_with(spaced, " "))
+        for k in np.flatnonzero(runs.to_numpy(zero_copy_only=False)):
+            found = _WORD.findall(" " + texts[int(k)].as_py())
+            distinct = list(set(found))
+            ids = dict(zip(distinct, self._ids(distinct)))
+            out[k] = np.frombuffer(b"".join([ids[w] for w in found]), "<u4")
         return out
 
 
+def gathered(blobs: list[bytes], index: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """The ids of the blobs at ``index``, in lists of ``sizes`` blobs."""
+    lengths = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
+    starts = np.cumsum(lengths) - lengths
+    ids = np.frombuffer(b"".join(blobs), "<u4")
+    n = lengths[index]
+    ends = np.cumsum(n)
+    flat = ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[index] - (ends - n), n)]
+    return np.split(flat, np.concatenate([[0], ends])[np.cumsum(sizes)][:-1])
+
+
 @dataclass
 class Pair:
     """Both tokenizers, the bytes of their tokens and how many ids they have."""
@@ -214,34 +252,36 @@ def slices(text: str, size: int = SLICE_CHARS) -> list[str]:
     return out + [text[first:]]
 
 
-def _batches(texts: list[str | None], size: int):
-    """Lists of ``(text, part)`` with about ``size`` characters."""
-    held, chars = [], 0
-    for i, text in enumerate(texts):
-        for part in slices(text, size) if text else ():
-            held.append((i, part))
-            chars += len(part) + 1
-            if chars >= size:
-                yield held
-                held, chars = [], 0
-    if held:
-        yield held
+def _batches(parts: list[tuple[int, str]], size: int) -> Iterator[range]:
+    """Places of parts that hold about ``size`` characters together."""
+    first, chars = 0, 0
+    for k, (_, part) in enumerate(parts):
+        chars += len(part) + 1
+        if chars >= size:
+            yield range(first, k + 1)
+            first, chars = k + 1, 0
+    if first < len(parts):
+        yield range(first, len(parts))
 
 
 def aligned_batches(texts: list[str | None], pair: Pair, size: int = SLICE_CHARS):
     """``owners, aligned, wrong``: parts of texts aligned, whose part each is, texts found to differ."""
-    for held in _batches(texts, size):
-        ids_a = pair.a.encode(pa.array([" " + part for _, part in held], pa.string()))
-        ids_b = pair.b.encode([part for _, part in held])
-        keep, wrong = [], []
-        for k, (i, part) in enumerate(held):
-            want = (" " + part).encode()
-            same = all(b"".join(map(names.__getitem__, ids[k].tolist())) == want
-                       for names, ids in ((pair.bytes_a, ids_a), (pair.bytes_b, ids_b)))
-            (keep if same else wrong).append(k)
-        yield (np.array([held[k][0] for k in keep], np.int64),
-               align([ids_a[k] for k in keep], [ids_b[k] for k in keep], pair.sizes_a, pair.sizes_b),
-               [held[k][0] for k in wrong])
+    parts = [(i, part) for i, text in enumerate(texts) if text for part in slices(text, size)]
+    for some in _batches(parts, max(size, ENCODE_CHARS)):
+        held = parts[some.start:some.stop]
+        column = pa.array([part for _, part in held], pa.string())
+        ids_a = pair.a.encode(pc.binary_join_element_wise("", column, " "))
+        ids_b = pair.b.encode(column)
+        for batch in _batches(held, size):
+            keep, wrong = [], []
+            for k in batch:
+                want = (" " + held[k][1]).encode()
+                same = all(b"".join(map(names.__getitem__, ids[k].tolist())) == want
+                           for names, ids in ((pair.bytes_a, ids_a), (pair.bytes_b, ids_b)))
+                (keep if same else wrong).append(k)
+            yield (np.array([held[k][0] for k in keep], np.int64),
+                   align([ids_a[k] for k in keep], [ids_b[k] for k in keep], pair.sizes_a, pair.sizes_b),
+                   [held[k][0] for k in wrong])
 
 
 def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
