@@ -36,10 +36,6 @@ RISK_LEVELS = [
 ]
 
 
-# Each formula names its inputs as seldom as it can: a stage that merges several
-# of them repeats whatever an expression names, and generated code has a size limit.
-
-
 def _within(bounds: tuple[float, float], c: Column, *inputs: Column) -> Column:
     # greatest/least skip NULLs, so the guard keeps NULL from becoming a bound
     present = inputs[0].isNotNull()
@@ -53,7 +49,7 @@ def _by_month(factors: list[float], month: Column) -> Column:
 
 
 def _moisture(code: Column) -> Column:
-    return F.lit(147.2) * (F.lit(101.0) - code) / (code + 59.5)
+    return F.lit(147.2) * (F.lit(101.0) - code) / (F.lit(59.5) + code)
 
 
 def ffmc(rh: Column, rain: Column, prev: Column) -> Column:
@@ -62,8 +58,7 @@ def ffmc(rh: Column, rain: Column, prev: Column) -> Column:
     start = _moisture(prev) + F.when(
         rain > 0.5, F.lit(42.5) * wet * (F.lit(1.0) - F.lit(0.0015) * wet)).otherwise(0.0)
     m = F.greatest(F.lit(0.0), start - F.lit(250.0) * (F.lit(1.0) - rh / 100.0))
-    # (250 - m) / (147.2 + m) with m named once
-    code = F.lit(59.5) * (F.lit(397.2) / (m + 147.2) - 1.0)
+    code = F.lit(59.5) * (F.lit(250.0) - m) / (F.lit(147.2) + m)
     return _within(FFMC_RANGE, code, rh, rain, prev)
 
 
@@ -74,8 +69,7 @@ def dmc(temp: Column, rh: Column, rain: Column, month: Column, prev: Column) ->
         F.lit(280.0) / (F.lit(1.0) + F.try_divide(F.lit(280.0), prev)), F.lit(0.0))
     slope = F.when(prev > 0, F.try_divide(F.lit(100.0), F.lit(0.5) * prev)).otherwise(100.0)
     wetted = content * (F.lit(1.0) - F.lit(0.001) * effective * slope)
-    # w / (1 + w / 280) with w named once
-    base = F.when(rain > 1.5, F.lit(280.0) - F.lit(78400.0) / (wetted + 280.0)).otherwise(prev)
+    base = F.when(rain > 1.5, F.try_divide(wetted, F.lit(1.0) + wetted / 280.0)).otherwise(prev)
     drying = F.lit(1.6) * (temp + 1.1) * (F.lit(100.0) - rh) / 1000.0
     code = base + F.when(temp > -1.1, _by_month(DMC_MONTH_FACTOR, month) * drying).otherwise(0.0)
     return _within(DMC_RANGE, code, temp, rh, rain, month, prev)
@@ -83,7 +77,7 @@ def dmc(temp: Column, rh: Column, rain: Column, month: Column, prev: Column) ->
 
 def dc(temp: Column, rain: Column, month: Column, prev: Column) -> Column:
     """Drought code."""
-    wet = F.when(rain > 2.8, F.lit(400.0) * ((F.lit(0.83) * rain - 1.27) / (prev + 3.937)))
+    wet = F.when(rain > 2.8, F.lit(400.0) * ((F.lit(0.83) * rain - 1.27) / (F.lit(3.937) + prev)))
     dry = F.when(temp > -2.8, F.lit(0.36) * (temp + 2.8) * _by_month(DC_MONTH_FACTOR, month))
     code = prev + F.coalesce(wet, F.lit(0.0)) + F.coalesce(dry, F.lit(0.0))
     return _within(DC_RANGE, code, temp, rain, month, prev)
@@ -100,8 +94,8 @@ def isi(ffmc_code: Column, ws: Column) -> Column:
 def bui(dmc_code: Column, dc_code: Column) -> Column:
     """Build-up index."""
     share = (F.lit(1.0) - F.lit(0.8) * dmc_code / (dmc_code + dc_code)) * (F.lit(0.1) * dc_code)
-    sign = F.when(dmc_code <= F.lit(0.4) * dc_code, F.lit(1.0)).otherwise(-1.0)
-    return _within(BUI_RANGE, dmc_code + sign * share, dmc_code, dc_code)
+    code = F.when(dmc_code <= F.lit(0.4) * dc_code, dmc_code + share).otherwise(dmc_code - share)
+    return _within(BUI_RANGE, code, dmc_code, dc_code)
 
 
 def fire_codes(df: DataFrame, month: Column, temp: str = "temperature", rh: str = "rh",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from emberfold.functions import fire
 
-_CODES = ["ffmc", "dmc", "dc"]
+CODES = ["ffmc", "dmc", "dc"]
 # The fold takes its result type from its start value, so that type has to
 # allow NULL codes.
 _FOLDED = "array<struct<day: date, ffmc: double, dmc: double, dc: double>>"
@@ -27,7 +27,7 @@ def _next_day(codes: Column, r: Column) -> Column:
     before = F.element_at(codes, -1)
     ffmc, dmc, dc = (
         F.coalesce(before[c], F.lit(start)) for c, start in
-        zip(_CODES, (fire.START_FFMC, fire.START_DMC, fire.START_DC)))
+        zip(CODES, (fire.START_FFMC, fire.START_DMC, fire.START_DC)))
     month = F.month(r["day"])
     return F.concat(codes, F.array(F.struct(
         r["day"].alias("day"),
@@ -49,11 +49,11 @@ def carried_codes(daily: DataFrame, station: str, before: DataFrame | None = Non
     rows = F.array_sort(F.collect_list(F.struct("day", "temperature", "rh", "ws", "rain")))
     grouped = daily.groupBy(station).agg(rows.alias("_rows"))
     if before is not None:
-        grouped = grouped.join(before.select(station, *_CODES), station, "left")
+        grouped = grouped.join(before.select(station, *CODES), station, "left")
     else:
-        grouped = grouped.withColumns({c: F.lit(None).cast("double") for c in _CODES})
+        grouped = grouped.withColumns({c: F.lit(None).cast("double") for c in CODES})
     start = F.array(F.struct(
-        F.lit(None).cast("date").alias("day"), *[F.col(c) for c in _CODES])).cast(_FOLDED)
+        F.lit(None).cast("date").alias("day"), *[F.col(c) for c in CODES])).cast(_FOLDED)
     blocks = F.transform(
         F.sequence(F.lit(0), F.floor((F.size("_rows") - 1) / _BLOCK).cast("int")),
         lambda k: F.slice("_rows", k * _BLOCK + 1, F.lit(_BLOCK)))
@@ -64,16 +64,16 @@ def carried_codes(daily: DataFrame, station: str, before: DataFrame | None = Non
     per_day = folded.select(
         station, F.explode(F.arrays_zip("_rows", "_codes")).alias("_d")).select(
         station, "_d._rows.day", "_d._rows.ws",
-        *[F.col("_d._codes")[c].alias(c) for c in _CODES])
+        *[F.col("_d._codes")[c].alias(c) for c in CODES])
     return per_day.select(
-        station, "day", *_CODES, fire.isi(F.col("ffmc"), F.col("ws")).alias("isi"),
+        station, "day", *CODES, fire.isi(F.col("ffmc"), F.col("ws")).alias("isi"),
         fire.bui(F.col("dmc"), F.col("dc")).alias("bui"))
 
 
 def last_codes(codes: DataFrame, station: str, before: DataFrame | None = None) -> DataFrame:
     """The latest codes per station, from ``codes`` where it has the station."""
-    newest = codes.select(station, "day", *_CODES)
+    newest = codes.select(station, "day", *CODES)
     if before is not None:
         newest = newest.unionByName(before)
     return newest.groupBy(station).agg(
-        F.max_by(F.struct("day", *_CODES), "day").alias("_r")).select(station, "_r.*")
+        F.max_by(F.struct("day", *CODES), "day").alias("_r")).select(station, "_r.*")

@@ -32,6 +32,88 @@ def train_test_split(df: DataFrame, key: str, train_share: float = 0.75,
     return df.where(is_train), df.where(~is_train)
 
 
+# Bins of one count, and rows whose places are sorted on the driver once a bin is that small.
+_BINS_BITS, _FEW_ROWS = 12, 4_096
+_PLACE_BITS = 60
+
+
+def split_place(key: Column, seed: int = 42) -> Column:
+    """Place of a row in a seeded order, a whole number of 60 bits from its id alone."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string")))
+    return F.conv(F.substring(digest, 1, _PLACE_BITS // 4), 16, 10).cast("bigint")
+
+
+def nth_place(df: DataFrame, place: str, rank: int) -> tuple[int, int, int]:
+    """The value of rank ``rank`` in the order of ``place``, rows below it, and rows that have it.
+
+    Counts histograms of ever narrower bins, 4,096 rows of which reach the driver; the rows are
+    neither sorted nor moved.
+    """
+    at, below, low, width = F.col(place), 0, 0, 1 << _PLACE_BITS
+    n = None
+    while width > 1:
+        inside = df.where((at >= low) & (at < low + width))
+        if n is not None and n <= _FEW_ROWS:
+            values = sorted(r[0] for r in inside.select(place).collect())
+            value = values[rank - below - 1]
+            return value, below + sum(v < value for v in values), values.count(value)
+        step = max(1, width >> _BINS_BITS)
+        bins = inside.groupBy(F.floor((at - low) / step).alias("b") if step == 1 else F.shiftright(
+            at - low, step.bit_length() - 1).alias("b")).count().collect()
+        for b, n in sorted(map(tuple, bins)):
+            if below + n >= rank:
+                low, width = low + b * step, step
+                break
+            below += n
+    return low, below, n
+
+
+def exact_split(df: DataFrame, key: str, counts: Sequence[int], seed: int = 42,
+                column: str = "split") -> DataFrame:
+    """Add ``column``: 0 for the first ``counts[0]`` rows of a seeded order, 1 for the next ``counts[1]``, NULL for the rest.
+
+    The order is that of a hash of ``key``, among equal keys of a hash of the row; equal rows take any
+    order. Exactly as many rows as asked for, or what there is. ``df`` is read a few times and has to
+    give the same rows each time.
+    """
+    ordered = df.withColumns({"_p": split_place(F.coalesce(F.col(key).cast("string"), F.lit("")), seed),
+                              "_q": F.shiftrightunsigned(F.xxhash64(*df.columns), 64 - _PLACE_BITS)})
+    total, cut, cuts = ordered.count(), 0, []
+    for n in counts:
+        cut += n
+        if 0 < cut < total:
+            p, below, same = nth_place(ordered, "_p", cut)
+            q, less, same = nth_place(ordered.where(F.col("_p") == p), "_q", cut - below)
+            # equal rows take the ranks from first + 1 to first + same
+            cuts.append((p, q, below + less, same, cut))
+        else:
+            cuts.append((-1, -1, 0, 0, cut) if cut <= 0 else (1 << _PLACE_BITS, 0, total, 0, cut))
+    split = F.lit(None).cast("int")
+    for i, (p, q, first, same, cut) in reversed(list(enumerate(cuts))):
+        inside = (F.col("_p") < p) | ((F.col("_p") == p) & (F.col("_q") <= q))
+        split = F.when(inside, i).otherwise(split)
+    parted = sorted({(p, q, first, same) for p, q, first, same, cut in cuts if first < cut < first + same})
+    tagged = ordered.withColumn(column, split)
+    if not parted:
+        return tagged.drop("_p", "_q")
+    # a cut runs through equal rows: they are counted and dealt out again, in blocks
+    apart = F.lit(False)
+    for p, q, _, _ in parted:
+        apart = apart | ((F.col("_p") == p) & (F.col("_q") == q))
+    out = tagged.where(~apart).drop("_p", "_q")
+    for p, q, first, same in parted:
+        one = ordered.where((F.col("_p") == p) & (F.col("_q") == q)).drop("_p", "_q").limit(1)
+        bounds = [0, *[min(max(c[4] - first, 0), same) for c in cuts], same]
+        shares = [(i if i < len(counts) else None, a, b) for i, (a, b) in enumerate(zip(bounds, bounds[1:])) if b > a]
+        dealt = one.select("*", F.inline(F.array(*[F.struct(
+            F.lit(i).cast("int").alias(column), F.lit(a).cast("bigint").alias("_a"), F.lit(b).cast("bigint").alias("_b"))
+            for i, a, b in shares])))
+        blocks = dealt.withColumn("_a", F.explode(F.sequence("_a", F.col("_b") - 1, F.lit(10_000).cast("bigint"))))
+        out = out.unionByName(blocks.hint("rebalance").withColumn("_n", F.explode(F.sequence(
+            "_a", F.least(F.col("_a") + 10_000, F.col("_b")) - 1))).select(*df.columns, column))
+    return out
+
+
 def fit_regression(train: DataFrame, features: Sequence[str] = FIRE_FEATURES,
                    label: str = FIRE_TARGET) -> PipelineModel:
     """Standardise, then ordinary least squares on the complete rows.

@@ -98,7 +98,7 @@ def _ratio_results(checks: Sequence[tuple[DataFrame, Check]]) -> list[DataFrame]
     shares = reduce(DataFrame.unionByName, frames, empty).groupBy("first", "many").agg(
         *[F.avg(m).alias(m) for m in columns])
     metrics = shares.select("first", "many", F.posexplode(F.array(*columns)).alias("at", "metric"))
-    return [_named_results(
+    return [named_results(
         metrics.where("at < many").select((F.col("first") + F.col("at")).alias("i"), "metric"),
         names, holding)]
 
@@ -121,7 +121,7 @@ def _key_counts(cells: Sequence[tuple[DataFrame, Sequence[tuple[int, Column]]]],
     return reduce(DataFrame.unionByName, parts).groupBy("i", "key").agg(F.sum("w").alias("n"))
 
 
-def _named_results(metrics: DataFrame, names: Sequence[tuple[str, str]],
+def named_results(metrics: DataFrame, names: Sequence[tuple[str, str]],
                    holding: Mapping[int, Callable[[Column], Column]] | None = None) -> DataFrame:
     """Results from ``i, metric``, where ``names[i]`` holds check and constraint.
 
@@ -158,7 +158,7 @@ def _unique_results(checks: Sequence[tuple[DataFrame, Check]]) -> list[DataFrame
         metrics = _key_counts(cells, kind).groupBy("i").agg(F.try_divide(
             F.sum(F.when(known & (n == 1), 1).otherwise(0)),
             F.sum(F.when(known, n).otherwise(0))).alias("metric"))
-        results.append(_named_results(
+        results.append(named_results(
             metrics, [(checks[t][1].name, label) for t, label, _ in keys]))
     return results
 
@@ -190,7 +190,7 @@ def _parent_results(checks: Sequence[tuple[DataFrame, Check]]) -> list[DataFrame
         metrics = counts.join(known, ["p", "key"], "left").groupBy("i").agg(
             F.try_divide(F.sum(F.when(F.col("found"), F.col("n")).otherwise(0)), F.sum("n")).alias(
                 "metric"))
-        results.append(_named_results(metrics, [(checks[t][1].name, label) for t, label, _ in keys]))
+        results.append(named_results(metrics, [(checks[t][1].name, label) for t, label, _ in keys]))
     return results
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberfold.functions import scalars as s
@@ -9,7 +12,7 @@ from emberfold.operators.repair import keep_first
 from emberfold.plans import fixed_values as fixed
 from emberfold.queries.base import amount, query, sql_decode, sql_money, table
 from emberfold.sources.files import bronze_manifest, landed_lines, project, read_csv
-from emberfold.sources.tables import create_table, publish, publish_all, read_table
+from emberfold.sources.tables import create_table, publish, publish_all, publish_set, read_set, read_table
 from emberfold.storage import scratch_path
 
 # The driver tables hold no NULLs and no junk. The CASE expressions on row keys
@@ -60,6 +63,32 @@ def a9_publish_all(spark, sf_dir):
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
+@query("a9_publish_set", f"""
+    SELECT r.read AS read, t.name, CASE WHEN r.read = 'old set' THEN n ELSE n + extra END AS stored,
+           CASE WHEN r.read = 'old set' OR t.name <> 'part' THEN c ELSE c + 1 END AS columns
+    FROM ({" UNION ALL ".join(
+        f"SELECT '{name}' AS name, COUNT(*) AS n, "
+        f"(SELECT COUNT(*) FROM (DESCRIBE {name})) AS c, COUNT(*) FILTER ({key} % 2 = 0) AS extra FROM {name}"
+        for name, key in _PUBLISHED.items())}) t,
+      (VALUES ('old set'), ('new set'), ('views')) AS r(read)""")
+def a9_publish_set(spark, sf_dir):
+    """Two versions of a set; the first is read after the second is there. One table is partitioned and gains a column."""
+    root, schema = scratch_path(spark, "sets"), "emberfold_set"
+    tables = {name: table(spark, sf_dir, name) for name in _PUBLISHED}
+    layout = {"part": ["p_size"]}
+    publish_set(tables, schema, root, layout)
+    old = read_set(spark, schema, root)
+    more = {name: df.unionByName(df.where(F.col(_PUBLISHED[name]) % 2 == 0)) for name, df in tables.items()}
+    more["part"] = more["part"].withColumn("season", F.lit("new"))
+    publish_set(more, schema, root, layout)
+    reads = {"old set": old, "new set": read_set(spark, schema, root),
+             "views": {name: read_table(spark, f"{schema}.{name}") for name in _PUBLISHED}}
+    counts = [df.agg(F.lit(read).alias("read"), F.lit(name).alias("name"), F.count(F.lit(1)).alias("stored"),
+                     F.lit(len(df.columns)).cast("bigint").alias("columns"))
+              for read, found in reads.items() for name, df in found.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query("a15_bronze_manifest", """
     SELECT 'customers' AS dataset, COUNT(*) AS lines FROM customer
     UNION ALL SELECT 'orders', COUNT(*) FROM orders

@@ -76,6 +76,17 @@ def m2_split(spark, sf_dir):
         test.withColumn("is_train", F.lit(False)))
 
 
+_PLACED_SQL = """(SELECT event_id, row_number() OVER (ORDER BY
+    ('0x' || substr(md5('42:' || CAST(event_id AS VARCHAR)), 1, 15))::BIGINT) AS n FROM events)"""
+
+
+@query("l5_exact_split", f"""
+    SELECT event_id, CAST(CASE WHEN n <= 401 THEN 0 WHEN n <= 588 THEN 1 END AS INTEGER) AS split
+    FROM {_PLACED_SQL} p""")
+def l5_exact_split(spark, sf_dir):
+    return learn.exact_split(table(spark, sf_dir, "events").select("event_id"), "event_id", [401, 187])
+
+
 @query("m3_regression_metrics", """
     SELECT COUNT(*) AS n, round(AVG(abs(value - k)), 6) AS mae,
            round(AVG((value - k) * (value - k)), 6) AS mse,

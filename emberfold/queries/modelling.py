@@ -6,11 +6,14 @@ from pyspark.sql import functions as F
 
 from emberfold.functions import scalars as s
 from emberfold.operators.dimensional import (
-    attribute_conflicts, build_dimension, build_fact, conformed_dimension, dim_date)
+    assign_keys, attribute_conflicts, build_dimension, build_fact, conformed_dimension, dim_date, dimension_members,
+    merge_members, with_member_key)
+from emberfold.operators.incremental import append_batch, batch_results
 from emberfold.operators.joins import lookup_join
 from emberfold.operators.quality import (
     Check, ForeignKey, QualityGateError, foreign_key_flags, gate, orphans, run_checks)
 from emberfold.queries.base import query, table
+from emberfold.storage import scratch_path
 
 
 @query("g1_dim_date", """
@@ -56,6 +59,53 @@ def g2_hash_key(spark, sf_dir):
         F.sum((F.col("key") == s.UNKNOWN_KEY).cast("bigint")).alias("null_keys"))
 
 
+@query("g2_key_collisions", """
+    WITH members AS (SELECT c_custkey, c_name, c_custkey // 3 * 3 + row_number() OVER (
+        PARTITION BY c_custkey // 3 ORDER BY c_name) - 1 AS key FROM customer)
+    SELECT c_name AS name, CAST(key AS BIGINT) AS key, COUNT(o_orderkey) AS orders
+    FROM members LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_name, key""")
+def g2_key_collisions(spark, sf_dir):
+    """Keys on which three members each collide at first; the orders follow those that move."""
+    def key_of(name, attempt):
+        number = F.substring(name, 10, 9).cast("bigint")
+        return F.floor(number / 3) * 3 + attempt
+
+    members = table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"))
+    keys = assign_keys(members, "name", "key", key_of)
+    orders = table(spark, sf_dir, "orders").select(F.concat(
+        F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("owner"))
+    per_key = with_member_key(orders, "owner", "key", keys, key_of).groupBy("key").agg(F.count(F.lit(1)).alias("orders"))
+    return keys.join(per_key, "key", "left").select(
+        "name", "key", F.coalesce("orders", F.lit(0).cast("bigint")).alias("orders"))
+
+
+@query("g5_dimension_merge", """
+    WITH m AS (SELECT c_name AS name, MIN(c_mktsegment) AS segment, COUNT(*) AS n FROM customer GROUP BY c_name)
+    SELECT name, CASE WHEN CAST(substr(name, 10) AS BIGINT) % 5 = 0 THEN 'moved ' || segment ELSE segment END AS segment,
+           CAST(CAST(substr(name, 10) AS BIGINT) // 2 * 2 + CASE WHEN CAST(substr(name, 10) AS BIGINT) % 2 = 1 AND EXISTS (
+             SELECT 1 FROM m o WHERE CAST(substr(o.name, 10) AS BIGINT) = CAST(substr(m.name, 10) AS BIGINT) - 1) THEN 1
+             ELSE 0 END AS BIGINT) AS key,
+           CASE WHEN CAST(substr(name, 10) AS BIGINT) % 5 = 0 THEN segment END AS before
+    FROM m""")
+def g5_dimension_merge(spark, sf_dir):
+    """Even members first; then all of them, where every fifth has a new segment. Keys collide in pairs."""
+    path = scratch_path(spark, "members")
+    number = F.substring("name", 10, 9).cast("bigint")
+    key_of = lambda name, attempt: F.floor(F.substring(name, 10, 9).cast("bigint") / 2) * 2 + attempt
+    members = table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    moved = members.withColumn("segment", F.when(number % 5 == 0, F.concat(F.lit("moved "), "segment")).otherwise(
+        F.col("segment")))
+    # the odd ones of the second batch that change have come with the first as well
+    first = members.where((number % 2 == 0) | (number % 5 == 0))
+    for batch_id, rows in ((0, first), (1, moved), (1, moved)):
+        merge_members(spark, path, batch_id, rows, "name", "key", ["segment"], key_of)
+    kinds = members.select("name", F.struct("segment").alias("a")).schema
+    stored = dimension_members(spark, path, "name", "key", kinds["a"].dataType, kinds["name"].dataType, 1)
+    before = spark.read.parquet(f"{path}/changes").where("batch_id = 1").select(
+        "key", F.col("before.segment").alias("before"))
+    return stored.join(before, "key", "left").select("name", F.col("_present.segment").alias("segment"), "key", "before")
+
+
 @query("g3_code_dim", """
     SELECT COALESCE(t, 'unknown') AS type, COUNT(*) AS parts
     FROM (SELECT CASE WHEN p_size % 10 = 0 THEN NULL ELSE p_type END AS t FROM part) p GROUP BY 1""")
@@ -184,7 +234,8 @@ _CHECKS_SQL = " UNION ALL ".join([
 ])
 
 
-def _checks(spark, sf_dir):
+def _checked(spark, sf_dir):
+    """Tables with their constraints."""
     orders, part = table(spark, sf_dir, "orders"), table(spark, sf_dir, "part")
     supplier = table(spark, sf_dir, "supplier")
     lost = F.col("l_orderkey") % 9 == 0
@@ -193,7 +244,7 @@ def _checks(spark, sf_dir):
             "qty": F.when(F.col("l_partkey") % 8 != 0, F.col("l_quantity")),
             "supp": F.when(lost, -F.col("l_suppkey") - 1).otherwise(F.col("l_suppkey")),
             "supp_name": F.when(lost, "nobody").otherwise(F.col("s_name"))})
-    return run_checks([
+    return [
         (lines, Check("lineitem").is_complete("l_orderkey", "qty")
          .has_completeness("qty", lambda m: m > 0.5).satisfies("qty < 40", "few pieces")
          .satisfies("l_tax BETWEEN 0 AND 0.08", "tax range")
@@ -202,7 +253,11 @@ def _checks(spark, sf_dir):
          .has_parent("supplier name exists", ForeignKey("supp_name", supplier, "s_name"))),
         (orders, Check("orders").is_complete("o_custkey").is_unique("o_orderkey", "o_totalprice")),
         (part, Check("part").is_unique("p_name").is_complete("p_type")),
-    ])
+    ]
+
+
+def _checks(spark, sf_dir):
+    return run_checks(_checked(spark, sf_dir))
 
 
 @query("q1_constraints", _CHECKS_SQL)
@@ -210,6 +265,16 @@ def q1_constraints(spark, sf_dir):
     return _checks(spark, sf_dir)
 
 
+@query("q1_incremental", _CHECKS_SQL)
+def q1_incremental(spark, sf_dir):
+    """Three batches measured one by one, the second of them twice; none reads the rows of another."""
+    path, checked = scratch_path(spark, "measures"), _checked(spark, sf_dir)
+    for batch_id in (0, 1, 1, 2):
+        append_batch(spark, path, batch_id, [
+            (df.where(F.pmod(F.xxhash64(df.columns[0]), F.lit(3)) == batch_id), check) for df, check in checked], buckets=16)
+    return batch_results(spark, path, [check for _, check in checked], through=2)
+
+
 @query("q4_gate", f"""
     SELECT "check", COUNT(*) AS constraints,
            CAST(SUM(CASE WHEN constraint_status <> 'Success' THEN 1 ELSE 0 END) AS BIGINT) AS failed,

@@ -171,9 +171,10 @@ def d5_box_table(spark, sf_dir):
         "o_orderkey", "place")
 
 
-# Boxes of a hundredth of a degree, all within five degrees: one per part, every tenth with a copy of another label,
-# every 25th reaching from one corner, every 50th across all others.
-_DENSE_SQL = """(SELECT p_partkey + (SELECT COUNT(*) FROM part) * c AS rank,
+# Boxes of a hundredth of a degree, all within five degrees: one per part, every tenth with a copy of another label.
+# Every 25th reaches from one corner, every 50th across all others; these come last.
+_DENSE_SQL = """(SELECT p_partkey + (SELECT COUNT(*) FROM part) * (c + CASE WHEN p_partkey % 25 = 0 THEN 2 ELSE 0 END)
+      AS rank,
     CASE WHEN p_partkey % 25 = 0 THEN 10.0 ELSE x END::DOUBLE AS lon_from,
     CASE WHEN p_partkey % 50 = 0 THEN 15.0 ELSE x + 0.01::DOUBLE END AS lon_to,
     CASE WHEN p_partkey % 25 = 0 THEN 40.0 ELSE y END::DOUBLE AS lat_from, y + 0.01::DOUBLE AS lat_to,
@@ -196,12 +197,12 @@ def d5_dense_boxes(spark, sf_dir):
     n = parts.count()
     x, y = (F.lit(base) + (k * factor % 5000) / 1000.0 for base, factor in ((10.0, 7919), (40.0, 104729)))
     plots = parts.select(
-        k.alias("rank"), F.when(k % 25 == 0, 10.0).otherwise(x).alias("lon_from"),
+        k, (k + F.when(k % 25 == 0, 2 * n).otherwise(0)).alias("rank"), F.when(k % 25 == 0, 10.0).otherwise(x).alias("lon_from"),
         F.when(k % 50 == 0, 15.0).otherwise(x + 0.01).alias("lon_to"),
         F.when(k % 25 == 0, 40.0).otherwise(y).alias("lat_from"), (y + 0.01).alias("lat_to"),
         F.concat(F.lit("Plot "), k.cast("string")).alias("label"))
-    copies = plots.where("rank % 10 = 0").withColumns({
-        "label": F.concat(F.lit("Copy "), F.col("rank").cast("string")), "rank": F.col("rank") + n})
+    copies = plots.where(k % 10 == 0).withColumns({
+        "label": F.concat(F.lit("Copy "), k.cast("string")), "rank": F.col("rank") + n})
     points = table(spark, sf_dir, "orders").select(
         key, (F.lit(10.0) + (F.col("o_custkey") * 613 % 5000) / 1000.0).alias("lon"),
         (F.lit(40.0) + (key * 7907 % 5000) / 1000.0).alias("lat"), F.lit(None).cast("string").alias("plot"))

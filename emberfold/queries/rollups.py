@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from emberfold.operators.rollups import count_and_sums, drill_across, impact_by
+from emberfold.operators.rollups import append_sums, count_and_sums, drill_across, impact_by, stored_sums
 from emberfold.queries.base import amount, from_cents, query, sql_money, table
+from emberfold.storage import scratch_path
 
 
 def _customer_places(spark, sf_dir):
@@ -15,12 +16,15 @@ def _customer_places(spark, sf_dir):
         "c_custkey", F.col("r_name").alias("region"), F.col("n_name").alias("nation"))
 
 
-@query("r1_region_rollup", f"""
+_REGIONS_SQL = f"""
     SELECT r_name AS region, CAST(year(o_orderdate) AS INTEGER) AS year, COUNT(*) AS events,
            {sql_money('o_totalprice')} AS total
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
          JOIN region ON n_regionkey = r_regionkey
-    GROUP BY ROLLUP (r_name, CAST(year(o_orderdate) AS INTEGER))""")
+    GROUP BY ROLLUP (r_name, CAST(year(o_orderdate) AS INTEGER))"""
+
+
+@query("r1_region_rollup", _REGIONS_SQL)
 def r1_region_rollup(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
     return from_cents(impact_by(
@@ -28,6 +32,22 @@ def r1_region_rollup(spark, sf_dir):
         {"total": amount("o_totalprice")}, rollup=True), "total")
 
 
+@query("r1_rollup_merge", _REGIONS_SQL)
+def r1_rollup_merge(spark, sf_dir):
+    """From sums by month that three batches added to, the second of them twice."""
+    path = scratch_path(spark, "sums")
+    orders = table(spark, sf_dir, "orders").withColumns({
+        "month": F.date_format("o_orderdate", "yyyy-MM"), "batch": F.pmod("o_orderkey", F.lit(3))})
+    places, measures = _customer_places(spark, sf_dir), {"total": amount("o_totalprice")}
+    for batch_id in (0, 1, 1, 2):
+        sums = impact_by(orders.where(F.col("batch") == batch_id), "o_custkey", places, "c_custkey", ["region"],
+                         ["month"], measures)
+        append_sums(path, "month", batch_id, sums, ["events", "total"])
+    stored = stored_sums(spark, path, "month", sums.schema)
+    return from_cents(stored.withColumn("year", F.substring("month", 1, 4).cast("int")).rollup("region", "year").agg(
+        F.sum("events").alias("events"), F.sum("total").alias("total")), "total")
+
+
 @query("r2_cause_rollup", f"""
     SELECT p_type AS cause, l_returnflag, COUNT(*) AS events,
            {sql_money('l_quantity')} AS quantity, {sql_money('l_extendedprice')} AS price

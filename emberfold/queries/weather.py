@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from emberfold.functions.fire import RISK_LEVELS, fire_codes, risk_level
@@ -9,6 +11,7 @@ from emberfold.operators.carry import carried_codes, daily_readings
 from emberfold.queries.base import amount, query, sql_money, sql_text, table
 from emberfold.storage import materialize, scratch_path
 from emberfold.streaming import weather as w
+from emberfold.streaming.packing import pack_batches, read_batches
 
 
 def readings(spark, sf_dir):
@@ -122,9 +125,8 @@ def _landed_messages(spark, sf_dir) -> str:
 
 
 # Junk lines parse to four NULLs.
-_PARSED_SQL = "(SELECT " + ", ".join(
-    f"CASE WHEN event_id % 50 = 7 THEN NULL ELSE {c} END AS {c}" for c in w.FIELDS
-) + f" FROM {READINGS_SQL} r)"
+_PARSED_COLUMNS_SQL = ", ".join(f"CASE WHEN event_id % 50 = 7 THEN NULL ELSE {c} END AS {c}" for c in w.FIELDS)
+_PARSED_SQL = f"(SELECT {_PARSED_COLUMNS_SQL} FROM {READINGS_SQL} r)"
 _USABLE_SQL = "(" + " OR ".join(f"{c} IS NOT NULL" for c in w.FIELDS) + ")"
 
 
@@ -166,6 +168,26 @@ def s4_sink_counts(spark, sf_dir):
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
+@query("s4_compacted", f"""
+    SELECT batch_id, temperature, rh, ws, rain, {ROUNDED_CODES_SQL}
+    FROM {float_codes_sql(f"""(SELECT * FROM (SELECT CAST(event_id % 5 AS BIGINT) AS batch_id, {_PARSED_COLUMNS_SQL}
+        FROM {READINGS_SQL} r) p WHERE {_USABLE_SQL})""", '7')} x""")
+def s4_compacted(spark, sf_dir):
+    """Five batches, packed after the third and the fifth; a packed batch is replayed in between."""
+    out = scratch_path(spark, "packed")
+    write = w.batch_sinks(f"{out}/raw", f"{out}/features", None, F.lit(7))
+    message = F.when(F.col("event_id") % 50 == 7, F.lit("junk")).otherwise(w.to_message())
+    landed = materialize(readings(spark, sf_dir).select(
+        (F.col("event_id") % 5).alias("batch"), message.alias("value")), "batches")
+    for b in range(5):
+        write(w.parse_messages(landed.where(F.col("batch") == b).select("value")), b)
+        if b in (2, 4):
+            pack_batches(spark, f"{out}/features")
+        if b == 3:
+            write(w.parse_messages(landed.where(F.col("batch") == 1).select("value")), 1)
+    return read_batches(spark, f"{out}/features").select("batch_id", *w.FIELDS, *rounded_codes())
+
+
 @query("s5_replay_ids", f"""
     SELECT run, CAST(2 * COUNT(*) AS BIGINT) AS ids
     FROM {_PARSED_SQL} p, (VALUES ('first'), ('again'), ('both')) AS r(run)
@@ -212,6 +234,63 @@ def s8_stream_window(spark, sf_dir):
         c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
+# Every tenth event comes with the second batch, when the others have moved the watermark on.
+_SECOND = "event_id % 10 = 0"
+_LATE_ROWS_SQL = f"""(SELECT *, CAST(ts AS DATE) AS day, {_SECOND} AND CAST(ts AS DATE)::TIMESTAMP + INTERVAL 1 DAY <=
+      (SELECT MAX(CAST(ts AS TIMESTAMP)) - INTERVAL 9 DAY FROM events WHERE NOT ({_SECOND})) AS is_late FROM events)"""
+
+
+def _merged_windows(spark, sf_dir) -> tuple[str, object]:
+    """Both batches through the sink, the second twice, as after a failure; and the schema of its windows."""
+    out = scratch_path(spark, "merged-windows")
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    sink = w.window_sink(out, "ts", "event_type", "1 day", {
+        "readings": w.Measure(F.count(F.lit(1)), F.sum), "cents": w.Measure(F.sum(amount("value")), F.sum),
+        "highest": w.Measure(F.max("value"), F.max)}, late="9 days")
+    for batch_id, rows in ((0, events.where(f"NOT ({_SECOND})")), (1, events.where(_SECOND)),
+                           (1, events.where(_SECOND))):
+        sink(rows, batch_id)
+    schema = ("window_start timestamp, window_end timestamp, event_type string, readings bigint, cents bigint, "
+              "highest double, day string")
+    return out, spark.createDataFrame([], schema).schema
+
+
+@query("s7_late_rows", f"""
+    SELECT 'window' AS kept, CAST(day AS VARCHAR) AS day, event_type, COUNT(*) AS readings,
+           {sql_money('value')} AS total FROM {_LATE_ROWS_SQL} e WHERE NOT is_late GROUP BY day, event_type
+    UNION ALL
+    SELECT 'late', CAST(day AS VARCHAR), event_type, COUNT(*), {sql_money('value')}
+    FROM {_LATE_ROWS_SQL} e WHERE is_late GROUP BY day, event_type
+    UNION ALL
+    SELECT 'counted late', NULL, NULL, COUNT(*), NULL FROM {_LATE_ROWS_SQL} e WHERE is_late""")
+def s7_late_rows(spark, sf_dir):
+    """Windows and late rows hold every event once."""
+    out, schema = _merged_windows(spark, sf_dir)
+    windows = w.stored_windows(spark, out, schema).select(
+        F.lit("window").alias("kept"), "day", "event_type", "readings", (F.col("cents") / 100.0).alias("total"))
+    late = spark.read.parquet(f"{out}/late").groupBy(
+        F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type").agg(
+        F.count(F.lit(1)).alias("readings"), F.sum(amount("value")).alias("cents")).select(
+        F.lit("late").alias("kept"), "day", "event_type", "readings", (F.col("cents") / 100.0).alias("total"))
+    counted = w.window_progress(spark, out).where("batch_id = 1").select(
+        F.lit("counted late").alias("kept"), F.lit(None).cast("string").alias("day"),
+        F.lit(None).cast("string").alias("event_type"), F.col("n_late").alias("readings"),
+        F.lit(None).cast("double").alias("total"))
+    return windows.unionByName(late).unionByName(counted)
+
+
+@query("s8_window_merge", f"""
+    SELECT CAST(day AS TIMESTAMP) AS window_start, event_type, COUNT(*) AS readings,
+           {sql_money('value')} AS total, MAX(value) AS highest
+    FROM {_LATE_ROWS_SQL} e WHERE NOT is_late GROUP BY day, event_type""")
+def s8_window_merge(spark, sf_dir):
+    """A second batch changes some days; only these are rewritten."""
+    out, schema = _merged_windows(spark, sf_dir)
+    return w.stored_windows(spark, out, schema).select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "readings",
+        (F.col("cents") / 100.0).alias("total"), "highest")
+
+
 _LATEST_SQL = f"""
     SELECT event_id, ts, {ROUNDED_CODES_SQL}
     FROM {float_codes_sql(f'(SELECT * FROM {READINGS_SQL} r ORDER BY ts DESC, event_id LIMIT 1)')} x
@@ -242,7 +321,7 @@ _STEP_SQL = codes_sql(
     ffmc0="f0", dmc0="d0", dc0="c0", keep="station, i, day, v")
 
 
-@query("s9_fwi_carry", f"""
+_CARRY_SQL = f"""
     WITH RECURSIVE daily AS (
       SELECT user_id AS station, CAST(ts AS DATE) AS day,
              row_number() OVER (PARTITION BY user_id ORDER BY CAST(ts AS DATE)) AS i,
@@ -256,9 +335,43 @@ _STEP_SQL = codes_sql(
       UNION ALL SELECT * FROM {_STEP_SQL} step)
     SELECT station, CAST(day AS VARCHAR) AS day, round(f, 3) AS ffmc, round(d, 3) AS dmc, round(c, 3) AS dc,
            round({_isi}, 3) AS isi, round({_bui}, 3) AS bui
-    FROM codes WHERE i > 0""")
+    FROM codes WHERE i > 0"""
+
+
+@query("s9_fwi_carry", _CARRY_SQL)
 def s9_fwi_carry(spark, sf_dir):
     rows = readings(spark, sf_dir).withColumns(
         {c: F.col(c).cast("double") for c in w.FIELDS}).withColumnRenamed("user_id", "station")
     return carried_codes(daily_readings(rows, "station", "ts"), "station").select(
         "station", F.col("day").cast("string").alias("day"), *rounded_codes())
+
+
+@query("s9_stream_carry", _CARRY_SQL)
+def s9_stream_carry(spark, sf_dir):
+    """As a stream that lands in three parts, each finished batch written twice, as after a failure."""
+    out = scratch_path(spark, "carried")
+    rows = readings(spark, sf_dir).select(
+        F.col("user_id").alias("station"), F.col("ts").cast("timestamp").alias("ts"),
+        *[F.col(c).cast("double").alias(c) for c in w.FIELDS])
+    first, last = rows.agg(F.min("ts"), F.max("ts")).first()
+    third = (last - first) / 3
+    # a reading of no station, long after the others, closes their last day
+    end = spark.createDataFrame([(-1, last + timedelta(days=30))], "station bigint, ts timestamp").select(
+        "*", *[F.lit(None).cast("double").alias(c) for c in w.FIELDS])
+    parts = [rows.where(F.col("ts") < first + third),
+             rows.where((F.col("ts") >= first + third) & (F.col("ts") < first + 2 * third)),
+             rows.where(F.col("ts") >= first + 2 * third).unionByName(end)]
+    sink = w.carry_sink(f"{out}/codes", f"{out}/state", "station", buckets=32)
+
+    def twice(batch, batch_id):
+        sink(batch, batch_id)
+        sink(batch, batch_id)
+
+    for part in parts:
+        part.write.mode("append").parquet(f"{out}/landed")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{out}/landed")
+        w.daily_stream(stream, "station", "ts", "0 seconds").writeStream.foreachBatch(twice).outputMode(
+            "append").option("checkpointLocation", f"{out}/checkpoint").trigger(
+            availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{out}/codes").select(
+        "station", F.col("day").cast("string").alias("day"), *rounded_codes())

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from emberfold.storage import run_together
+from emberfold.storage import delete_folder, folder_names, is_complete, run_together
 
 
 def ensure_schema(spark: SparkSession, schema: str) -> None:
@@ -69,3 +71,55 @@ def publish_all(tables: Mapping[str, DataFrame], schema: str, root: str,
     return run_together({
         name: partial(publish, df, schema, name, root, layout.get(name, ()))
         for name, df in tables.items()})
+
+
+# Versions of a set that stay, the present one included, for readers that are still at them.
+KEEP_VERSIONS = 2
+
+
+def _set_versions(spark: SparkSession, root: str, schema: str) -> list[int]:
+    """Finished versions of a set, in order: those whose list of tables was written, which comes last."""
+    base = f"{root.rstrip('/')}/{schema}"
+    return sorted(int(name.split("=")[1]) for name in folder_names(spark, base)
+                  if name.startswith("set=") and is_complete(spark, f"{base}/{name}/tables"))
+
+
+def publish_set(tables: Mapping[str, DataFrame], schema: str, root: str,
+                partition_by: Mapping[str, Sequence[str]] | None = None, keep: int = KEEP_VERSIONS) -> int:
+    """Publish tables as one version of a set and return its number.
+
+    All tables go to ``<root>/<schema>/set=N``; the list of the tables is written last and makes the version
+    valid at once, so :func:`read_set` never mixes versions and never sees part of one. Then the view of each name is
+    replaced in one step, so a name is never absent; schema and partitions may change. The last ``keep`` versions
+    stay and older ones are deleted. One caller publishes a set at a time; what it leaves unfinished is overwritten by the next.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    done = _set_versions(spark, root, schema)
+    version = done[-1] + 1 if done else 1
+    base, layout = f"{root.rstrip('/')}/{schema}", partition_by or {}
+
+    def write(name: str, df: DataFrame) -> None:
+        by = layout.get(name, ())
+        if by:
+            df = df.hint("rebalance", *[F.col(c) for c in by])
+        df.write.mode("overwrite").partitionBy(*by).parquet(f"{base}/set={version}/{name}")
+
+    run_together({name: partial(write, name, df) for name, df in tables.items()})
+    spark.createDataFrame([(name, df.schema.json()) for name, df in tables.items()], "name string, fields string").coalesce(
+        1).write.mode("overwrite").parquet(f"{base}/set={version}/tables")
+    ensure_schema(spark, schema)
+    for name, df in tables.items():
+        columns = ", ".join(f"`{c}`" for c in df.columns)
+        spark.sql(f"CREATE OR REPLACE VIEW {schema}.{name} AS SELECT {columns} FROM parquet.`{base}/set={version}/{name}`")
+    for old in done[:len(done) + 1 - keep]:
+        delete_folder(spark, f"{base}/set={old}")
+    return version
+
+
+def read_set(spark: SparkSession, schema: str, root: str, version: int | None = None) -> dict[str, DataFrame]:
+    """All tables of one version of a set, by default of the newest."""
+    done = _set_versions(spark, root, schema)
+    version = done[-1] if version is None else version
+    folder = f"{root.rstrip('/')}/{schema}/set={version}"
+    return {r["name"]: spark.read.schema(StructType.fromJson(json.loads(r["fields"]))).parquet(f"{folder}/{r['name']}")
+            for r in spark.read.parquet(f"{folder}/tables").collect()}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -30,15 +29,13 @@ def run_together(jobs: Mapping[str, Callable[[], T]], at_once: int = PARALLEL_JO
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path, never used before, below the folder all executors share.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local session
-    may run without the setting; it then gets a temporary folder.
+    The folder is the session's ``spark.checkpoint.dir``, which has to be set when the session
+    starts, such as ``build_session(..., **{"spark.checkpoint.dir": folder})``.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        base = tempfile.mkdtemp(prefix="emberfold-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise ValueError("start the session with spark.checkpoint.dir set to a folder that all executors can "
+                         "reach; intermediate tables are written there")
     return f"{base.rstrip('/')}/emberfold/{label}-{uuid.uuid4().hex}"
 
 
@@ -60,9 +57,37 @@ def release(spark: SparkSession) -> int:
     For the end of a flow, when its results are stored elsewhere: what still reads
     such a table fails afterwards.
     """
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     released = 0
     while _STORED:
-        path = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
-        released += path.getFileSystem(conf).delete(path, True)
+        released += delete_folder(spark, _STORED.pop())
     return released
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Whether there was one."""
+    files, folder = _folder(spark, path)
+    return files.delete(folder, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, in order; none if it is absent."""
+    files, folder = _folder(spark, path)
+    if not files.exists(folder):
+        return []
+    return sorted(f.getPath().getName() for f in files.listStatus(folder))
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    files, folder = _folder(spark, path)
+    return files.getContentSummary(folder).getLength()
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether Spark has finished writing the folder."""
+    files, _ = _folder(spark, path)
+    return files.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"))

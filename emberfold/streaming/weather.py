@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from emberfold.functions.fire import fire_codes
 from emberfold.functions.scalars import any_present, row_digest
-from emberfold.operators.carry import carried_codes, last_codes
+from emberfold.operators.carry import CODES, carried_codes, last_codes
+from emberfold.sources.parts import PartTable, parts_of
+from emberfold.storage import materialize
 
 # Fields of a reading and of the provider's payload.
 MESSAGE_SCHEMA = "Temperature float, RH float, Ws float, Rain float"
@@ -187,23 +191,109 @@ def daily_stream(df: DataFrame, station: str, ts: str, late: str) -> DataFrame:
                           "temperature", "rh", "ws", "rain")
 
 
-def carry_sink(code_path: str, state_path: str, station: str) -> Callable[[DataFrame, int], None]:
+# Parts of the stations' state; each is rewritten whole, so many small ones.
+STATE_BUCKETS = 256
+
+
+def carry_sink(code_path: str, state_path: str, station: str,
+               buckets: int = STATE_BUCKETS) -> Callable[[DataFrame, int], None]:
     """Writer of carried codes for finished days.
 
-    Batch N starts from the state that batch N - 1 stored and stores its own, one
-    row per station; a replay of N therefore computes and overwrites the same.
+    The state, a row per station, lies in ``buckets`` parts by a hash of the station. Batch N reads the parts of its own
+    stations as batch N - 1 left them and writes these parts alone; a replay of N therefore computes and
+    overwrites the same, and stations that are silent cost nothing.
     """
+    state = PartTable(state_path, "bucket")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = None
-        if batch_id > 0:
-            before = spark.read.parquet(f"{state_path}/batch_id={batch_id - 1}")
-        codes = carried_codes(batch, station, before)
-        path = f"{code_path}/batch_id={batch_id}"
-        codes.write.mode("overwrite").parquet(path)
+        bucket = F.pmod(F.xxhash64(station), F.lit(buckets)).cast("int")
+        schema = batch.select(station, "day", *[F.lit(None).cast("double").alias(c) for c in CODES],
+                              bucket.alias("bucket")).schema
+        index = state.index(spark, batch_id - 1)
+        batch = batch.persist()
+        try:
+            touched = parts_of(batch.select(bucket.alias("bucket")), "bucket")
+            before = state.read(spark, schema, index, touched).drop("bucket")
+            codes = carried_codes(batch, station, before)
+            path = f"{code_path}/batch_id={batch_id}"
+            codes.write.mode("overwrite").parquet(path)
+        finally:
+            batch.unpersist()
         stored = spark.read.schema(codes.schema).parquet(path)
-        last_codes(stored, station, before).write.mode("overwrite").parquet(
-            f"{state_path}/batch_id={batch_id}")
+        state.write(last_codes(stored, station, before).withColumn("bucket", bucket), batch_id, index, touched)
+
+    return write
+
+
+def last_states(spark: SparkSession, state_path: str, schema: StructType) -> DataFrame:
+    """The last day and codes of every station, with its ``bucket``."""
+    state = PartTable(state_path, "bucket")
+    return state.read(spark, schema, state.index(spark))
+
+
+class Measure(NamedTuple):
+    """An aggregate of rows, and how its parts are merged: ``Measure(F.count(F.lit(1)), F.sum)``."""
+
+    part: Column
+    merge: Callable[[str], Column]
+
+
+def window_sink(path: str, ts: str, by: str, width: str, measures: Mapping[str, Measure],
+                late: str) -> Callable[[DataFrame, int], None]:
+    """Writer of tumbling windows that keeps late rows.
+
+    The watermark is the latest time of the batches before, less ``late``. A row whose window ends at or before it is late
+    and goes to ``<path>/late/batch_id=N``, as do rows without a time; nothing vanishes. All others are reduced to
+    their windows and merged into ``<path>/windows``, parts by the day a window starts on, of which a batch reads
+    and rewrites only those it changes. ``<path>/progress/batch_id=N`` has the latest time and how many
+    rows were late so far. A replayed batch starts from what the batch before left and gives the same.
+    """
+    table = PartTable(f"{path}/windows", "day")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        index = table.index(spark, batch_id - 1)
+        latest, n_late = None, 0
+        if batch_id > 0:
+            latest, n_late = window_progress(spark, path).where(F.col("batch_id") == batch_id - 1).select(
+                "latest", "n_late").first()
+        timed = batch.withColumn(ts, F.col(ts).cast("timestamp"))
+        # a window is told by its own start, so that rows without a time keep their place
+        start = F.window(F.coalesce(F.col(ts), F.lit(0).cast("timestamp")), width)
+        mark = F.lit(latest).cast("timestamp") - F.expr(f"INTERVAL {late}")
+        is_late = F.col(ts).isNull() | F.coalesce(F.col("_w.end") <= mark, F.lit(False))
+        rows = timed.withColumn("_w", start).withColumn("_late", is_late).persist()
+        try:
+            rows.where("_late").drop("_w", "_late").write.mode("overwrite").parquet(f"{path}/late/batch_id={batch_id}")
+            parts = materialize(rows.where("not _late").groupBy(
+                F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), by).agg(
+                *[m.part.alias(name) for name, m in measures.items()]).withColumn(
+                "day", F.date_format("window_start", "yyyy-MM-dd")), "window-parts")
+            new_latest, new_late = rows.agg(F.max(ts), F.count_if("_late")).first()
+        finally:
+            rows.unpersist()
+        touched = parts_of(parts, "day")  # the days that a batch spans
+        keys = ["window_start", "window_end", by, "day"]
+        merged = parts.unionByName(table.read(spark, parts.schema, index, touched)).groupBy(*keys).agg(
+            *[m.merge(name).alias(name) for name, m in measures.items()])
+        table.write(merged, batch_id, index, touched)
+        times = [t for t in (latest, new_latest) if t is not None]
+        spark.createDataFrame([(max(times, default=None), n_late + new_late)], _PROGRESS).coalesce(1).write.mode(
+            "overwrite").parquet(f"{path}/progress/batch_id={batch_id}")
 
     return write
+
+
+_PROGRESS = "latest timestamp, n_late bigint"
+
+
+def window_progress(spark: SparkSession, path: str) -> DataFrame:
+    """Per batch of a :func:`window_sink`: ``latest, n_late, batch_id``."""
+    return spark.read.schema(f"{_PROGRESS}, batch_id bigint").parquet(f"{path}/progress")
+
+
+def stored_windows(spark: SparkSession, path: str, schema: StructType, days: list[str] | None = None) -> DataFrame:
+    """Windows of a :func:`window_sink`, of all days or of some."""
+    table = PartTable(f"{path}/windows", "day")
+    return table.read(spark, schema, table.index(spark), days)
