@@ -214,13 +214,22 @@ def log_run(spark: SparkSession, path: str, experiment: str, run_id: str,
     if model is not None:
         model_path = f"{model_root or path + '-models'}/{experiment}/{run_id}"
         model.write().overwrite().save(model_path)
-    rows = [(experiment, run_id, json.dumps(params, sort_keys=True, default=str), name,
-             float(value), model_path, json.dumps(signature, sort_keys=True))
-            for name, value in metrics.items()]
+    log_runs(spark, path, experiment, {run_id: (params, metrics)}, {run_id: model_path}, {run_id: signature})
+    return model_path
+
+
+def log_runs(spark: SparkSession, path: str, experiment: str,
+             runs: Mapping[str, tuple[Mapping[str, object], Mapping[str, float]]],
+             model_paths: Mapping[str, str | None] | None = None,
+             signatures: Mapping[str, Mapping[str, Sequence[str]] | None] | None = None) -> None:
+    """Append the parameters and metrics of many runs to the runs table, in one write."""
+    paths, signed = model_paths or {}, signatures or {}
+    rows = [(experiment, run_id, json.dumps(params, sort_keys=True, default=str), name, float(value),
+             paths.get(run_id), json.dumps(signed.get(run_id), sort_keys=True))
+            for run_id, (params, metrics) in runs.items() for name, value in metrics.items()]
     fields = RUNS_SCHEMA.rsplit(",", 1)[0]
     spark.createDataFrame(rows, fields).withColumn(
         "logged_at", F.current_timestamp()).write.mode("append").parquet(path)
-    return model_path
 
 
 def best_run(runs: DataFrame, metric: str, descending: bool) -> DataFrame:

@@ -11,7 +11,7 @@ from emberfold.queries.base import amount, query, sql_money, table
 from emberfold.queries.weather import READINGS_SQL, float_codes_sql, readings
 from emberfold.sources.files import (TESTING_FOLDER, TRAINING_FOLDER, image_labels, read_csv,
                                      read_images)
-from emberfold.storage import materialize, scratch_path
+from emberfold.storage import scratch_path
 
 
 _PLANE_SQL = f"""
@@ -54,11 +54,11 @@ def a14_csv_training(spark, sf_dir):
 def m4_stream_scoring(spark, sf_dir):
     """Trained on a table, scored on a stream of readings without codes."""
     out = scratch_path(spark, "scored")
-    landed = materialize(readings(spark, sf_dir), "landed-readings")
+    readings(spark, sf_dir).write.parquet(out + "-landed")
+    landed = spark.read.schema(readings(spark, sf_dir).schema).parquet(out + "-landed")
     train, _ = learn.train_test_split(_known(fire_codes(landed, F.col("month"))), "event_id")
     model = learn.fit_regression(train)
-    stream = spark.readStream.schema(landed.schema).parquet(
-        landed.inputFiles()[0].rpartition("/")[0])
+    stream = spark.readStream.schema(landed.schema).parquet(out + "-landed")
     scored = _predictions(learn.score(model, fire_codes(stream, F.col("month"))))
     scored.writeStream.format("parquet").option("checkpointLocation", out + "-checkpoint").trigger(
         availableNow=True).start(out).awaitTermination()
@@ -173,10 +173,9 @@ def m7_best_run(spark, sf_dir):
 def m10_run_log(spark, sf_dir):
     """One logged run per event type, of which there are a handful; the best from the stored log."""
     path = scratch_path(spark, "runs")
-    for row in table(spark, sf_dir, "events").groupBy("event_type").agg(
-            (F.sum(amount("value")) / 100.0).alias("total")).collect():
-        learn.log_run(spark, path, "events", f"run-{row['event_type']}", {"type": row["event_type"]},
-                      {"rmse": row["total"], "other": 0.0})
+    totals = table(spark, sf_dir, "events").groupBy("event_type").agg((F.sum(amount("value")) / 100.0).alias("total"))
+    learn.log_runs(spark, path, "events", {
+        f"run-{r['event_type']}": ({"type": r["event_type"]}, {"rmse": r["total"], "other": 0.0}) for r in totals.collect()})
     return learn.best_run(spark.read.parquet(path), "rmse", False)
 
 

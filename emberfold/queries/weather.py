@@ -188,6 +188,17 @@ def s4_compacted(spark, sf_dir):
     return read_batches(spark, f"{out}/features").select("batch_id", *w.FIELDS, *rounded_codes())
 
 
+@query("s6_ingestion_time", f"""
+    SELECT temperature, rh, ws, rain, TIMESTAMP '2024-07-01 12:30:00' AS ingestion_time
+    FROM {_PARSED_SQL} p WHERE {_USABLE_SQL}""")
+def s6_ingestion_time(spark, sf_dir):
+    out = scratch_path(spark, "stamped")
+    write = w.batch_sinks(f"{out}/raw", f"{out}/features", None, F.lit(7), clock=F.lit("2024-07-01 12:30:00").cast("timestamp"))
+    write(w.parse_messages(spark.read.text(_landed_messages(spark, sf_dir))), 0)
+    return spark.read.parquet(f"{out}/features").select(
+        *w.FIELDS, F.col("ingestion_time").cast("timestamp_ntz").alias("ingestion_time"))
+
+
 @query("s5_replay_ids", f"""
     SELECT run, CAST(2 * COUNT(*) AS BIGINT) AS ids
     FROM {_PARSED_SQL} p, (VALUES ('first'), ('again'), ('both')) AS r(run)

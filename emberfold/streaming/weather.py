@@ -101,9 +101,11 @@ def with_message_id(batch: DataFrame, batch_id: int) -> DataFrame:
 
 
 def batch_sinks(raw_path: str, feature_path: str, quarantine_path: str | None = None,
-                month: Column | None = None) -> Callable[[DataFrame, int], None]:
+                month: Column | None = None, clock: Column | None = None) -> Callable[[DataFrame, int], None]:
     """Writer of one micro-batch to a raw, a feature and a quarantine table.
 
+    Features carry the ingestion time of ``clock``, by default the time the batch is written.
+
     Every batch owns one folder per table and overwrites it, so a batch that is
     replayed after a failure leaves no second copy. Errors are not caught: the
     batch fails and is replayed from the checkpoint.
@@ -117,7 +119,7 @@ def batch_sinks(raw_path: str, feature_path: str, quarantine_path: str | None =
             readings = with_message_id(batch.where(is_reading()), batch_id)
             features = weather_features(readings, month).select(
                 "id", *FIELDS, "ffmc", "dmc", "dc", "isi", "bui",
-                F.current_timestamp().alias("ingestion_time"))
+                (F.current_timestamp() if clock is None else clock).alias("ingestion_time"))
             features.write.mode("overwrite").parquet(f"{feature_path}/batch_id={batch_id}")
             if quarantine_path:
                 batch.where(~is_reading()).write.mode("overwrite").parquet(
