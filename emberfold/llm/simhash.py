@@ -4,7 +4,8 @@ Two 64-bit fingerprints that differ in at most ``max_bits`` bits differ in at mo
 ``max_bits // parts`` bits of one of ``parts`` disjoint bit ranges. In each range the
 words of a covering code are the anchors: blocks of seven bits with the words of
 the perfect Hamming code (covering radius one), left-over bits as they are (radius
-zero). A fingerprint is at home with its nearest anchor and is copied to every
+zero). The more fingerprints there are, the more blocks take all their words as anchors
+(radius zero), each of which multiplies the anchors by eight. A fingerprint is at home with its nearest anchor and is copied to every
 anchor within covering radius plus threshold, counted block by block; so for every
 close pair the home anchor of the one has a copy of the other, and comparing all copies
 with the home fingerprints, anchor by anchor, finds every pair.
@@ -27,6 +28,8 @@ from emberfold.storage import materialize
 # Rows of one anchor that are compared in one go; larger anchors are dealt to
 # pairs of blocks, each pair a unit of its own.
 ANCHOR_ROWS = 32_768
+# Rows an anchor gets on average: with more, the code is made finer, up to all words.
+ANCHOR_MEAN = 256
 _UPPER = bytes(range(65, 91))
 _SHINGLES = 65_536
 
@@ -75,12 +78,12 @@ def _hamming_words() -> np.ndarray:
     return sum(bit << k for k, bit in enumerate([*d, *checks]))
 
 
-def _options(width: int, slack: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _options(width: int, slack: int, coarse: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each value of a block: its anchors, by what they cost beyond the covering radius.
 
     Returns the first place of each value, the anchors' indices and their costs.
     """
-    anchors, radius = (_hamming_words(), 1) if width == 7 else (np.arange(1 << width), 0)
+    anchors, radius = (_hamming_words(), 1) if coarse else (np.arange(1 << width), 0)
     far = np.bitwise_count(np.arange(1 << width)[:, None] ^ anchors[None, :]).astype(np.int64)
     cost = np.maximum(far - radius, 0)
     value, anchor = np.nonzero(cost <= slack)
@@ -95,15 +98,36 @@ def _ranges(parts: int) -> list[list[tuple[int, int]]]:
             for low, high in zip(edges, edges[1:])]
 
 
-def anchor_rows(fps: np.ndarray, parts: int, max_bits: int) -> Iterator[tuple]:
+def _coarse(blocks: list[tuple[int, int]], fine: int) -> list[bool]:
+    """Which blocks of a range have the Hamming code: those of seven bits but the first ``fine``."""
+    whole = [k for k, (_, width) in enumerate(blocks) if width == 7]
+    return [k in whole[fine:] for k in range(len(blocks))]
+
+
+def fine_blocks(n: int, parts: int, mean: int = ANCHOR_MEAN) -> int:
+    """How many blocks of each range take all words as anchors, so that ``n`` fingerprints give an anchor ``mean`` rows.
+
+    In all blocks, if even that is not enough.
+    """
+    ranges = _ranges(parts)
+    most = max(sum(width == 7 for _, width in blocks) for blocks in ranges)
+    for fine in range(most):
+        anchors = [sum(4 if coarse else width for (_, width), coarse in zip(blocks, _coarse(blocks, fine)))
+                   for blocks in ranges]
+        if n <= mean << min(anchors):
+            return fine
+    return most
+
+
+def anchor_rows(fps: np.ndarray, parts: int, max_bits: int, fine: int = 0) -> Iterator[tuple]:
     """Per range: row numbers, anchor keys, and whether the row is at home there."""
     slack = max_bits // parts
     for number, blocks in enumerate(_ranges(parts)):
         rows = np.arange(len(fps))
         keys = np.zeros(len(fps), np.int64)
         spent = np.zeros(len(fps), np.int64)
-        for low, width in blocks:
-            first, anchor, cost = _options(width, slack)
+        for (low, width), coarse in zip(blocks, _coarse(blocks, fine)):
+            first, anchor, cost = _options(width, slack, coarse)
             value = ((fps[rows] >> np.uint64(low)) & np.uint64((1 << width) - 1)).astype(np.int64)
             count = first[value + 1] - first[value]
             at = np.repeat(first[value] - (np.cumsum(count) - count), count)
@@ -112,7 +136,7 @@ def anchor_rows(fps: np.ndarray, parts: int, max_bits: int) -> Iterator[tuple]:
             total = spent[back] + cost[at]
             fits = total <= slack
             back, at = back[fits], at[fits]
-            keys = keys[back] * (16 if width == 7 else 1 << width) + anchor[at]
+            keys = keys[back] * (16 if coarse else 1 << width) + anchor[at]
             rows, spent = rows[back], total[fits]
         yield rows, keys * parts + number, spent == 0
 
@@ -148,14 +172,16 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 4, parts: int = 3,
 
     ``fps`` has one column ``fp`` of distinct values. Not every close pair is
     listed: each comparison unit returns a star per connected set, at most one
-    link for each of its rows.
+    link for each of its rows. The fingerprints are counted first, and the code follows.
     """
+    fine = fine_blocks(fps.count(), parts)
+
     def copies(batches):
         for batch in batches:
             values = batch.column("fp").to_numpy().view(np.uint64)
             for k in range(0, len(values), 4096):
                 part = values[k:k + 4096]
-                for rows, keys, home in anchor_rows(part, parts, max_bits):
+                for rows, keys, home in anchor_rows(part, parts, max_bits, fine):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(keys), pa.array(part[rows].view(np.int64)), pa.array(home)],
                         names=["anchor", "fp", "home"])
@@ -219,7 +245,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``parts=1`` uses one covering code over all 64 bits (many more copies).
     """
     rows = materialize(fingerprints(df, id_col, text_col, shingle), "fingerprints")
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    nodes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     links = fingerprint_links(nodes.select("fp"), max_bits, parts, anchor_limit)
     roots = connected_components(links).withColumnRenamed("node", "fp")
     placed = nodes.join(roots, "fp", "left").select(

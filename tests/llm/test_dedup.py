@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from emberfold.llm.components import connected_components
 from emberfold.llm.queries import QUERIES
-from emberfold.llm.simhash import anchor_rows, fingerprint_links, near_duplicates
+from emberfold.llm.simhash import anchor_rows, fine_blocks, fingerprint_links, near_duplicates
 from emberfold.llm.templates import Leaf, drop_recurring_lines, line_key, parse
 
 
@@ -83,11 +83,39 @@ def clustered(n, seed=0):
     return np.unique(values)
 
 
-@pytest.mark.parametrize("parts", [1, 2, 3, 4])
-def test_every_close_pair_meets_at_an_anchor(parts):
+def comparisons(n, mean):
+    """Comparisons per fingerprint of random ones, which no two of are close."""
+    values = np.unique(np.random.default_rng(n).integers(0, 1 << 64, n, dtype=np.uint64))
+    total = 0
+    for _, keys, home in anchor_rows(values, 3, 4, fine_blocks(n, 3, mean)):
+        names, place = np.unique(keys, return_inverse=True)
+        total += int((np.bincount(place, home) * np.bincount(place)).sum())
+    return total / n
+
+
+def test_anchors_follow_the_number_of_fingerprints():
+    small, large = comparisons(20_000, 8), comparisons(160_000, 8)
+    assert 0.5 < large / small < 2  # anchors grew by eight, as the fingerprints did
+    assert [fine_blocks(n, 3) for n in (0, 1 << 20, 1 << 21, 1 << 24, 1 << 40)] == [0, 0, 1, 2, 3]
+
+
+@pytest.mark.parametrize("mean", [1, 8])
+def test_links_do_not_depend_on_the_anchors(spark, mean, monkeypatch):
+    import emberfold.llm.simhash as simhash
+    values = clustered(3000, 4)
+    df = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp bigint")
+    monkeypatch.setattr(simhash.fine_blocks, "__defaults__", (mean,))
+    links = [tuple(r) for r in fingerprint_links(df, 4, 3).collect()]
+    got = plain_components([(place[a], place[b]) for place in [{v: k for k, v in enumerate(values.view(np.int64).tolist())}]
+                            for a, b in links], range(len(values)))
+    assert got == plain_components(near_pairs(values, 4), range(len(values)))
+
+
+@pytest.mark.parametrize("parts, fine", [(1, 0), (2, 0), (2, 2), (3, 0), (3, 1), (3, 2), (3, 3), (4, 0), (4, 2)])
+def test_every_close_pair_meets_at_an_anchor(parts, fine):
     values = clustered(240)
     home, held = defaultdict(set), defaultdict(set)
-    for rows, keys, at_home in anchor_rows(values, parts, 4):
+    for rows, keys, at_home in anchor_rows(values, parts, 4, fine):
         for r, k, h in zip(rows.tolist(), keys.tolist(), at_home.tolist()):
             held[k].add(r)
             if h:
