@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import cache
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,13 +29,21 @@ def run_together(jobs: Mapping[str, Callable[[], T]], at_once: int = PARALLEL_JO
         return {name: job.result() for name, job in running.items()}
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="emberfold-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path, never used before, below the folder all executors share.
 
     The folder is the session's ``spark.checkpoint.dir``, which has to be set when the session
-    starts, such as ``build_session(..., **{"spark.checkpoint.dir": folder})``.
+    starts, such as ``build_session(..., **{"spark.checkpoint.dir": folder})``. Only a session whose driver
+    and executors are one process may run without; it gets a temporary folder of that process.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        base = _own_folder()
     if not base:
         raise ValueError("start the session with spark.checkpoint.dir set to a folder that all executors can "
                          "reach; intermediate tables are written there")

@@ -1,8 +1,14 @@
 """What is kept up to date by batches: the same as over the whole, after replays too, and no more is touched."""
 
+import os
 import random
+import subprocess
+import sys
+import tempfile
 from collections import Counter
 from datetime import date, datetime, timedelta
+from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -223,10 +229,28 @@ def test_sets_are_published_at_once(spark):
     assert [n for n in folder_names(spark, f"{root}/{schema}") if n.startswith("set=")] == ["set=2", "set=3"]
 
 
-def test_a_session_without_a_shared_folder_is_told(spark):
-    class Session:
-        class conf:
-            get = staticmethod(lambda key, default=None: default)
-
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        storage.scratch_path(Session, "x")
+@pytest.mark.parametrize("master, told", [("local", False), ("local[8]", False), ("local-cluster[2,1,900]", True),
+                                          ("yarn", True), ("spark://host:7077", True)])
+def test_sessions_without_a_shared_folder(master, told):
+    """One process may use a folder of its own; a cluster has to be given one."""
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default),
+                              sparkContext=SimpleNamespace(master=master))
+    if told:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            storage.scratch_path(session, "x")
+    else:
+        assert Path(storage.scratch_path(session, "x")).parent.parent.exists()
+
+
+def test_a_plain_local_session_stores_tables():
+    """In a process of its own, as the setting belongs to the session's start."""
+    code = ("from emberfold.session import build_session\n"
+            "from emberfold.storage import materialize\n"
+            "spark = build_session('local[1]')\n"
+            "assert spark.conf.get('spark.checkpoint.dir', None) is None\n"
+            "print('stored', materialize(spark.range(7), 'x').count())\n")
+    env = {k: v for k, v in os.environ.items() if not k.startswith("SPARK_CONF")}
+    with tempfile.TemporaryDirectory() as conf:
+        run = subprocess.run([sys.executable, "-c", code], env={**env, "SPARK_CONF_DIR": conf}, capture_output=True,
+                             text=True, cwd=Path(__file__).parent.parent, timeout=120)
+    assert "stored 7" in run.stdout, run.stderr[-2000:]
