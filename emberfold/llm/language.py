@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,6 +16,10 @@ UNDETERMINED = "und"
 # A text is read in windows of so many bytes, each from a fresh state; all bytes are read.
 WINDOW = 256
 _BATCH = 512
+# How many times the rows that are drawn are ranked.
+_SPARE = 4.0
+# Windows held at a time, and the lengths they are filled to.
+_WINDOWS, _FILL = 4_096, 64
 
 
 @dataclass(frozen=True)
@@ -157,32 +162,42 @@ class Tagger:
                 self.weights[k] -= rate * move / (np.sqrt(second[k] / (1 - 0.999 ** step)) + 1e-8)
 
     def pool(self, texts: list[bytes]) -> np.ndarray:
-        """(text, label): the mean distribution over the positions that hold letters."""
-        sizes = np.array([len(t) for t in texts], np.int64)
-        count = -(-sizes // WINDOW)
+        """(text, label): the mean distribution over the positions that hold letters.
+
+        Windows are read a bounded number at a time, however long a text is. A window ends at its last
+        visible byte and is filled with spaces to a multiple of ``_FILL``, so that it comes out the same
+        whatever it is read together with.
+        """
         total = np.zeros((len(texts), len(self.labels)))
         mass = np.zeros(len(texts))
-        if not count.sum():
-            return total
-        owner = np.repeat(np.arange(len(texts)), count)
-        x = np.full((int(count.sum()), WINDOW), 32, np.uint8)
-        row = 0
-        for text, n in zip(texts, count):
-            x[row:row + n].reshape(-1)[:len(text)] = np.frombuffer(text, np.uint8)
-            row += n
+        owners, cuts = [], []
+        for i, text in enumerate(texts):
+            for at in range(0, len(text), WINDOW):
+                owners.append(i)
+                cuts.append(text[at:at + WINDOW])
+                if len(cuts) == _WINDOWS:
+                    self._add(np.array(owners), cuts, total, mass)
+                    owners, cuts = [], []
+        if cuts:
+            self._add(np.array(owners), cuts, total, mass)
+        return total / np.maximum(mass, 1e-9)[:, None]
+
+    def _add(self, owner: np.ndarray, windows: list[bytes], total: np.ndarray, mass: np.ndarray) -> None:
+        x = np.frombuffer(b"".join([w.ljust(WINDOW) for w in windows]), np.uint8).reshape(-1, WINDOW)
+        seen = x[:, ::-1] != 32
+        used = np.where(seen.any(axis=1), WINDOW - seen.argmax(axis=1), 0)
+        filled = -(-used // _FILL) * _FILL
         letter = np.zeros(256, np.float32)
         letter[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
-        # windows of like length go together, so that padding is not run
-        order = np.argsort(np.where(x != 32, np.arange(1, WINDOW + 1), 0).max(axis=1), kind="stable")
-        for k in range(0, len(order), _BATCH):
-            part = order[k:k + _BATCH]
-            used = max(1, int(np.where(x[part[-1]] != 32, np.arange(1, WINDOW + 1), 0).max()))
-            block = np.ascontiguousarray(x[part, :used].T).astype(np.intp)
-            weight = letter[block]
-            p = np.einsum("tbk,tb->bk", self.probabilities(block), weight, optimize=False)
-            np.add.at(total, owner[part], p)
-            np.add.at(mass, owner[part], weight.sum(axis=0))
-        return total / np.maximum(mass, 1e-9)[:, None]
+        for size in np.unique(filled[filled > 0]).tolist():
+            rows = np.flatnonzero(filled == size)
+            for k in range(0, len(rows), _BATCH):
+                part = rows[k:k + _BATCH]
+                block = np.ascontiguousarray(x[part, :size].T).astype(np.intp)
+                weight = letter[block]
+                p = np.einsum("tbk,tb->bk", self.probabilities(block), weight, optimize=False)
+                np.add.at(total, owner[part], p)
+                np.add.at(mass, owner[part], weight.sum(axis=0))
 
 
 def fit_tagger(df: DataFrame, id_col: str, text_col: str, label_col: str,
@@ -192,14 +207,26 @@ def fit_tagger(df: DataFrame, id_col: str, text_col: str, label_col: str,
         F.col(id_col).alias("id"), F.col(text_col).alias("text"),
         F.col(label_col).cast("string").alias("label"))
     top = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(plan.max_labels)
-    labels = sorted(r[0] for r in top.select("label").collect())
+    counts = top.collect()
+    labels = sorted(r["label"] for r in counts)
     if not labels:
         return None
     order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    chosen = rows.where(F.col("label").isin(labels)).select("id", "label").withColumn(
-        "place", F.row_number().over(order)).where(F.col("place") <= plan.docs_per_label)
-    # at most labels x documents ids and labels
-    names = {(r["id"], r["label"]) for r in chosen.collect()}
+    place = F.row_number().over(order)
+
+    def lowest(held: DataFrame) -> list:
+        """The ids drawn: at most labels x documents rows."""
+        return held.withColumn("place", place).where(F.col("place") <= plan.docs_per_label).collect()
+
+    # the lowest hashes of a label lie below a bound that its count gives, with much to spare; so few
+    # rows are ranked. Where ids repeat too often for that, all are.
+    share = F.create_map(*[F.lit(v) for r in counts for v in (r["label"], min(1.0, _SPARE * plan.docs_per_label / r["count"]))])
+    named = rows.where(F.col("label").isin(labels)).select("id", "label")
+    chosen = lowest(named.where(F.xxhash64("id") <= share[F.col("label")] * 2.0 ** 64 - 2.0 ** 63))
+    drawn_of = Counter(r["label"] for r in chosen)
+    if any(drawn_of[r["label"]] < min(plan.docs_per_label, r["count"]) for r in counts):
+        chosen = lowest(named)
+    names = {(r["id"], r["label"]) for r in chosen}
     ids = df.sparkSession.createDataFrame(list(names), rows.select("id", "label").schema)
     width, each = plan.width, plan.windows_per_doc
 
@@ -235,8 +262,8 @@ def with_language(df: DataFrame, tagger: Tagger | None, text_col: str = "text",
     """Every column of ``df`` plus the pooled label of the whole text and its probability.
 
     A NULL text and one without a letter are ``und`` with score 0, as is every text if there
-    is no tagger. Repeated rows stay; NULLs elsewhere are carried along. ``pred`` and
-    ``score`` must be new names.
+    is no tagger. Of labels with equal probability the first by name is taken. Repeated rows stay;
+    NULLs elsewhere are carried along; an empty table gives none. ``pred`` and ``score`` must be new names.
     """
     if {pred, score} & set(df.columns):
         raise ValueError(f"{pred} or {score} is a column already")
