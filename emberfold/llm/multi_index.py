@@ -3,18 +3,25 @@
 from __future__ import annotations
 
 import heapq
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberfold.llm.vectors import BLOCK_ROWS, best_in_blocks, matrix, rows_of, top_k, usable_vectors
+from emberfold.llm.vectors import QUERY_ROWS, lengths_of, matrix, query_groups, rows_of, usable_vectors
 from emberfold.storage import materialize
 
 # The quantisers are fitted on this many vectors, drawn by a hash of their id.
 SAMPLE = 8_192
-CENTROIDS = 32
+# Centroids of each half: at least, at most, and the rows a cell should hold.
+CENTROIDS, MOST_CENTROIDS, CELL_ROWS = 32, 512, 256
+# Rows that queries are compared with at a time.
+PACK_ROWS = 4_096
+# Rounding of cosines that come from a matrix product.
+_ROUGH = 1e-12
 
 
 def kmeans(points: np.ndarray, k: int, rounds: int = 15, seed: int = 1) -> np.ndarray:
@@ -51,93 +58,159 @@ def traverse(left: np.ndarray, right: np.ndarray, held: np.ndarray, wanted: int)
     return cells
 
 
-def _cosine(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    dots = queries @ vectors.T
-    return dots / (np.linalg.norm(queries, axis=1)[:, None] * np.linalg.norm(vectors, axis=1)[None, :])
+def cosines(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Cosines of one query with vectors, each summed in the same order wherever its vector lies."""
+    square = lambda rows: (rows * rows).sum(axis=1)
+    return (vectors * query).sum(axis=1) / (np.sqrt(square(query[None, :])) * np.sqrt(square(vectors)))
+
+
+def packs_of(held: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each cell's pack, and each pack's parts: neighbouring cells share a pack of ``size`` rows at most, and a
+    cell with more has a pack for itself that is dealt to parts."""
+    pack, parts, filled = np.zeros(len(held), np.int64), [0], 0
+    for cell, n in enumerate(held.tolist()):
+        if n and filled and filled + n > size:
+            parts.append(0)
+            filled = 0
+        filled += n
+        pack[cell] = len(parts) - 1
+        parts[-1] = max(1, -(-filled // size))
+    return pack, np.maximum(parts, 1)
+
+
+def code_words(n: int, least: int = CENTROIDS, most: int = MOST_CENTROIDS) -> int:
+    """Centroids of each half, so that a cell holds some ``CELL_ROWS`` of ``n`` rows."""
+    return int(min(most, max(least, round((n / CELL_ROWS) ** 0.5))))
 
 
 def nearest(df: DataFrame, queries: str, k: int = 5, share: float = 0.5, id_col: str = "vec_id",
-            vector_col: str = "embedding", centroids: int = CENTROIDS, sample: int = SAMPLE) -> DataFrame:
+            vector_col: str = "embedding", centroids: int | None = None, sample: int = SAMPLE,
+            pack_rows: int = PACK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """``query_id, rank, id, score``: near neighbours by cosine, reranked on the vectors.
 
-    ``queries`` is a condition on ``id``. Each half of the unit vectors is quantised on its own; a cell is a pair of centroids. A query
-    visits cells by growing sum of its distances to both centroids until they hold ``share`` of all rows
-    (and more than ``k``), and the rows of these cells are compared exactly.
+    ``queries`` is a condition on ``id``. Each half of the unit vectors is quantised on its own, by as many centroids as the
+    counted rows ask for; a cell is a pair of centroids. A query visits cells by growing sum of its distances to both
+    centroids until they hold ``share`` of all rows (and more than ``k``), and the rows of these cells are compared
+    exactly. Cells lie in packs, and a group of queries meets a pack once.
 
-    Vectors that are NULL, all zero or hold NULL or non-finite values take no part, nor do those of
-    an odd length or without an id. Rows that share an id are separate candidates, but no
-    neighbours of each other. With ``k`` candidates or fewer all are returned; no usable row gives none.
+    Vectors that are NULL, empty or all zero or hold NULL or non-finite values take no part, nor do those without an id.
+    Vectors meet those of their own length, each length being indexed for itself. Rows that share an id are separate
+    candidates, but no neighbours of each other, and separate queries. Ties go to the smaller id, and equal vectors have
+    equal scores. With ``k`` candidates or fewer all are returned; no usable row gives none.
     """
-    rows = usable_vectors(df, id_col, vector_col).where(
-        F.exists("vector", lambda x: x != 0))
+    rows = usable_vectors(df, id_col, vector_col).where(F.exists("vector", lambda x: x != 0))
     # single-precision input is packed as it is
     kind = "<f4" if "float" in dict(df.dtypes)[vector_col] else "<f8"
-    drawn = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("vector").toArrow()
-    if not drawn.num_rows:
+    found = [_nearest_of_length(rows.where(F.size("vector") == n), n, kind, queries, k, share, centroids, sample,
+                                pack_rows, query_rows) for n in lengths_of(rows)]
+    if not found:
         return df.sparkSession.createDataFrame([], "query_id bigint, rank int, id bigint, score double")
-    points = matrix(drawn["vector"].combine_chunks())
-    points = points / np.linalg.norm(points, axis=1)[:, None]
-    cut = max(1, points.shape[1] // 2)
-    halves = [kmeans(points[:, :cut], centroids)]
-    halves.append(kmeans(points[:, cut:], centroids) if points.shape[1] > 1 else np.zeros((1, 0)))
-    width = len(halves[1])
+    return reduce(DataFrame.unionByName, found)
+
+
+def _nearest_of_length(rows: DataFrame, width: int, kind: str, queries: str, k: int, share: float,
+                       centroids: int | None, sample: int, pack_rows: int, query_rows: int) -> DataFrame:
+    words = code_words(rows.count()) if centroids is None else centroids
+    drawn = rows.orderBy(F.xxhash64("id"), "id").limit(max(sample, 32 * words)).select("vector").toArrow()
+    points = unit_rows(matrix(drawn["vector"].combine_chunks()))
+    cut = max(1, width // 2)
+    halves = [kmeans(points[:, :cut], words)]
+    halves.append(kmeans(points[:, cut:], words) if width > 1 else np.zeros((1, 0)))
+    columns = len(halves[1])
 
     def assign(batches):
+        name = TaskContext.get().partitionId() << 33
         for batch in batches:
             vectors = matrix(batch.column("vector"))
             if not len(vectors):
                 continue
-            unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
-            cell = (distances(unit[:, :cut], halves[0]).argmin(axis=1) * width
+            unit = unit_rows(vectors)
+            cell = (distances(unit[:, :cut], halves[0]).argmin(axis=1) * columns
                     + distances(unit[:, cut:], halves[1]).argmin(axis=1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(cell.astype(np.int32)), rows_of(vectors, kind)],
-                names=["id", "cell", "vector"])
+                [pa.array(np.arange(name, name + len(cell))), batch.column("id"), pa.array(cell.astype(np.int32)),
+                 rows_of(vectors, kind)], names=["row", "id", "cell", "vector"])
+            name += len(cell)
 
-    index = materialize(rows.mapInArrow(assign, "id bigint, cell int, vector binary"), "multi-index")
-    # at most centroids squared rows
-    held = np.zeros(len(halves[0]) * width, np.int64)
+    index = materialize(rows.mapInArrow(assign, "row bigint, id bigint, cell int, vector binary"), "multi-index")
+    # one row per cell that holds any: centroids squared at most
+    held = np.zeros(len(halves[0]) * columns, np.int64)
     for r in index.groupBy("cell").count().collect():
         held[r["cell"]] = r["count"]
     wanted = max(k + 1, int(np.ceil(share * held.sum())))
-    asking = index.where(queries)
-    n_queries = asking.count()
+    pack, parts = packs_of(held, pack_rows)
+    asks = query_groups(index.where(queries), query_rows)
+
+    def deal(batches):
+        for batch in batches:
+            own = pack[batch.column("cell").to_numpy()]
+            part = batch.column("row").to_numpy() % parts[own]
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(part), *[
+                batch.column(c) for c in ("id", "cell", "vector")]], names=["pack", "part", "id", "cell", "vector"])
+
+    blocks = index.mapInArrow(deal, "pack bigint, part bigint, id bigint, cell int, vector binary").groupBy(
+        "pack", "part").agg(F.collect_list(F.struct("id", "cell", "vector")).alias("rows")).select(
+        "pack", "part", "rows.id", "rows.cell", "rows.vector")
 
     def probe(batches):
         for batch in batches:
-            names, vectors = batch.column("id"), batch.column("vector").to_pylist()
-            for r, packed in enumerate(vectors):
-                q = np.frombuffer(packed, kind).astype(float)
-                q = (q / np.linalg.norm(q))[None, :]
-                cells = traverse(distances(q[:, :cut], halves[0])[0], distances(q[:, cut:], halves[1])[0],
-                                 held, wanted)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cells, pa.int32()), names.take(pa.array([r] * len(cells))),
-                     pa.array([packed] * len(cells), pa.binary())], names=["cell", "query_id", "query"])
-
-    parts = F.create_map(*[F.lit(int(x)) for c in np.flatnonzero(held > BLOCK_ROWS)
-                           for x in (c, -(-held[c] // BLOCK_ROWS))]) if (held > BLOCK_ROWS).any() else None
-    count = F.lit(1) if parts is None else F.coalesce(F.try_element_at(parts, F.col("cell")), F.lit(1))
-    blocks = index.select(
-        F.struct("cell", F.pmod(F.xxhash64("id"), count.cast("bigint")).alias("part")).alias("block"),
-        "id", "vector").groupBy("block").agg(F.collect_list(F.struct("id", "vector")).alias("rows"))
-    packed = blocks.mapInArrow(_pack, "block struct<cell:int,part:bigint>, ids binary, vectors binary")
-    pairs = asking.select("id", "vector").mapInArrow(
-        probe, "cell int, query_id bigint, query binary").select(
-        "query_id", "query", F.explode(F.transform(
-            F.sequence(F.lit(0).cast("bigint"), count.cast("bigint") - 1),
-            lambda p: F.struct(F.col("cell").alias("cell"), p.alias("part")))).alias("block"))
-    return top_k(best_in_blocks(packed, pairs, k, n_queries, _cosine, kind), k)
-
-
-def _pack(batches):
-    for batch in batches:
-        lists = batch.column("rows")
-        ids, vectors = [], []
-        for rows in lists:
-            values = rows.values
-            ids.append(values.field("id").to_numpy().astype("<i8").tobytes())
-            vectors.append(b"".join(values.field("vector").to_pylist()))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("block"), pa.array(ids, pa.binary()), pa.array(vectors, pa.binary())],
-            names=["block", "ids", "vectors"])
+            for r in batch.to_pylist():
+                asked = np.frombuffer(b"".join(r["vectors"]), kind).reshape(len(r["ids"]), -1)
+                unit = unit_rows(asked.astype(float))
+                left, right = distances(unit[:, :cut], halves[0]), distances(unit[:, cut:], halves[1])
+                visits: dict[int, list] = {}
+                for q in range(len(unit)):
+                    cells = np.array(traverse(left[q], right[q], held, wanted), np.int64)
+                    cells = cells[np.argsort(pack[cells], kind="stable")]
+                    heads = np.flatnonzero(np.diff(pack[cells], prepend=-1))
+                    for p, some in zip(pack[cells[heads]].tolist(), np.split(cells, heads[1:])):
+                        visits.setdefault(p, []).append((q, some))
+                for p, found in visits.items():
+                    places = [q for q, _ in found]
+                    row = [p, r["group"], places, [r["ids"][q] for q in places], asked[places].tobytes(),
+                           [c.astype("<i4").tobytes() for _, c in found]]
+                    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary(),
+                             pa.list_(pa.binary())]
+                    for part in range(int(parts[p])):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([part]), *[pa.array([v], t) for v, t in zip(row, kinds)]],
+                            names=["part", "pack", "group", "places", "names", "queries", "cells"])
+
+    visits = asks.mapInArrow(probe, "part bigint, pack bigint, group bigint, places array<int>, names array<bigint>, "
+                                    "queries binary, cells array<binary>")
+
+    def compare(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                ids, cells = np.array(r["id"], np.int64), np.array(r["cell"], np.int32)
+                vectors = np.frombuffer(b"".join(r["vector"]), kind).reshape(len(ids), -1).astype(float)
+                asked = np.frombuffer(r["queries"], kind).reshape(len(r["places"]), -1).astype(float)
+                rough = unit_rows(asked) @ unit_rows(vectors).T
+                rows = []
+                for q, (place, name, visited) in enumerate(zip(r["places"], r["names"], r["cells"])):
+                    own = np.flatnonzero(np.isin(cells, np.frombuffer(visited, "<i4")) & (ids != name))
+                    if not len(own):
+                        continue
+                    if len(own) > k:
+                        kth = np.partition(rough[q, own], -k)[-k]
+                        own = own[rough[q, own] >= kth - _ROUGH]
+                    score = cosines(asked[q], vectors[own])
+                    best = np.lexsort((ids[own], -score))[:k]
+                    rows += [(r["group"], place, name, ids[own[j]], score[j]) for j in best]
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(zip(*rows), (
+                            pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64()))],
+                        names=["group", "place", "query_id", "id", "score"])
+
+    order = Window.partitionBy("group", "place").orderBy(F.desc("score"), "id")
+    return visits.join(blocks, ["pack", "part"]).mapInArrow(
+        compare, "group bigint, place int, query_id bigint, id bigint, score double").withColumn(
+        "rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
+        "query_id", F.col("rank").cast("int").alias("rank"), "id", "score")
+
+
+def unit_rows(vectors: np.ndarray) -> np.ndarray:
+    """Rows over their norms, by way of their largest entries, whose squares could leave the range of a double."""
+    small = vectors / np.abs(vectors).max(axis=1)[:, None]
+    return small / np.linalg.norm(small, axis=1)[:, None]

@@ -60,6 +60,11 @@ def _from_planes(blob: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(8, -1).T).view("<u8").ravel()
 
 
+def _mark(keys: np.ndarray) -> int:
+    """Tells lists of distinct keys apart."""
+    return int(np.bitwise_xor.reduce(keys * _MIX + np.uint64(len(keys))).astype(np.int64))
+
+
 def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     min_count: int = 2, backoff: float = BACKOFF) -> DataFrame:
     """``doc_id, n_words, n_backoff, logp, perplexity`` per row, counts over all rows.
@@ -70,7 +75,8 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     that backed off. Words are told apart by 64-bit hashes.
 
     A NULL text and one without words have ``logp`` 0 and no perplexity. Repeated rows and
-    NULL or repeated ids are separate texts. An empty table gives no rows.
+    NULL or repeated ids are separate texts. An empty table gives no rows. ``df`` is read twice and has to give the
+    same rows each time, as a stored table does; if it does not, the job fails.
     """
     rows = small_batches(df).select(F.col(id_col).cast("bigint").alias("doc_id"),
                      F.col(text_col).cast("binary").alias("text"))
@@ -88,12 +94,12 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             edges = _ranges(keys, ranges)
             for part, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
                 if a < b:
-                    out.append((kind, part, table["chunk"][0].as_py(),
+                    out.append((kind, part, table["chunk"][0].as_py(), _mark(keys[a:b]),
                                 _planes(np.diff(keys[a:b], prepend=np.uint64(0))),
                                 _planes(counts[a:b])))
-        types = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+        types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
         return pa.table([pa.array([r[k] for r in out], t) for k, t in enumerate(types)],
-                        names=["kind", "part", "chunk", "keys", "counts"])
+                        names=["kind", "part", "chunk", "mark", "keys", "counts"])
 
     def count(table: pa.Table) -> pa.Table:
         blocks = [np.cumsum(_from_planes(k), dtype=np.uint64) for k in table["keys"].to_pylist()]
@@ -101,9 +107,9 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         _, place = np.unique(np.concatenate(blocks), return_inverse=True)
         total = np.bincount(place, counts).astype("<u8")[place]
         ends = np.cumsum([len(b) for b in blocks])
-        return pa.table([table["kind"], table["part"], table["chunk"],
+        return pa.table([table["kind"], table["part"], table["chunk"], table["mark"],
                          pa.array([_planes(t) for t in np.split(total, ends[:-1])], pa.binary())],
-                        names=["kind", "part", "chunk", "totals"])
+                        names=["kind", "part", "chunk", "mark", "totals"])
 
     def score(table: pa.Table, answers: pa.Table) -> pa.Table:
         words, pairs, second, sizes = _grams(table["text"].to_pylist())
@@ -113,9 +119,17 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         of = {kind: np.concatenate([np.empty(0, np.uint64), *[
                   _from_planes(b) for b, k in zip(blobs, kinds) if k == kind]])
               for kind in (1, 2)}
-        single = of[1][np.unique(words, return_inverse=True)[1]].astype(float)
+        distinct, place = {}, {}
+        for kind, grams in ((1, words), (2, pairs[second])):
+            distinct[kind], place[kind] = np.unique(grams, return_inverse=True)
+        # a chunk that other rows came to when it was read again would take counts of other n-grams
+        marks = [_mark(keys[a:b]) for keys in (distinct[1], distinct[2])
+                 for edges in [_ranges(keys, ranges)] for a, b in zip(edges[:-1], edges[1:]) if a < b]
+        if marks != answers["mark"].to_pylist():
+            raise ValueError("the input gave other rows when it was read again; store it first")
+        single = of[1][place[1]].astype(float)
         double = np.zeros(len(words))
-        double[second] = of[2][np.unique(pairs[second], return_inverse=True)[1]]
+        double[second] = of[2][place[2]]
         found = second & (double >= min_count)
         before = np.ones(len(words))
         before[1:] = single[:-1]
@@ -128,9 +142,9 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                         names=["doc_id", "n_words", "n_backoff", "n_single", "log"])
 
     asked = dealt.groupBy("chunk").applyInArrow(
-        ask, "kind int, part int, chunk bigint, keys binary, counts binary")
+        ask, "kind int, part int, chunk bigint, mark bigint, keys binary, counts binary")
     answered = asked.groupBy("kind", "part").applyInArrow(
-        count, "kind int, part int, chunk bigint, totals binary")
+        count, "kind int, part int, chunk bigint, mark bigint, totals binary")
     scored = materialize(dealt.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(
         score, "doc_id bigint, n_words bigint, n_backoff bigint, n_single bigint, log double"), "scores")
     total = scored.agg(F.sum("n_words")).first()[0] or 1

@@ -1,30 +1,30 @@
-"""Shared parts of the vector searches: clean vectors, blocks, best of blocks."""
+"""Shared parts of the vector searches: clean vectors, their lengths, groups of queries."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emberfold.storage import materialize
+
 BLOCK_ROWS = 1_024
 QUERY_ROWS = 512
 
 
 def usable_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``id, vector`` (doubles) of rows with an id and a vector without NULL or non-finite values.
-
-    Vectors of another length than the most frequent one (the longest of equals) are left out.
-    """
-    rows = df.select(F.col(id_col).cast("bigint").alias("id"),
+    """``id, vector`` (doubles) of rows with an id and a vector without NULL or non-finite values."""
+    return df.select(F.col(id_col).cast("bigint").alias("id"),
                      F.col(vector_col).cast("array<double>").alias("vector")).where(
         F.col("id").isNotNull() & F.col("vector").isNotNull() & (F.size("vector") > 0) & F.forall(
             "vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
-    sizes = rows.groupBy(F.size("vector").alias("n")).count().orderBy(
-        F.desc("count"), F.desc("n")).limit(1).collect()
-    return rows.where(F.size("vector") == (sizes[0]["n"] if sizes else 0))
+
+
+def lengths_of(vectors: DataFrame) -> list[int]:
+    """The lengths that vectors have, one entry each."""
+    return sorted(r[0] for r in vectors.select(F.size("vector")).distinct().collect())
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -38,42 +38,24 @@ def rows_of(values: np.ndarray, kind: str = "<f8") -> pa.Array:
     return pa.array([v.tobytes() for v in np.ascontiguousarray(values, dtype=kind)], pa.binary())
 
 
-def best_in_blocks(blocks: DataFrame, pairs: DataFrame, k: int, n_queries: int,
-                   score: Callable[[np.ndarray, np.ndarray], np.ndarray],
-                   kind: str = "<f8") -> DataFrame:
-    """``query_id, id, score``: each query's ``k`` best rows of every block it asks for.
+def query_groups(asking: DataFrame, size: int, *more: str) -> DataFrame:
+    """Stored groups of up to ``size`` queries, ``group, ids, vectors`` and a list for each further column.
 
-    ``blocks`` has ``block, ids, vectors`` (packed), ``pairs`` has ``block, query_id, query``.
-    ``score(queries, vectors)`` gives a matrix; ``kind`` is the packed numbers' type. Queries of a block are taken in groups of
-    bounded size. A query never meets the row with its own id; ties go to the smaller id.
+    A query is named by its group and its place there, so that rows with the same id stay apart.
     """
-    groups = max(1, -(-n_queries // QUERY_ROWS))
-    asked = pairs.withColumn("g", F.pmod(F.xxhash64("query_id"), F.lit(groups))).groupBy("block", "g").agg(
-        F.collect_list(F.struct("query_id", "query")).alias("asked"))
-    joined = asked.join(blocks, "block").select("ids", "vectors", "asked.query_id", "asked.query")
+    columns = ["id", "vector", *more]
 
     def run(batches):
+        name = TaskContext.get().partitionId() << 32
         for batch in batches:
-            ids, vectors, names, queries = (batch.column(c) for c in range(4))
-            for r in range(batch.num_rows):
-                own = np.frombuffer(ids[r].as_py(), "<i8")
-                name = np.array(names[r].as_py(), np.int64)
-                asks, rows = (np.frombuffer(data, kind).reshape(n, -1).astype(float) for data, n in (
-                    (b"".join(queries[r].as_py()), len(name)), (vectors[r].as_py(), len(own))))
-                found = score(asks, rows)
-                found = np.where(name[:, None] == own[None, :], -np.inf, found)
-                order = np.lexsort((np.broadcast_to(own, found.shape), -found), axis=1)[:, :k]
-                best = np.take_along_axis(found, order, axis=1)
-                keep = best > -np.inf
+            for first in range(0, batch.num_rows, size):
+                part = batch.slice(first, size)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(name, keep.sum(axis=1))), pa.array(own[order[keep]]),
-                     pa.array(best[keep])], names=["query_id", "id", "score"])
-
-    return joined.mapInArrow(run, "query_id bigint, id bigint, score double")
-
-
-def top_k(found: DataFrame, k: int) -> DataFrame:
-    """``query_id, rank, id, score``; a row that was found twice counts once."""
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
-        "query_id", F.col("rank").cast("int").alias("rank"), "id", "score")
+                    [pa.array([name]), *[pa.array([part.column(c).to_pylist()], pa.list_(part.column(c).type))
+                                         for c in columns]], names=["group", *[f"{c}s" for c in columns]])
+                name += 1
+
+    # dealt evenly, so that groups are full
+    dealt = asking.select(*columns).repartition(max(1, -(-asking.count() // size)))
+    kinds = ", ".join(f"{c}s array<{asking.schema[c].dataType.simpleString()}>" for c in columns)
+    return materialize(dealt.mapInArrow(run, f"group bigint, {kinds}"), "query-groups")

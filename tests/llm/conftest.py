@@ -9,12 +9,6 @@ DOCS = StructType([StructField("doc_id", LongType()), StructField("text", String
 CLASHING = ["part", "ids", "fp", "anchor", "line", "epoch", "tokens", "start", "root", "label"]
 
 
-@pytest.fixture(scope="session", autouse=True)
-def shared_folder(spark, tmp_path_factory):
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-
-
 def odd_rows():
     long = " ".join(f"w{k % 977}x" for k in range(30_000))
     same = "the same passage of many words that is found in more than one of the documents here"

@@ -4,11 +4,12 @@ import math
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import connect, differences
 from conftest import *  # noqa: F401,F403
 
-from emberfold.llm.multi_index import nearest, traverse
+from emberfold.llm.multi_index import code_words, nearest, packs_of, traverse
 from emberfold.llm.ngrams import score_documents
 from emberfold.llm.pivots import highest_products
 from emberfold.llm.queries import ORACLES, QUERIES
@@ -61,17 +62,79 @@ def odd_vectors(spark):
 
 
 def test_odd_vectors(spark):
-    got = [tuple(r) for r in highest_products(odd_vectors(spark), ASK, k=50).collect()]
+    """Lengths meet their own: 10 has three entries and is no query; 200 and 11 have one."""
+    more = spark.createDataFrame([(200, [2.0]), (11, [-3.0]), (12, [1.5])], "vec_id bigint, embedding array<double>")
+    df = odd_vectors(spark).unionByName(more, allowMissingColumns=True)
+    got = [tuple(r) for r in highest_products(df, ASK, k=50).collect()]
     part = {0: [256, 512], 50: [512, 256], 2: [0, 0], 6: [256, 512], 8: [-256, -512], 150: [0, 0]}
     rows = [*part.items(), (7, [256, 512]), (7, [768, 256])]
     for q in (0, 50, 150):
         want = sorted((-(part[q][0] * v[0] + part[q][1] * v[1]), i) for i, v in rows if i != q)
         assert sorted((r[1], r[2], r[3]) for r in got if r[0] == q) == [
             (n + 1, i, -s) for n, (s, i) in enumerate(want)]
-    assert {r[0] for r in got} == {0, 50, 150}
-    near = [tuple(r) for r in nearest(odd_vectors(spark), ASK, k=50, share=1.0).collect()]
-    assert {r[0] for r in near} == {0, 50}
+    assert sorted(r[1:] for r in got if r[0] == 200) == [(1, 12, 512 * 384), (2, 11, -512 * 768)]
+    assert {r[0] for r in got} == {0, 50, 150, 200}
+    near = [tuple(r) for r in nearest(df, ASK, k=50, share=1.0).collect()]
+    assert {r[0] for r in near} == {0, 50, 200}
     assert [r[2] for r in sorted(r for r in near if r[0] == 0)] == [6, 7, 50, 7, 8]
+    assert [r[2:] for r in sorted(r for r in near if r[0] == 200)] == [(12, 1.0), (11, -1.0)]
+
+
+@pytest.mark.parametrize("sizes", [[1e7], [1.0, 1e7], [1.0, 1e12], [1e-3, 1.0, 1e17], [1.0, 1e200]])
+def test_products_of_any_size_are_exact(spark, sizes):
+    """Ordinary vectors and a few large ones, beyond doubles, beyond longs and beyond decimals."""
+    rng = np.random.default_rng(len(sizes))
+    values = rng.standard_normal((240, 6)) * np.array(sizes)[rng.integers(0, len(sizes), 240)][:, None]
+    values[100] = values[101]
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(values)], "vec_id bigint, embedding array<double>")
+    got = highest_products(df.repartition(3), ASK, k=4, pivots=5, block_rows=16, first_annuli=2, query_rows=3, page_annuli=7)
+    whole = [[math.floor(256 * x) for x in v] for v in values.tolist()]
+    want = {}
+    for q in range(0, 240, 50):
+        found = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in enumerate(whole) if i != q)[:4]
+        want |= {(q, n + 1): (i, -s if abs(s) < 10 ** 38 else None) for n, (s, i) in enumerate(found)}
+    assert {(r[0], r[1]): (r[2], r[3]) for r in got.collect()} == want
+    assert dict(got.dtypes)["score"] == ("bigint" if max(sizes) < 1e6 else "decimal(38,0)") or max(sizes) == 1e7
+
+
+def test_whole_numbers_order_as_bytes():
+    from emberfold.llm.pivots import _ordered
+    values = [0, 1, -1, 255, 256, -255, -256, -257, 2 ** 70, -2 ** 70, 2 ** 70 + 1, 10 ** 300, -10 ** 300, 65535, -65536]
+    assert [v for _, v in sorted((_ordered(v), v) for v in values)] == sorted(values)
+
+
+def test_bounds_hold():
+    from emberfold.llm import pivots
+    rng = np.random.default_rng(2)
+    x = np.floor(rng.standard_normal((300, 5)) * 256)
+    shell = np.frexp(np.linalg.norm(x, axis=1))[1]
+    centres = pivots.kmeans(pivots._extended(x, shell), 8)
+    far = pivots._away(pivots._extended(x, shell), centres)
+    page = {"near": far, "far": far, "shell": shell, "block": np.arange(300)}  # each vector an annulus
+    upper, slack = pivots.bounds(x[:40], shell[:40], page, centres)
+    assert (x[:40] @ x.T <= upper + slack).all() and (upper < np.linalg.norm(x[:40], axis=1)[:, None] * 2.0 ** shell).any()
+
+
+def test_copies_have_equal_scores(spark):
+    """Four copies of each vector, in any blocks: ties go to the smaller id."""
+    rng = np.random.default_rng(7)
+    base = rng.standard_normal((300, 16)).astype(np.float32).astype(float)
+    rows = [(k, base[k % 300].tolist()) for k in range(1200)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(5)
+    got = nearest(df, ASK, k=3, share=1.0, pack_rows=37, query_rows=7).collect()
+    by = defaultdict(list)
+    for r in sorted(got):
+        by[r["query_id"]].append(r)
+    for q, found in by.items():
+        assert [r["id"] for r in found] == [i for i in range(q % 300, 1200, 300) if i != q]
+        assert len({r["score"] for r in found}) == 1
+    assert len(by) == 24
+
+
+def test_packs_hold_cells():
+    pack, parts = packs_of(np.array([3, 0, 4, 9, 25, 1, 0]), 10)
+    assert pack.tolist() == [0, 0, 0, 1, 2, 3, 3] and parts.tolist() == [1, 1, 3, 1]
+    assert [code_words(n) for n in (0, 2_000, 51_000, 10 ** 7, 10 ** 10)] == [32, 32, 32, 198, 512]
 
 
 def test_no_vectors(spark):
@@ -145,3 +208,20 @@ def test_scores_odd_rows(spark, odd, empty, bytes_, monkeypatch):
     assert [g[:3] for g in got] == [w[:3] for w in want]
     assert all(abs(g[3] - w[3]) < 1e-3 for g, w in zip(got, want))
     assert score_documents(empty).count() == 0
+
+
+def test_an_input_that_changes_is_noticed(spark):
+    """Rows that differ between the two reads fail the job and give no wrong scores."""
+    def change(batches):
+        import os
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([os.urandom(4).hex() for _ in range(b.num_rows)])], names=["doc_id", "text"])
+
+    df = spark.range(200).withColumnRenamed("id", "doc_id").mapInArrow(change, "doc_id bigint, text string")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        with pytest.raises(Exception, match="store it first"):
+            score_documents(df).collect()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
