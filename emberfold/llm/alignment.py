@@ -34,6 +34,8 @@ ENCODE_CHARS, SLICE_CHARS = 4 << 20, 1 << 20
 # Words remembered per Python worker, and their length at most.
 MEMO_WORDS, MEMO_CHARS = 250_000, 64
 
+# Pairs of a long text that are held before equal ones are merged.
+_HELD_PAIRS = 4 << 20
 _SPACE = "▁"
 _WORD = re.compile(" +[^ ]*")
 # A space between visible characters: a word begins there for both kinds of tokenizers.
@@ -402,6 +404,8 @@ def _chunk(texts: list[str | None], pair: Pair) -> tuple[np.ndarray, list[str],
                            return_counts=True)
         keys.append(key)
         times.append(n)
+        if sum(map(len, keys)) > _HELD_PAIRS:
+            keys, times = ([merged] for merged in _merged(keys, times))
     key, n = _merged(keys, times)
     if lost:
         counts[list(lost)] = 0

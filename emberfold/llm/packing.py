@@ -8,6 +8,7 @@ largest dot product with what the sequence still offers.
 
 from __future__ import annotations
 
+from bisect import bisect_right, insort
 from dataclasses import dataclass
 
 import numpy as np
@@ -51,37 +52,44 @@ def pack(tokens: np.ndarray, loss: np.ndarray, limits: Limits, cut: bool) -> lis
             bins.append([(int(i), int(at[i]), step)])
             at[i] += step
             left[i] -= step
-    live = np.flatnonzero(left > 0)
-    scale = np.array([1 / top, 1 / limits.loss])
-    while len(live):
-        room, used, offer = [], 0, np.array([top, limits.loss], float)
-        while len(live):
-            need = left[live].astype(float)
-            bears = need * loss[live]
-            if used == limits.segments or offer[0] <= 0:
-                break
-            fits = (need <= offer[0]) & (bears <= offer[1])
-            weight = offer * scale * scale
-            score = need * weight[0] + bears * weight[1]
-            if fits.any():
-                k = int(np.argmax(np.where(fits, score, -1)))
-                take = int(left[live[k]])
+    # Within those that bear loss, and within the others, the product grows with the tokens. So the best of
+    # each is its largest that fits, in a list by size; of equal sizes the first example stands last.
+    lists: tuple[list, list] = ([], [])
+    for i in np.flatnonzero(left > 0).tolist():
+        lists[bool(loss[i])].append((int(left[i]), -i))
+    for sizes in lists:
+        sizes.sort()
+    per_token, per_loss = 1 / top ** 2, 1 / limits.loss ** 2
+    while lists[0] or lists[1]:
+        room, tokens_left, loss_left = [], top, limits.loss
+        while len(room) < limits.segments and tokens_left > 0:
+            best = None
+            for bears, sizes in enumerate(lists):
+                space = min(tokens_left, loss_left) if bears else tokens_left
+                k = bisect_right(sizes, (space, 1)) - 1
+                if k >= 0:
+                    n, name = sizes[k]
+                    product = n * tokens_left * per_token + (n * loss_left * per_loss if bears else 0)
+                    best = max(best or (0, 0), (product, name, bears, k, n))
+            if best:
+                _, _, bears, k, take = best
             elif cut:
-                able = np.minimum(need, np.where(loss[live], np.minimum(*offer), offer[0]))
-                k = int(np.argmax(able))
-                take = int(able[k])
-                if take <= 0:
+                # of what is too long, the example that is least so, of the kind with the more space
+                space, bears = max((min(tokens_left, loss_left) if bears else tokens_left, -bears)
+                                   for bears, sizes in enumerate(lists) if sizes) if lists[0] or lists[1] else (0, 0)
+                if space <= 0:
                     break
+                bears, k, take = -bears, 0, space
             else:
                 break
-            i = int(live[k])
+            n, name = lists[bears].pop(k)
+            i = -name
             room.append((i, int(at[i]), take))
             at[i] += take
-            left[i] -= take
-            offer -= (take, take * bool(loss[i]))
-            used += 1
-            if left[i] == 0:
-                live = np.delete(live, k)
+            if n > take:
+                insort(lists[bears], (n - take, name))
+            tokens_left -= take
+            loss_left -= take * bears
         total = sum(p[2] for p in room)
         bins.extend(_powers(room, total) if cut and total < top else [room])
     return bins
@@ -118,7 +126,8 @@ def pack_texts(df: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id
 
     Each task packs its own rows in groups of bounded size, so nothing is shuffled and a
     rerun gives the same rows. A NULL or empty text has the end id alone; NULL
-    and repeated ids keep one set of pieces per row; an empty table gives none.
+    and repeated ids keep one set of pieces per row; of equal demands the first row of the task
+    is taken; an empty table gives none.
     """
     bears = F.lit(True) if loss_col is None else F.coalesce(F.col(loss_col), F.lit(False))
     rows = small_batches(df).select(F.col(id_col).cast("bigint").alias("doc_id"),

@@ -13,7 +13,7 @@ from emberfold.llm.licenses import license_labels, scan_licenses
 from emberfold.llm.mixing import mix, word_count
 from emberfold.llm.multi_index import nearest
 from emberfold.llm.ngrams import score_documents
-from emberfold.llm.packing import pack_texts
+from emberfold.llm.packing import Limits, pack_texts
 from emberfold.llm.pivots import highest_products
 from emberfold.llm.simhash import near_duplicates
 from emberfold.llm.substring import drop_repeated_passages
@@ -71,9 +71,19 @@ def op4(spark, sf_dir):
                        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+# English texts bear loss, the others are context; a sequence takes three quarters of loss at most.
+LOSS = "lang = 'en'"
+PACK_LIMITS = Limits(tokens=2048, segments=128, loss=1536)
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    return pack_texts(docs.withColumn("_bears_loss", F.expr(LOSS)), default_tokenizer(), end_id=1,
+                      loss_col="_bears_loss", limits=PACK_LIMITS)
+
+
 @query("op5_packing")
 def op5(spark, sf_dir):
-    return with_ids_crc32(pack_texts(documents(spark, sf_dir), default_tokenizer(), end_id=1))
+    return with_ids_crc32(packed(documents(spark, sf_dir)))
 
 
 @query("op6_line_templates")

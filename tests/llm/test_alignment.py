@@ -97,7 +97,9 @@ def test_odd_texts(spark, odd, empty, models, monkeypatch):
     assert align_documents(odd, A, B).count() == odd.count()
 
 
-def test_cut_texts_give_the_same(models):
+@pytest.mark.parametrize("held", [1, 1 << 22])
+def test_cut_texts_give_the_same(models, held, monkeypatch):
+    monkeypatch.setattr(alignment, "_HELD_PAIRS", held)
     texts = [" ".join(f"w{k % 91}x don't" for k in range(400)), None, "y" * 900, "", "under▁score " * 90, "a b " * 300]
     for part in (7, 50, 333):
         counts, listed, (owner, code, n) = alignment._chunk(texts, models[2])

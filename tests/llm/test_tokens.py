@@ -103,6 +103,24 @@ def test_packing_query(spark, sf_dir, docs, encode):
     check_pieces(pieces, ids, 2048)
 
 
+def test_packing_query_bounds_loss(spark, sf_dir, docs):
+    """English texts bear loss, three quarters of a sequence at most; without the limit other sequences come out."""
+    english = {r["doc_id"] for r in docs.where("lang = 'en'").select("doc_id").collect()}
+
+    def loss_of(rows):
+        held = Counter()
+        for r in rows:
+            held[r["sequence_id"]] += r["length"] if r["doc_id"] in english else 0
+        return held
+
+    got = QUERIES["op5_packing"](spark, sf_dir).collect()
+    assert max(loss_of(got).values()) <= 1536
+    free = pack_texts(docs.withColumn("b", docs["lang"] == "en"), default_tokenizer(), 1, loss_col="b").collect()
+    assert max(loss_of(free).values()) > 1536
+    place = lambda rows: {(r["doc_id"], r["start"], r["length"]) for r in rows}
+    assert place(got) != place(free)
+
+
 def test_packing_odd_rows(spark, odd, empty, encode):
     unique = odd.where("doc_id is not null").dropDuplicates(["doc_id"])
     got = [r.asDict() for r in pack_texts(unique, default_tokenizer(), 1).collect()]
