@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 
 from emberfold.llm.language import UNDETERMINED, fit_tagger, held_out, with_language
 from emberfold.llm.mixing import mix, word_count
-from emberfold.llm.packing import pack_texts
-from emberfold.llm.queries import LEVELS, MIX_SEED, MIX_WEIGHTS, documents, domain
+from emberfold.llm.queries import LEVELS, MIX_SEED, MIX_WEIGHTS, documents, domain, packed
 from emberfold.llm.simhash import near_duplicates
 from emberfold.llm.templates import drop_recurring_lines
-from emberfold.llm.tokens import default_tokenizer
 from emberfold.llm.worker import attach
 from emberfold.storage import materialize
 
@@ -31,7 +29,7 @@ def least_score(labels: int) -> float:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter or without any likely language."""
+    """Drops texts without a letter, NULL ones among them, or without any likely language; an empty table stays so."""
     tagger = fit_tagger(docs.where(~held_out()), "doc_id", "text", "lang")
     tagged = with_language(docs, tagger, pred="_pred", score="_score")
     # without a single labelled document there is nothing to reject by but the letters
@@ -42,7 +40,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes recurring lines from the texts; every document stays, ``n_chars`` follows."""
+    """Removes recurring lines from the texts; every document stays, ``n_chars`` follows. NULL texts stay NULL."""
     kept = drop_recurring_lines(docs, n_lines="_lines", n_dropped="_dropped")
     return kept.withColumn("n_chars", F.when(F.col("_dropped") > 0, F.length("text")).otherwise(
         F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
@@ -74,7 +72,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the rows that fill the leaves' budgets in a single epoch.
 
     Rows are chosen by a hash of id, text, language and source, so that rows without an id are
-    told apart; rows equal in all four go together.
+    told apart; rows equal in all four go together. Rows without a language or source are leaves of their
+    own; an empty table stays so.
     """
     rows = docs.withColumn("_key", row_key("doc_id", "text", "lang", "source"))
     counted = rows.select("_key", domain().alias("domain"), "lang", "source",
@@ -86,8 +85,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their places in training sequences."""
-    return pack_texts(docs, default_tokenizer(), end_id=1)
+    """Token pieces with their places in training sequences; NULL and empty texts have the end id alone."""
+    return packed(docs)
 
 
 STAGES = [("language", language), ("lines", lines), ("near_copies", near_copies),
@@ -99,7 +98,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each over what the one before wrote."""
+    """All stages over ``documents``, each over what the one before wrote.
+
+    NULL and empty texts are rejected by the first stage; an empty table gives no rows.
+    """
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
