@@ -31,6 +31,8 @@ class Limits:
 # Examples packed together, and the ids they hold at most (unless one has more).
 GROUP_EXAMPLES = 4096
 GROUP_TOKENS = 4 << 20
+# Text encoded at a time.
+BATCH_BYTES = 8 << 20
 
 
 def pack(tokens: np.ndarray, loss: np.ndarray, limits: Limits, cut: bool) -> list[list[tuple]]:
@@ -117,12 +119,14 @@ def _powers(room: list[tuple], total: int) -> list[list[tuple]]:
 
 def pack_texts(df: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id",
                text_col: str = "text", loss_col: str | None = None, limits: Limits = Limits(),
-               cut: bool = True, group_examples: int = GROUP_EXAMPLES) -> DataFrame:
+               cut: bool = True, group_examples: int = GROUP_EXAMPLES,
+               batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Encode whole texts, append ``end_id``, pack: one row per piece.
 
     ``doc_id, start, length, ids, doc_tokens, sequence_id, offset``: the piece holds
     ids ``start`` up to ``start + length`` of its text and stands at ``offset`` of its sequence.
-    ``loss_col`` is a boolean, NULL counts as false; without it all tokens bear loss.
+    ``loss_col`` is a boolean, NULL counts as false; without it all tokens bear loss. Texts are encoded
+    ``batch_bytes`` at a time: the more, the fewer words are encoded twice, and the more memory a task takes.
 
     Each task packs its own rows in groups of bounded size, so nothing is shuffled and a
     rerun gives the same rows. A NULL or empty text has the end id alone; NULL
@@ -130,8 +134,8 @@ def pack_texts(df: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id
     is taken; an empty table gives none.
     """
     bears = F.lit(True) if loss_col is None else F.coalesce(F.col(loss_col), F.lit(False))
-    rows = small_batches(df).select(F.col(id_col).cast("bigint").alias("doc_id"),
-                     F.col(text_col).alias("text"), bears.alias("bears"))
+    rows = small_batches(df, f"{batch_bytes >> 20}m").select(
+        F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), bears.alias("bears"))
 
     def run(batches):
         encode_all = encoder(tokenizer).encode
@@ -160,7 +164,7 @@ def pack_texts(df: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id
                     names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id",
                            "offset"])
 
-        for batch in pieces(batches, "text", 10 << 20):
+        for batch in pieces(batches, "text", batch_bytes + (2 << 20)):
             for name, mark, code in zip(batch.column("doc_id").to_pylist(),
                                         batch.column("bears").to_pylist(),
                                         encode_all(batch.column("text"))):

@@ -13,7 +13,7 @@ from emberfold.llm.licenses import license_labels, scan_licenses
 from emberfold.llm.mixing import mix, word_count
 from emberfold.llm.multi_index import nearest
 from emberfold.llm.ngrams import score_documents
-from emberfold.llm.packing import Limits, pack_texts
+from emberfold.llm.packing import BATCH_BYTES, Limits, pack_texts
 from emberfold.llm.pivots import highest_products
 from emberfold.llm.simhash import near_duplicates
 from emberfold.llm.substring import drop_repeated_passages
@@ -76,14 +76,14 @@ LOSS = "lang = 'en'"
 PACK_LIMITS = Limits(tokens=2048, segments=128, loss=1536)
 
 
-def packed(docs: DataFrame) -> DataFrame:
+def packed(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     return pack_texts(docs.withColumn("_bears_loss", F.expr(LOSS)), default_tokenizer(), end_id=1,
-                      loss_col="_bears_loss", limits=PACK_LIMITS)
+                      loss_col="_bears_loss", limits=PACK_LIMITS, batch_bytes=batch_bytes)
 
 
 @query("op5_packing")
 def op5(spark, sf_dir):
-    return with_ids_crc32(packed(documents(spark, sf_dir)))
+    return with_ids_crc32(packed(documents(spark, sf_dir), batch_bytes=14 << 20))
 
 
 @query("op6_line_templates")
