@@ -86,7 +86,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their places in training sequences; NULL and empty texts have the end id alone."""
-    return packed(docs)
+    # workers that have served the stages before hold their memories: smaller batches leave them room
+    return packed(docs, batch_bytes=4 << 20)
 
 
 STAGES = [("language", language), ("lines", lines), ("near_copies", near_copies),
