@@ -70,7 +70,7 @@ def box_table(spark: SparkSession, boxes: Sequence[Box]) -> DataFrame:
 # Up to so many boxes given in code, one CASE over all of them is the quicker plan.
 FEW_BOXES = 64
 # A cell of the tree is split while it holds more boxes than this.
-CELL_BOXES = 32
+CELL_BOXES = 64
 # A cell is split into 8 x 8; a double tells no finer cells apart.
 _FINER, _MAX_DEPTH = 8, 16
 _AXES = (("_cx", "lon_from", "lon_to"), ("_cy", "lat_from", "lat_to"))
@@ -149,12 +149,11 @@ def box_tree(boxes: DataFrame, most: int = CELL_BOXES) -> BoxTree:
     while True:
         cells = held.groupBy(*_CELL).agg(
             F.count(F.lit(1)).alias("_n"), F.min(F.when(all_over, F.col("_box"))).alias("_cover"))
-        full = None
-        if depth < _MAX_DEPTH:
-            full = materialize(cells.where(F.col("_n") > most).drop("_n").withColumn("_full", F.lit(True)), "full-cells")
-        if full is None or full.isEmpty():
+        full = cells.where(F.col("_n") > most).drop("_n").withColumn("_full", F.lit(True))
+        if depth == _MAX_DEPTH or full.isEmpty():
             leaves.append(held.select(F.lit(depth).alias("_depth"), *_CELL, "_box"))
             break
+        full = materialize(full, "full-cells")
         marked = lookup_join(held.select(*_CELL, "_box"), full, _CELL)
         leaves.append(marked.where(F.col("_full").isNull()).select(F.lit(depth).alias("_depth"), *_CELL, "_box"))
         split.append(full.select(*_CELL, "_full"))
