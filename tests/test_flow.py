@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from emberfold.operators.quality import QualityGateError
 from emberfold.plans.flow import FEEDS, read_feeds, run_batch
-from emberfold.queries import feeds
+from emberfold.queries import feeds, hazards
 from emberfold.sources.files import bronze_manifest, read_images
 from emberfold.sources.tables import publish, read_table
 from emberfold.storage import scratch_path
@@ -92,3 +92,14 @@ def test_images(spark, tmp_path):
     got = {(r["split"], r["label"], r["length"]) for r in images.collect()}
     assert got == {("train", "fire", 6), ("train", "nofire", 8), ("test", "fire", 6),
                    ("test", "nofire", 8)}
+
+
+def test_feeds_land_packed_and_in_bounded_files(spark, monkeypatch):
+    monkeypatch.setattr(hazards, "LANDED_ROWS", 10)
+    shape = lambda spark, _: spark.range(25).coalesce(1).select(
+        F.col("id").cast("string").alias("Year"), F.when(F.col("id") % 3 != 0, "a;b").alias("Country"))
+    read = hazards._feed(spark, uuid.uuid4().hex, "volcano", shape)
+    assert sorted(map(tuple, read.collect())) == sorted(map(tuple, shape(spark, None).collect()))
+    per_file = read.groupBy(F.input_file_name().alias("file")).count().collect()
+    assert sorted(r["count"] for r in per_file) == [5, 10, 10]
+    assert all(r["file"].endswith(".csv.gz") for r in per_file)
