@@ -58,7 +58,11 @@ class PartTable:
         """
         spark = rows.sparkSession
         folder = f"{self.path}/rows/version={batch_id}"
-        rows.hint("rebalance", F.col(self.part)).write.mode("overwrite").partitionBy(self.part).parquet(folder)
+        # a stream's batches are planned without adaptive execution, where the hint does nothing and every task
+        # would write a file to every part
+        adaptive = str(spark.conf.get("spark.sql.adaptive.enabled")).lower() == "true"
+        dealt = rows.hint("rebalance", F.col(self.part)) if adaptive else rows.repartition(F.col(self.part))
+        dealt.write.mode("overwrite").partitionBy(self.part).parquet(folder)
         written = [unquote(name.split("=", 1)[1]) for name in folder_names(spark, folder)
                    if name.startswith(f"{self.part}=")]
         index = {p: v for p, v in before.items() if p not in set(touched)} | dict.fromkeys(written, batch_id)

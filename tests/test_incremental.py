@@ -254,3 +254,18 @@ def test_a_plain_local_session_stores_tables():
         run = subprocess.run([sys.executable, "-c", code], env={**env, "SPARK_CONF_DIR": conf}, capture_output=True,
                              text=True, cwd=Path(__file__).parent.parent, timeout=120)
     assert "stored 7" in run.stdout, run.stderr[-2000:]
+
+
+def test_a_part_is_one_file_in_a_stream_too(spark, tmp_path):
+    from emberfold.sources.parts import PartTable
+
+    rows = spark.range(800).repartition(8).withColumn("bucket", (F.col("id") % 3).cast("int"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # as in the batches of a stream with state
+    try:
+        PartTable(str(tmp_path), "bucket").write(rows, 0, {}, [])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    for part in range(3):
+        assert len(list((tmp_path / "rows" / "version=0" / f"bucket={part}").glob("*.parquet"))) == 1
+    stored = spark.read.parquet(str(tmp_path / "rows" / "version=0"))
+    assert sorted(r["id"] for r in stored.collect()) == list(range(800))
