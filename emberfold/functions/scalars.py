@@ -50,12 +50,12 @@ def pair_part(c: Column, index: int, kind: str = "double") -> Column:
 
 
 def decode(column: str, labels: Mapping[int, str]) -> Column:
-    """Label of a code; a code without a label passes through as text."""
-    def quoted(label: str) -> str:
-        return "'" + label.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    """Label of a code; a code without a label passes through as text.
 
-    branches = " ".join(f"WHEN {code} THEN {quoted(label)}" for code, label in labels.items())
-    return F.expr(f"CASE `{column}` {branches} ELSE CAST(`{column}` AS STRING) END")
+    A look into a map and not a CASE per label, of which a few make a generated method too long for the JVM to compile.
+    """
+    listed = F.create_map(*[F.lit(v) for pair in labels.items() for v in pair])
+    return F.coalesce(F.try_element_at(listed, F.col(column)), F.col(column).cast("string"))
 
 
 def binary_flag(c: Column, positive: str) -> Column:

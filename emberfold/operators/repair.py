@@ -67,8 +67,9 @@ def box_table(spark: SparkSession, boxes: Sequence[Box]) -> DataFrame:
         "rank": pa.array(range(len(boxes)), pa.int64())}))
 
 
-# Up to so many boxes given in code, one CASE over all of them is the quicker plan.
-FEW_BOXES = 64
+# Up to so many boxes given in code, one CASE over all of them is the quicker plan. With more, the method that
+# Spark generates around it soon passes the 8,000 bytes beyond which the JVM does not compile one.
+FEW_BOXES = 8
 # A cell of the tree is split while it holds more boxes than this.
 CELL_BOXES = 64
 # A cell is split into 8 x 8; a double tells no finer cells apart.

@@ -63,3 +63,28 @@ def test_filters_reach_the_scan(spark, sf_dir):
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").where(F.col("l_quantity") > 30)
     assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,30.0)]" in plan(
         count_and_sums(lines, ["l_returnflag"], {}, "n"))
+
+
+@pytest.mark.parametrize("name", ["tsunami", "landslide"])
+def test_generated_methods_are_short_enough_to_compile(spark, monkeypatch, capsys, name):
+    """The JVM leaves methods of more than 8,000 bytes uncompiled."""
+    import re
+
+    from emberfold.plans import cleaning
+
+    columns = {"tsunami": list(cleaning.TSUNAMI_COLUMNS), "landslide": cleaning.LANDSLIDE_COLUMNS}[name]
+    raw = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
+    sizes = []
+
+    def measured(df, *_):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            df.explain("codegen")
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+        sizes.extend(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out))
+        return df
+
+    monkeypatch.setattr(cleaning, "materialize", measured)
+    measured({"tsunami": cleaning.clean_tsunamis, "landslide": cleaning.clean_landslides}[name](raw))
+    assert sizes and max(sizes) <= 8_000
