@@ -1,5 +1,6 @@
 """Vector searches and n-gram scores against plain versions."""
 
+import heapq
 import math
 from collections import Counter, defaultdict
 
@@ -174,6 +175,82 @@ def test_cells_come_by_summed_distance():
     assert cost == sorted(cost) and sorted(cells) == np.flatnonzero(held).tolist()
 
 
+def heap_cells(left, right, held, wanted):
+    """Cells by growing sums, one at a time."""
+    a, b = np.argsort(left, kind="stable"), np.argsort(right, kind="stable")
+    heap, seen, cells, count = [(left[a[0]] + right[b[0]], 0, 0)], {(0, 0)}, [], 0
+    while heap and count < wanted:
+        _, i, j = heapq.heappop(heap)
+        cell = int(a[i]) * len(right) + int(b[j])
+        if held[cell]:
+            cells.append(cell)
+            count += int(held[cell])
+        for x, y in ((i + 1, j), (i, j + 1)):
+            if x < len(a) and y < len(b) and (x, y) not in seen:
+                seen.add((x, y))
+                heapq.heappush(heap, (left[a[x]] + right[b[y]], x, y))
+    return cells
+
+
+def test_cells_come_as_from_a_heap():
+    """Also where many sums are equal."""
+    rng = np.random.default_rng(3)
+    for top in (2, 5, 10 ** 9):
+        left, right = rng.integers(0, top, 9) / 4, rng.integers(0, top, 7) / 4
+        held = rng.integers(0, 3, 63)
+        for wanted in (1, 5, 30, 1000):
+            assert list(traverse(left, right, held, wanted)) == heap_cells(left, right, held, wanted)
+
+
+def odd_copies(same_ids):
+    """Ids and vectors: a vector with very many copies, some of them queries, close ones, perhaps ids that come often."""
+    rng = np.random.default_rng(11)
+    values = rng.standard_normal((700, 12)).astype(np.float32).astype(float)
+    values[rng.random(700) < 0.3] = values[0]
+    values[300:340] = values[300] + rng.standard_normal((40, 12)) * 1e-9
+    values[400:420] = values[0] * 3
+    ids = np.arange(700)
+    if same_ids:
+        ids[ids % 7 == 3] = 50
+        ids[600:620] = 100
+    return ids, values
+
+
+@pytest.mark.parametrize("share,sizes", [(0.3, {}), (1.0, {}), (0.3, {"pack_rows": 60, "query_rows": 5}),
+                                         (1.0, {"pack_rows": 23, "query_rows": 2})])
+def test_nearest_equals_plain(spark, share, sizes, monkeypatch):
+    import emberfold.llm.multi_index as mi
+    if sizes:
+        monkeypatch.setattr(mi, "STEP_ROWS", 9)
+        monkeypatch.setattr(mi, "PENDING", 40)
+    # the order of rows that share an id, and so the sample, is open; it is of no matter where all cells are visited
+    ids, values = odd_copies(same_ids=share == 1)
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, values)], "vec_id bigint, embedding array<double>")
+    got = nearest(df.repartition(3), ASK, k=4, share=share, sample=700, **sizes).collect()
+    drawn = df.selectExpr("*", "xxhash64(vec_id) h").orderBy("h", "vec_id").collect()
+    points, unit = mi.unit_rows(np.array([r["embedding"] for r in drawn])), mi.unit_rows(values)
+    a, b = mi.kmeans(points[:, :6], 32), mi.kmeans(points[:, 6:], 32)
+    left, right = mi.distances(unit[:, :6], a), mi.distances(unit[:, 6:], b)
+    cells = left.argmin(axis=1) * len(b) + right.argmin(axis=1)
+    held = np.bincount(cells, minlength=len(a) * len(b))
+    want = Counter()
+    for q in np.flatnonzero(ids % 50 == 0):
+        seen = heap_cells(left[q], right[q], held, max(5, math.ceil(share * len(ids))))
+        own = np.flatnonzero(np.isin(cells, seen) & (ids != ids[q]))
+        score = mi.cosines(values[q][None], values[own])
+        best = np.lexsort((ids[own], -score))[:4]
+        want.update((int(ids[q]), n + 1, int(ids[own[j]]), score[j]) for n, j in enumerate(best))
+    assert Counter(tuple(r) for r in got) == want
+
+
+def test_visits_are_not_broadcast(spark):
+    """What queries send to packs grows with queries times packs, whatever the planner makes of it: never by the driver."""
+    df = spark.createDataFrame([(k, [float(k % 7), 1.0]) for k in range(300)], "vec_id bigint, embedding array<double>")
+    found = nearest(df, ASK)
+    found.collect()
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_scores_equal_sql(spark, sf_dir):
     got = QUERIES["op9_backoff_scores"](spark, sf_dir).toArrow()
     assert differences(got, connect(sf_dir).sql(ORACLES["op9_backoff_scores"]).to_arrow_table()) == []
