@@ -20,7 +20,7 @@ SAMPLE = 8_192
 # Centroids of each half: at least, at most, and the rows a cell should hold.
 CENTROIDS, MOST_CENTROIDS, CELL_ROWS = 32, 512, 256
 # A pack holds as many rows as there are queries, but so many at least and so many bytes of vectors at most.
-PACK_ROWS, PACK_BYTES = 4_096, 48 << 20
+PACK_ROWS, PACK_BYTES = 4_096, 80 << 20
 # Queries that meet a pack at a time: rows and bytes of vectors at most.
 ASK_ROWS, ASK_BYTES = 2_048, 4 << 20
 # Rows compared with such queries in one product.
@@ -205,7 +205,7 @@ def _nearest_of_length(rows: DataFrame, width: int, kind: str, queries: str, k:
                     chunks.append((ids, places, vectors))
                     continue
                 if block is None and chunks:
-                    block, chunks = _block(*(np.concatenate(c) for c in zip(*chunks)), k), []
+                    block = _block(chunks, k)
                 if block is None:
                     continue
                 asked = vectors.astype(float)
@@ -225,8 +225,8 @@ def _nearest_of_length(rows: DataFrame, width: int, kind: str, queries: str, k:
 
     meetings = index.mapInArrow(deal, _MEETING).unionByName(asks.mapInArrow(probe, _MEETING))
     order = Window.partitionBy("group", "place").orderBy(F.desc("score"), "id")
-    # units are few; so that they seldom share a task, there are twice as many; a unit's rows come before its queries
-    return meetings.repartition(2 * int(parts.sum()), "unit").sortWithinPartitions("unit", "group").mapInArrow(
+    # so that units seldom share a task there are more tasks than units; a unit's rows come before its queries
+    return meetings.repartition(4 * int(parts.sum()), "unit").sortWithinPartitions("unit", "group").mapInArrow(
         compare, "group bigint, place int, query_id bigint, id bigint, score double").withColumn(
         "rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "id", "score")
@@ -252,9 +252,14 @@ def _floats(data: list[bytes], kind: str, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(data), kind).reshape(-1, width)
 
 
-def _block(ids: np.ndarray, cells: np.ndarray, vectors: np.ndarray, k: int) -> dict:
-    """Rows of a unit by cell and id. Of rows with one vector ``k`` an id and ``2 * k`` in all are kept, those with the
-    smallest ids: without the id that a query may not have, these are all that its ``k`` nearest can hold."""
+def _block(chunks: list[tuple], k: int) -> dict:
+    """Rows of a unit by cell; the chunks are emptied, so that their vectors are not held twice.
+
+    Of rows with one vector ``k`` an id and ``2 * k`` in all are kept, those with the smallest ids: without the id that a
+    query may not have, these are all that its ``k`` nearest can hold.
+    """
+    ids, cells, vectors = (np.concatenate(c) for c in zip(*chunks))
+    chunks.clear()
     digest = np.fromiter((hash(v.tobytes()) for v in vectors), np.int64, len(vectors))
     order = np.lexsort((ids, digest, cells))
     near = np.flatnonzero((np.diff(digest[order]) == 0) & (np.diff(cells[order]) == 0)) + 1
